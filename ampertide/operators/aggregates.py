@@ -15,10 +15,12 @@ def mean_over_join(
     measures: Mapping[str, tuple[Column, str]],
     by: Sequence[str] = (),
     count_as: str | None = None,
+    fact_by: Sequence[str] = (),
 ) -> DataFrame:
     """Means of fact columns over ``facts join members``, grouped by member columns.
 
     ``measures``: output name to (fact column, decimal type of its values).
+    ``fact_by``: further grouping columns that the facts bring along.
     The facts are summed per join key first, so a frequent key reaches the join
     as one row per key instead of one per fact; sums and counts then add up to
     the same mean as over the joined rows.
@@ -27,14 +29,14 @@ def mean_over_join(
     parts = [F.count(F.lit(1)).alias("_rows")]
     for name, (col, dtype) in measures.items():
         parts += [F.sum(col.cast(dtype)).alias(f"_sum_{name}"), F.count(col).alias(f"_n_{name}")]
-    joined = facts.groupBy(*keys).agg(*parts).join(members, keys)
+    joined = facts.groupBy(*keys, *fact_by).agg(*parts).join(members, keys)
     out = [
         (F.sum(f"_sum_{name}").cast("double") / F.nullif(F.sum(f"_n_{name}"), F.lit(0).cast("long"))).alias(name)
         for name in measures
     ]
     if count_as:
         out.append(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias(count_as))
-    return joined.groupBy(*by).agg(*out)
+    return joined.groupBy(*by, *fact_by).agg(*out)
 
 
 def at_least(df: DataFrame, count_column: str, minimum: int) -> DataFrame:

@@ -48,3 +48,8 @@ def mean(col: str | Column, dtype: str = MONEY) -> Column:
 def sql_mean(expr: str, dtype: str = MONEY) -> str:
     """SQL text of ``mean``: exact decimal sum, one division."""
     return f"CAST(SUM(CAST({expr} AS {dtype})) AS DOUBLE) / COUNT({expr})"
+
+
+def sql_half_up(expr: str, digits: int) -> str:
+    """SQL text of decimal half-up rounding of a double."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
