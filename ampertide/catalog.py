@@ -41,28 +41,29 @@ SOURCES: dict[str, str] = {
     "`YoY % change` string",
 }
 
-# Stored columns of the relational model.
+# Stored columns of the relational model. Ids are BIGINT, so that
+# tables of more than two billion rows can be numbered.
 TABLES: dict[str, str] = {
     "country": "country_code string, country_name string, petrol_price_eur_per_l decimal(5,3), "
     "diesel_price_eur_per_l decimal(5,3)",
-    "vehicle": "vehicle_id int, make string, model string, fuel_type string, vehicle_class string, "
+    "vehicle": "vehicle_id bigint, make string, model string, fuel_type string, vehicle_class string, "
     "price_usd decimal(12,2), horsepower int, seats int",
-    "ice_emission": "ice_emission_id int, vehicle_id int, engine_size_l decimal(3,1), cylinders int, "
+    "ice_emission": "ice_emission_id bigint, vehicle_id bigint, engine_size_l decimal(3,1), cylinders int, "
     "transmission string, fuel_consumption_city decimal(4,1), fuel_consumption_hwy decimal(4,1), "
     "fuel_consumption_comb decimal(4,1), co2_emissions_gkm int",
-    "ev_spec": "ev_spec_id int, vehicle_id int, battery_capacity_kwh decimal(5,1), range_wltp_km int, "
+    "ev_spec": "ev_spec_id bigint, vehicle_id bigint, battery_capacity_kwh decimal(5,1), range_wltp_km int, "
     "energy_consumption_kwh_100km decimal(4,1), dc_charge_power_kw int, ac_charge_power_kw decimal(4,1), "
     "release_year int",
-    "charging_station": "station_id int, name string, city string, state_province string, "
+    "charging_station": "station_id bigint, name string, city string, state_province string, "
     "country_code string, latitude decimal(10,6), longitude decimal(10,6), ports int, "
     "power_kw decimal(7,1), power_class string, is_fast_dc boolean",
     "charging_country_summary": "country_code string, station_count int, port_count int, "
     "fast_station_share decimal(5,4), fast_port_share decimal(5,4)",
-    "electricity_price": "elec_price_id int, country_code string, year int, half_year int, "
+    "electricity_price": "elec_price_id bigint, country_code string, year int, half_year int, "
     "price_eur_per_kwh decimal(6,4)",
-    "grid_mix": "grid_mix_id int, country_code string, year int, source_type string, "
+    "grid_mix": "grid_mix_id bigint, country_code string, year int, source_type string, "
     "generation_twh decimal(10,2), share_pct decimal(5,2), co2_intensity_gkwh decimal(7,2)",
-    "ev_adoption": "ev_adoption_id int, country_code string, year int, powertrain string, ev_sales int, "
+    "ev_adoption": "ev_adoption_id bigint, country_code string, year int, powertrain string, ev_sales int, "
     "ev_stock int, ev_sales_share_pct decimal(6,3), ev_stock_share_pct decimal(6,3)",
 }
 

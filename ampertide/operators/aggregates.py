@@ -14,19 +14,22 @@ def mean_over_join(
     on: str | Sequence[str],
     measures: Mapping[str, tuple[Column, str]],
     by: Sequence[str] = (),
-    count_as: str | None = None,
+    counts: Mapping[str, Column] | None = None,
     fact_by: Sequence[str] = (),
 ) -> DataFrame:
     """Means of fact columns over ``facts join members``, grouped by member columns.
 
     ``measures``: output name to (fact column, decimal type of its values).
+    ``counts``: output name to a condition whose true rows are counted.
     ``fact_by``: further grouping columns that the facts bring along.
+    With conditional measures one scan of the facts serves several means.
     The facts are summed per join key first, so a frequent key reaches the join
     as one row per key instead of one per fact; sums and counts then add up to
     the same mean as over the joined rows.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    parts = [F.count(F.lit(1)).alias("_rows")]
+    counts = counts or {}
+    parts = [F.count_if(condition).alias(f"_count_{name}") for name, condition in counts.items()]
     for name, (col, dtype) in measures.items():
         parts += [F.sum(col.cast(dtype)).alias(f"_sum_{name}"), F.count(col).alias(f"_n_{name}")]
     joined = facts.groupBy(*keys, *fact_by).agg(*parts).join(members, keys)
@@ -34,8 +37,7 @@ def mean_over_join(
         (F.sum(f"_sum_{name}").cast("double") / F.nullif(F.sum(f"_n_{name}"), F.lit(0).cast("long"))).alias(name)
         for name in measures
     ]
-    if count_as:
-        out.append(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias(count_as))
+    out += [F.coalesce(F.sum(f"_count_{name}"), F.lit(0).cast("long")).alias(name) for name in counts]
     return joined.groupBy(*by, *fact_by).agg(*out)
 
 

@@ -82,13 +82,11 @@ def rank_aligned(
 
 
 def best_match(
-    left: DataFrame,
-    left_key: Column,
-    right: DataFrame,
-    right_key: Column,
-    key_name: str,
-    order: Sequence[Column],
+    left: DataFrame, left_key: Column, right: DataFrame, right_key: Column, order: Sequence[Column]
 ) -> DataFrame:
-    """One joined row per key, the first in ``order``."""
-    pairs = on_key(left.withColumn(key_name, left_key), F.col(key_name), right, right_key)
-    return first_per_key(pairs, [key_name], order)
+    """Each left row with the first right row of its key, in ``order``.
+
+    The right side is reduced to one row per key before the join.
+    """
+    best = first_per_key(right.withColumn("_best_key", right_key), ["_best_key"], order)
+    return on_key(left, left_key, best, F.col("_best_key")).drop("_best_key")

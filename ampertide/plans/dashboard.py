@@ -25,17 +25,18 @@ def stored_decision(result: DataFrame, country: str | None = None, key: str = "c
 
 
 def interactive_decision(
-    countries: DataFrame, yearly: DataFrame, combustion: DataFrame, electric: DataFrame, country: str, year: int
+    countries: DataFrame, yearly: DataFrame, fleets: Sequence[DataFrame], country: str, year: int
 ) -> DataFrame:
     """KPIs of one country and year with mix, adoption and charging attached.
 
     countries: country_code, petrol and diesel price, charging_summary.
     yearly: country_code, year, electricity_price_eur_per_kwh,
     co2_intensity_gkwh, grid_mix, ev_adoption.
+    fleets: one-row frames that hold l_per_100km, co2_gkm and kwh_per_100km.
     """
     place = F.col("country_code") == F.lit(country)
     base = yearly.where(place & (F.col("year") == F.lit(year))).join(countries.where(place), "country_code")
-    row = with_scalars(base, combustion.select("l_per_100km", "co2_gkm"), electric.select("kwh_per_100km"))
+    row = with_scalars(base, *fleets)
     price, intensity = F.col("electricity_price_eur_per_kwh"), F.col("co2_intensity_gkwh")
     fuel_price = (F.col("petrol_price_eur_per_l") + F.col("diesel_price_eur_per_l")) / F.lit(2.0)
     litres, kwh = F.col("l_per_100km"), F.col("kwh_per_100km")
@@ -98,9 +99,16 @@ def cost_projection(
     ).orderBy("country", "year")
 
 
-def trend(yearly: DataFrame, measure: Column, name: str, *more: Column, keys: Sequence[str] = ("country_code", "year")) -> DataFrame:
-    """Positive values of one measure in key order."""
-    return yearly.where(measure > 0).select(*keys, measure.alias(name), *more).orderBy(*keys)
+def trend(
+    yearly: DataFrame,
+    measure: Column,
+    name: str,
+    *more: Column,
+    keys: Sequence[str] = ("country_code", "year"),
+    above: float = 0.0,
+) -> DataFrame:
+    """Values of one measure above a floor, in key order."""
+    return yearly.where(measure > above).select(*keys, measure.alias(name), *more).orderBy(*keys)
 
 
 def mix_breakdown(yearly: DataFrame, year: int, smallest: float = SMALLEST_GENERATION) -> DataFrame:

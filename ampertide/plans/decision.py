@@ -44,7 +44,7 @@ def fleet_average(
     """
     chosen = vehicles if member is None else vehicles.where(member)
     counted = details if valid is None else details.where(valid)
-    averages = mean_over_join(counted, chosen.select(on, *by), on, measures, by, count_as)
+    averages = mean_over_join(counted, chosen.select(on, *by), on, measures, by, {count_as: F.lit(True)})
     return at_least(averages, count_as, min_n)
 
 
@@ -80,8 +80,7 @@ def yearly_price(prices: DataFrame, year: int | None = None, digits: int = 4, ha
 
 def fleet_kpis(
     countries: DataFrame,
-    combustion: DataFrame,
-    electric: DataFrame,
+    fleets: Sequence[DataFrame],
     price: DataFrame,
     intensity: DataFrame,
     key: str = "country_code",
@@ -93,10 +92,10 @@ def fleet_kpis(
     ``skip_missing_price`` (the document form's sum).
 
     countries: key, petrol_price_eur_per_l, diesel_price_eur_per_l, and more.
-    combustion: one row (l_per_100km, co2_gkm). electric: one row (kwh_per_100km).
+    fleets: one-row frames that hold l_per_100km, co2_gkm and kwh_per_100km.
     price: key, price_eur_per_kwh. intensity: key, co2_g_per_kwh.
     """
-    inputs = with_scalars(countries, combustion.select("l_per_100km", "co2_gkm"), electric.select("kwh_per_100km"))
+    inputs = with_scalars(countries, *fleets)
     petrol, diesel = F.col("petrol_price_eur_per_l"), F.col("diesel_price_eur_per_l")
     fuel_price = (sum_present(petrol, diesel) if skip_missing_price else petrol + diesel) / F.lit(2.0)
     return (

@@ -210,7 +210,7 @@ def country_year_data(
 def charging_stations(stations: DataFrame) -> DataFrame:
     """Focus-country stations with a point and defaults for unreadable numbers."""
     return stations.where(F.col("country_code").isin(*COUNTRY_CODES.values())).select(
-        to_int_or(F.col("id"), 0).alias("station_id"),
+        F.coalesce(F.col("id").try_cast("bigint"), F.lit(0).cast("bigint")).alias("station_id"),
         "name",
         "city",
         "state_province",
@@ -238,29 +238,31 @@ def integrate(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def fleets(vehicles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Combustion and electric averages from the embedded records.
+def fleets(vehicles: DataFrame) -> DataFrame:
+    """Averages of both fleets from the embedded records, in one row.
 
-    Both stand in one collection, so each is one filtered global aggregate.
+    Both fleets stand in one collection, so one scan gives all averages; there
+    is no row when a fleet is empty.
     """
     litres, grams = F.col("ice_emission.fuel_consumption_comb"), F.col("ice_emission.co2_emissions_gkm")
-    combustion = (
-        vehicles.where(F.col("fuel_type").isin(*dec.COMBUSTION_FUELS) & (litres > 0) & (grams > 0))
-        .agg(F.avg(litres).alias("l_per_100km"), F.avg(grams).alias("co2_gkm"))
-        .where("l_per_100km IS NOT NULL")
-    )
     kwh = F.col("ev_spec.energy_consumption_kwh_100km")
-    electric = vehicles.where(kwh > 0).agg(F.avg(kwh).alias("kwh_per_100km")).where("kwh_per_100km IS NOT NULL")
-    return combustion, electric
+    combustion = F.col("fuel_type").isin(*dec.COMBUSTION_FUELS) & (litres > 0) & (grams > 0)
+    return (
+        vehicles.where(combustion | (kwh > 0))
+        .agg(
+            F.avg(F.when(combustion, litres)).alias("l_per_100km"),
+            F.avg(F.when(combustion, grams)).alias("co2_gkm"),
+            F.avg(F.when(kwh > 0, kwh)).alias("kwh_per_100km"),
+        )
+        .where("l_per_100km IS NOT NULL AND kwh_per_100km IS NOT NULL")
+    )
 
 
 def kpis(collections: Mapping[str, DataFrame], year: int = dec.REFERENCE_YEAR) -> DataFrame:
-    combustion, electric = fleets(collections["vehicles"])
     yearly = collections["country_year_data"].where(F.col("year") == year)
     return dec.fleet_kpis(
         collections["countries"].where(F.col("country_code").isin(*COUNTRY_CODES.values())),
-        combustion,
-        electric,
+        [fleets(collections["vehicles"])],
         yearly.select("country_code", F.col("electricity_price_eur_per_kwh").alias("price_eur_per_kwh")),
         yearly.select("country_code", F.col("co2_intensity_gkwh").alias("co2_g_per_kwh")),
         skip_missing_price=True,

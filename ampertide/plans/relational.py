@@ -114,7 +114,7 @@ def charging_station(stations: DataFrame) -> DataFrame:
     focus = stations.where(F.col("country_code").isin(*COUNTRY_CODES.values()) & F.col("id").isNotNull())
     return conform(
         focus.select(
-            to_int(F.col("id")).alias("station_id"),
+            F.col("id").try_cast("bigint").alias("station_id"),
             "name",
             "city",
             "state_province",
@@ -256,7 +256,6 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
         F.col("spec_key"),
         vehicle.where(F.col("fuel_type") == "Electric").select("vehicle_id", "make", "model"),
         match_key(F.col("make"), F.col("model")),
-        "spec_key",
         ascending("vehicle_id"),
     )
     return {
@@ -331,18 +330,16 @@ def fleets(
         valid=F.col("energy_consumption_kwh_100km") > 0,
         min_n=min_electric,
     )
-    return combustion, electric
+    return combustion.drop("n"), electric.drop("n")
 
 
 def ev_decision(
     tables: Mapping[str, DataFrame], electricity_long: DataFrame, year: int = dec.REFERENCE_YEAR
 ) -> DataFrame:
     """The recommendation per country for one year."""
-    combustion, electric = fleets(tables)
     kpis = dec.fleet_kpis(
         tables["country"].where(F.col("country_code").isin(*COUNTRY_CODES.values())),
-        combustion,
-        electric,
+        fleets(tables),
         dec.yearly_price(tables["electricity_price"], year),
         grid_intensity(electricity_long, year),
     )

@@ -76,7 +76,7 @@ def param_ref_year(t: Tables) -> DataFrame:
     orders = t.orders.where(in_year(F.col("o_orderdate"), REFERENCE_YEAR)).withColumnRenamed("o_custkey", "c_custkey")
     members = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation_key"))
     measures = {"avg_price": (F.col("o_totalprice"), MONEY)}
-    return mean_over_join(orders, members, "c_custkey", measures, ["nation_key"], "n")
+    return mean_over_join(orders, members, "c_custkey", measures, ["nation_key"], {"n": F.lit(True)})
 
 
 _TARGET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")

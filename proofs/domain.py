@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.functions.codes import map_codes
-from ampertide.operators.aggregates import mean_over_join
+from ampertide.operators.aggregates import at_least, mean_over_join
 from ampertide.operators.joining import left_chain
 from ampertide.operators.merging import append_rows
 from ampertide.operators.reshaping import embed, nest, unnest
@@ -101,23 +101,27 @@ def _intensity(t: Tables) -> DataFrame:
     return grid.select("nation_key", (F.col("g") / F.lit(0.45)).alias("co2_g_per_kwh"))
 
 
-def _fleets(t: Tables) -> tuple[DataFrame, DataFrame]:
-    vehicles = t.part.select(F.col("p_partkey").alias("l_partkey"))
+def _fleets(t: Tables) -> DataFrame:
+    """Both fleets from one scan of their records, one row."""
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity")
-    combustion = dec.fleet_average(
-        vehicles, t.lineitem, "l_partkey",
-        {"l_per_100km": (quantity, SMALL), "co2_gkm": (quantity * (1 + F.col("l_tax")), EXACT)},
-        valid=flag.isin("A", "N"), min_n=5,
+    combustion, electric = flag.isin("A", "N"), (flag == "R") & (quantity > 0)
+    averages = mean_over_join(
+        t.lineitem.where(combustion | electric),
+        t.part.select(F.col("p_partkey").alias("l_partkey")),
+        "l_partkey",
+        {
+            "l_per_100km": (F.when(combustion, quantity), SMALL),
+            "co2_gkm": (F.when(combustion, quantity * (1 + F.col("l_tax"))), EXACT),
+            "kwh_per_100km": (F.when(electric, quantity), SMALL),
+        },
+        counts={"n_combustion": combustion, "n_electric": electric},
     )
-    electric = dec.fleet_average(
-        vehicles, t.lineitem, "l_partkey", {"kwh_per_100km": (quantity, SMALL)},
-        valid=(flag == "R") & (quantity > 0), min_n=1,
-    )
-    return combustion, electric
+    large_enough = at_least(at_least(averages, "n_combustion", 5), "n_electric", 1)
+    return large_enough.drop("n_combustion", "n_electric")
 
 
 def _kpis(t: Tables) -> DataFrame:
-    return dec.fleet_kpis(_countries(t), *_fleets(t), _price(t), _intensity(t), key="nation_key")
+    return dec.fleet_kpis(_countries(t), [_fleets(t)], _price(t), _intensity(t), key="nation_key")
 
 
 @proof(_DECISION_SQL)
@@ -134,7 +138,7 @@ def decision_view(t: Tables) -> DataFrame:
 @proof(_DECISION_SQL)
 def decision_from_materialized(t: Tables) -> DataFrame:
     price, intensity = materialise(_price(t), "price"), materialise(_intensity(t), "intensity")
-    kpis = dec.fleet_kpis(_countries(t), *_fleets(t), price, intensity, key="nation_key")
+    kpis = dec.fleet_kpis(_countries(t), [_fleets(t)], price, intensity, key="nation_key")
     return dec.decide(kpis, "nation_key", "nation_name").orderBy("nation_key")
 
 
@@ -228,39 +232,49 @@ _YEARLY_SQL = f"""
 
 
 def _sales(t: Tables) -> DataFrame:
-    """Orders summed per customer, year, status and priority, with the nation name."""
+    """Orders summed per nation name, year, status and priority.
+
+    Stored, as one scan of the orders serves every yearly frame.
+    """
     per_customer = t.orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
     ).agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("amount"), F.count(F.lit(1)).alias("n"))
     names = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_code"))
     places = t.customer.select("c_custkey", "c_nationkey").join(names, "c_nationkey").select("c_custkey", "country_code")
-    return per_customer.join(places, "c_custkey")
+    summed = per_customer.join(places, "c_custkey").groupBy("country_code", "year", "status", "priority").agg(
+        F.sum("amount").alias("amount"), F.sum("n").alias("n")
+    )
+    return materialise(summed, "sales")
 
 
-def _country_year(t: Tables) -> DataFrame:
-    keys = ["country_code", "year"]
-    sales = _sales(t)
+_YEAR_KEYS = ["country_code", "year"]
+
+
+def _yearly_average(sales: DataFrame, condition: str, divisor: float, name: str) -> DataFrame:
+    quotient = F.sum("amount").cast("double") / F.sum("n") / F.lit(divisor)
+    return sales.where(condition).groupBy(*_YEAR_KEYS).agg(quotient.alias(name))
+
 
-    def average(condition: str, divisor: float, name: str) -> DataFrame:
-        quotient = F.sum("amount").cast("double") / F.sum("n") / F.lit(divisor)
-        return sales.where(condition).groupBy(*keys).agg(quotient.alias(name))
+def _yearly_intensity(sales: DataFrame) -> DataFrame:
+    return _yearly_average(sales, "status = 'F'", 1000.0, "co2_intensity_gkwh")
 
+
+def _yearly_price(sales: DataFrame) -> DataFrame:
+    return _yearly_average(sales, "status <> 'P'", 70.0, "electricity_price_eur_per_kwh")
+
+
+def _country_year(t: Tables) -> DataFrame:
+    sales = _sales(t)
     twh = F.sum("amount").cast("double") / F.lit(1000000.0)
-    mix = nest(sales.withColumnRenamed("status", "source"), keys, ["source"], {"generation_twh": twh}, "grid_mix")
+    mix = nest(sales.withColumnRenamed("status", "source"), _YEAR_KEYS, ["source"], {"generation_twh": twh}, "grid_mix")
 
     def orders_of(priority: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("priority") == priority, F.col("n"))), F.lit(0).cast("long"))
 
-    counts = sales.groupBy(*keys).agg(orders_of("1-URGENT").alias("urgent"), orders_of("5-LOW").alias("low"))
-    adoption = counts.select(*keys, embed("ev_adoption", urgent=F.col("urgent"), low=F.col("low")))
-    return left_chain(
-        average("status = 'F'", 1000.0, "co2_intensity_gkwh"),
-        keys,
-        average("status <> 'P'", 70.0, "electricity_price_eur_per_kwh"),
-        mix,
-        adoption,
-    )
+    counts = sales.groupBy(*_YEAR_KEYS).agg(orders_of("1-URGENT").alias("urgent"), orders_of("5-LOW").alias("low"))
+    adoption = counts.select(*_YEAR_KEYS, embed("ev_adoption", urgent=F.col("urgent"), low=F.col("low")))
+    return left_chain(_yearly_intensity(sales), _YEAR_KEYS, _yearly_price(sales), mix, adoption)
 
 
 @proof(
@@ -283,11 +297,16 @@ def assemble_country_year(t: Tables) -> DataFrame:
 
 @proof(
     _YEARLY_SQL
-    + "SELECT country_code, year, price AS electricity_price FROM price WHERE price > 3000 ORDER BY country_code, year"
+    + """
+    SELECT i.country_code, i.year, p.price AS electricity_price
+    FROM intensity i JOIN price p ON p.country_code = i.country_code AND p.year = i.year
+    WHERE p.price > 3000 ORDER BY i.country_code, i.year
+    """
 )
 def trend_series(t: Tables) -> DataFrame:
-    priced = _country_year(t).withColumn("_shown", F.when(F.col("electricity_price_eur_per_kwh") > 3000, F.col("electricity_price_eur_per_kwh")))
-    return dashboard.trend(priced, F.col("_shown"), "electricity_price")
+    sales = _sales(t)
+    yearly = left_chain(_yearly_intensity(sales), _YEAR_KEYS, _yearly_price(sales))
+    return dashboard.trend(yearly, F.col("electricity_price_eur_per_kwh"), "electricity_price", above=3000)
 
 
 _INTERACTIVE_NATION = "NATION_3"
@@ -316,7 +335,7 @@ def decision_interactive(t: Tables) -> DataFrame:
         F.col("nation_name").alias("country_code"), "petrol_price_eur_per_l", "diesel_price_eur_per_l",
         embed("charging_summary", station_count=F.col("station_count")),
     )
-    row = dashboard.interactive_decision(countries, _country_year(t), *_fleets(t), _INTERACTIVE_NATION, REFERENCE_YEAR)
+    row = dashboard.interactive_decision(countries, _country_year(t), [_fleets(t)], _INTERACTIVE_NATION, REFERENCE_YEAR)
     return unnest(row.select("*", "ev_adoption.*", "charging.station_count").drop("ev_adoption", "charging"), "grid_mix")
 
 
@@ -460,19 +479,19 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
         SELECT v.vehicle_id, s.battery, s.reach, s.ac_power, ROW_NUMBER() OVER (PARTITION BY s.spec_key ORDER BY v.vehicle_id) AS rn
         FROM sheet s JOIN vehicle v ON v.fuel_type = 'Electric' AND REPLACE(UPPER(v.make || ' ' || v.model), ' ', '') = s.spec_key)
       WHERE rn = 1)
-    SELECT 'vehicle' AS origin, CAST(vehicle_id AS INTEGER) AS vehicle_id, make, model, fuel_type, vehicle_class,
-           CAST(price_usd AS DOUBLE) AS price_usd, horsepower, seats, CAST(NULL AS INTEGER) AS row_id, CAST(NULL AS INTEGER) AS cylinders,
+    SELECT 'vehicle' AS origin, vehicle_id AS vehicle_id, make, model, fuel_type, vehicle_class,
+           CAST(price_usd AS DOUBLE) AS price_usd, horsepower, seats, CAST(NULL AS BIGINT) AS row_id, CAST(NULL AS INTEGER) AS cylinders,
            CAST(NULL AS DOUBLE) AS litres, CAST(NULL AS INTEGER) AS co2, CAST(NULL AS DOUBLE) AS battery, CAST(NULL AS INTEGER) AS reach,
            CAST(NULL AS DOUBLE) AS kwh, CAST(NULL AS DOUBLE) AS ac_power
     FROM vehicle
     UNION ALL
-    SELECT 'ice_emission', CAST(vehicle_id AS INTEGER), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-           CAST(vehicle_id - (SELECT COALESCE(MAX(vehicle_id), 0) FROM numbered_cars) AS INTEGER), CAST(cylinders AS INTEGER),
+    SELECT 'ice_emission', vehicle_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+           vehicle_id - (SELECT COALESCE(MAX(vehicle_id), 0) FROM numbered_cars), CAST(cylinders AS INTEGER),
            CAST(fuel_city AS DOUBLE), CAST(co2_gkm AS INTEGER), NULL, NULL, NULL, NULL
     FROM numbered_registry
     UNION ALL
-    SELECT 'ev_spec', CAST(vehicle_id AS INTEGER), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-           CAST(ROW_NUMBER() OVER (ORDER BY vehicle_id) AS INTEGER), NULL, NULL, NULL,
+    SELECT 'ev_spec', vehicle_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+           ROW_NUMBER() OVER (ORDER BY vehicle_id), NULL, NULL, NULL,
            CAST(battery AS DOUBLE), CAST(reach AS INTEGER),
            CAST(ROUND(CAST(CAST(battery AS DOUBLE) / CAST(reach AS DOUBLE) * 100 AS DECIMAL(18,8)), 1) AS DOUBLE), ac_power
     FROM spec
@@ -566,12 +585,12 @@ def _stations(t: Tables) -> DataFrame:
 @proof(
     _STATION_SQL
     + """
-    SELECT 'relational' AS form, CAST(id AS INTEGER) AS station_id, name, country_code, CAST(lat AS DOUBLE) AS lat,
+    SELECT 'relational' AS form, CAST(id AS BIGINT) AS station_id, name, country_code, CAST(lat AS DOUBLE) AS lat,
            CAST(NULL AS DOUBLE) AS lon, ports, TRY_CAST(power_kw AS DOUBLE) AS power_kw, power_class,
            CASE WHEN LOWER(fast) IN ('true', 'yes') THEN TRUE WHEN LOWER(fast) = 'false' THEN FALSE END AS is_fast_dc
     FROM raw WHERE country_code IN ('CH', 'DE', 'FR')
     UNION ALL
-    SELECT 'document', CAST(id AS INTEGER), name, country_code, CAST(lat AS DOUBLE), 0.0, ports,
+    SELECT 'document', CAST(id AS BIGINT), name, country_code, CAST(lat AS DOUBLE), 0.0, ports,
            COALESCE(TRY_CAST(power_kw AS DOUBLE), 0.0), power_class, LOWER(fast) = 'true'
     FROM raw WHERE country_code IN ('CH', 'DE', 'FR')
     """
