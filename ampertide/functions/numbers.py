@@ -35,15 +35,23 @@ def positive_or_null(col: Column) -> Column:
     return F.when(col > 0, col)
 
 
-def exact_mean(col: Column, dtype: str = "decimal(18,2)") -> Column:
-    """Mean over an exact decimal sum with one division at the end.
+def scaled(col: Column, digits: int) -> Column:
+    """A number with at most ``digits`` decimals as a whole number of its last unit."""
+    return F.rint(col.cast("double") * F.lit(float(10**digits))).cast("bigint")
 
-    Doubles added up in another order differ in the last digits; a decimal sum
-    does not, so a re-run task or another partitioning gives the same mean.
-    With eight digits or fewer the sum stays in a long.
+
+def unscaled(total: Column, digits: int) -> Column:
+    return total.cast("double") / F.lit(float(10**digits))
+
+
+def exact_mean(col: Column, digits: int = 2) -> Column:
+    """Mean over an exact sum of scaled whole numbers, divided once at the end.
+
+    Doubles added up in another order differ in the last digits; this sum does
+    not, so a re-run task or another partitioning gives the same mean.
     """
-    value = col.cast(dtype)
-    return F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0).cast("long"))
+    total = F.sum(scaled(col, digits).cast("decimal(18,0)"))
+    return unscaled(total, digits) / F.nullif(F.count(col), F.lit(0).cast("bigint"))
 
 
 def ratio(a: Column, b: Column) -> Column:

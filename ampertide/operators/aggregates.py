@@ -7,22 +7,25 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampertide.functions.numbers import scaled, unscaled
+
 
 def mean_over_join(
     facts: DataFrame,
     members: DataFrame,
     on: str | Sequence[str],
-    measures: Mapping[str, tuple[Column, str]],
+    measures: Mapping[str, tuple[Column, int]],
     by: Sequence[str] = (),
     counts: Mapping[str, Column] | None = None,
     fact_by: Sequence[str] = (),
 ) -> DataFrame:
     """Means of fact columns over ``facts join members``, grouped by member columns.
 
-    ``measures``: output name to (fact column, decimal type of its values).
+    ``measures``: output name to (fact column, number of decimals it has at most).
     ``counts``: output name to a condition whose true rows are counted.
     ``fact_by``: further grouping columns that the facts bring along.
     With conditional measures one scan of the facts serves several means.
+    Sums are exact (see ``exact_mean``): longs per key, decimals above them.
     The facts are summed per join key first, so a frequent key reaches the join
     as one row per key instead of one per fact; sums and counts then add up to
     the same mean as over the joined rows.
@@ -30,12 +33,15 @@ def mean_over_join(
     keys = [on] if isinstance(on, str) else list(on)
     counts = counts or {}
     parts = [F.count_if(condition).alias(f"_count_{name}") for name, condition in counts.items()]
-    for name, (col, dtype) in measures.items():
-        parts += [F.sum(col.cast(dtype)).alias(f"_sum_{name}"), F.count(col).alias(f"_n_{name}")]
+    for name, (col, digits) in measures.items():
+        parts += [F.sum(scaled(col, digits)).alias(f"_sum_{name}"), F.count(col).alias(f"_n_{name}")]
     joined = facts.groupBy(*keys, *fact_by).agg(*parts).join(members, keys)
     out = [
-        (F.sum(f"_sum_{name}").cast("double") / F.nullif(F.sum(f"_n_{name}"), F.lit(0).cast("long"))).alias(name)
-        for name in measures
+        (
+            unscaled(F.sum(F.col(f"_sum_{name}").cast("decimal(20,0)")), digits)
+            / F.nullif(F.sum(f"_n_{name}"), F.lit(0).cast("bigint"))
+        ).alias(name)
+        for name, (_, digits) in measures.items()
     ]
     out += [F.coalesce(F.sum(f"_count_{name}"), F.lit(0).cast("long")).alias(name) for name in counts]
     return joined.groupBy(*by, *fact_by).agg(*out)

@@ -23,7 +23,7 @@ MIN_ELECTRIC_FLEET = 1
 SEGMENT = "FLEET_AVG"
 FIRST_PRICE_YEAR = 2015
 
-Measures = Mapping[str, tuple[Column, str]]
+Measures = Mapping[str, tuple[Column, int]]
 
 
 def fleet_average(

@@ -314,8 +314,8 @@ def fleets(
         tables["ice_emission"],
         "vehicle_id",
         {
-            "l_per_100km": (F.col("fuel_consumption_comb"), "decimal(4,1)"),
-            "co2_gkm": (F.col("co2_emissions_gkm"), "decimal(9,0)"),
+            "l_per_100km": (F.col("fuel_consumption_comb"), 1),
+            "co2_gkm": (F.col("co2_emissions_gkm"), 0),
         },
         member=F.col("fuel_type").isin(*dec.COMBUSTION_FUELS),
         valid=F.col("fuel_consumption_comb").isNotNull() & F.col("co2_emissions_gkm").isNotNull(),
@@ -325,7 +325,7 @@ def fleets(
         tables["vehicle"],
         tables["ev_spec"],
         "vehicle_id",
-        {"kwh_per_100km": (F.col("energy_consumption_kwh_100km"), "decimal(4,1)")},
+        {"kwh_per_100km": (F.col("energy_consumption_kwh_100km"), 1)},
         member=F.col("fuel_type").isin(*dec.ELECTRIC_FUELS),
         valid=F.col("energy_consumption_kwh_100km") > 0,
         min_n=min_electric,

@@ -18,7 +18,7 @@ from ampertide.operators.slicing import all_equal, in_year, last_rows, long_slic
 from ampertide.session import drop_at_exit, fresh_path
 from ampertide.sources.readers import literal_rows, read_csv
 from ampertide.sources.sinks import append, clustered, overwrite, write_csv
-from proofs.registry import MONEY, Tables, mean, proof, sql_mean
+from proofs.registry import CENTS, Tables, proof, sql_mean
 
 REFERENCE_YEAR = 2000
 SUPPLIER_SQL = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
@@ -75,7 +75,7 @@ def src_values_join(t: Tables) -> DataFrame:
 def param_ref_year(t: Tables) -> DataFrame:
     orders = t.orders.where(in_year(F.col("o_orderdate"), REFERENCE_YEAR)).withColumnRenamed("o_custkey", "c_custkey")
     members = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation_key"))
-    measures = {"avg_price": (F.col("o_totalprice"), MONEY)}
+    measures = {"avg_price": (F.col("o_totalprice"), CENTS)}
     return mean_over_join(orders, members, "c_custkey", measures, ["nation_key"], {"n": F.lit(True)})
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ampertide.operators import quality
 from ampertide.operators.aggregates import mean_over_join
-from proofs.registry import MONEY, Tables, mean, proof
+from proofs.registry import CENTS, Tables, proof
 
 _PROFILED = {
     "customer": {
@@ -106,7 +106,7 @@ def check_ranges(t: Tables) -> DataFrame:
 def reconcile_two_results(t: Tables) -> DataFrame:
     """Per-nation order value by two routes: exact means after a pre-summed join, plain means over the join."""
     members = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key"))
-    exact = mean_over_join(t.orders, members, "o_custkey", {"price": (F.col("o_totalprice"), MONEY)}, ["nation_key"])
+    exact = mean_over_join(t.orders, members, "o_custkey", {"price": (F.col("o_totalprice"), CENTS)}, ["nation_key"])
     plain = t.orders.join(members, "o_custkey").groupBy("nation_key").agg(F.avg("o_totalprice").alias("price"))
     region = t.nation.select(F.col("n_nationkey").alias("nation_key"), "n_regionkey")
     shifted = plain.join(region, "nation_key").select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.functions.codes import map_codes
+from ampertide.functions.numbers import scaled, unscaled
 from ampertide.operators.aggregates import at_least, mean_over_join
 from ampertide.operators.joining import left_chain
 from ampertide.operators.merging import append_rows
@@ -20,7 +21,7 @@ from ampertide.plans import decision as dec
 from ampertide.session import materialise
 from ampertide.sources.sinks import view
 from proofs.basics import REFERENCE_YEAR
-from proofs.registry import MONEY, SMALL, Tables, mean, proof, sql_half_up, sql_mean
+from proofs.registry import CENTS, MONEY, Tables, mean, proof, sql_half_up, sql_mean
 
 EXACT = "decimal(12,4)"
 
@@ -35,10 +36,10 @@ _INPUTS_SQL = f"""
          grid AS (SELECT c.c_nationkey AS k, {sql_mean('e.value')} / CAST(0.45 AS DOUBLE) AS g
                   FROM events e JOIN customer c ON c.c_custkey = e.user_id
                   WHERE e.event_type = 'purchase' GROUP BY 1),
-         ice AS (SELECT {sql_mean('l.l_quantity', SMALL)} AS l, {sql_mean('l.l_quantity * (1 + l.l_tax)', EXACT)} AS co2
+         ice AS (SELECT {sql_mean('l.l_quantity')} AS l, {sql_mean('l.l_quantity * (1 + l.l_tax)', EXACT)} AS co2
                  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
                  WHERE l.l_returnflag IN ('A', 'N') HAVING COUNT(*) >= 5),
-         ev AS (SELECT {sql_mean('l.l_quantity', SMALL)} AS kwh
+         ev AS (SELECT {sql_mean('l.l_quantity')} AS kwh
                 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
                 WHERE l.l_returnflag = 'R' AND l.l_quantity > 0 HAVING COUNT(*) >= 1),
          kpi AS (SELECT n.n_nationkey AS nation_key, n.n_name AS nation_name,
@@ -91,13 +92,13 @@ def _countries(t: Tables) -> DataFrame:
 
 def _price(t: Tables) -> DataFrame:
     orders = t.orders.where(in_year(F.col("o_orderdate"), REFERENCE_YEAR))
-    priced = mean_over_join(orders, _members(t, "o_custkey"), "o_custkey", {"p": (F.col("o_totalprice"), MONEY)}, ["nation_key"])
+    priced = mean_over_join(orders, _members(t, "o_custkey"), "o_custkey", {"p": (F.col("o_totalprice"), CENTS)}, ["nation_key"])
     return priced.select("nation_key", (F.col("p") / F.lit(70.0)).alias("price_eur_per_kwh"))
 
 
 def _intensity(t: Tables) -> DataFrame:
     bought = t.events.where("event_type = 'purchase'")
-    grid = mean_over_join(bought, _members(t, "user_id"), "user_id", {"g": (F.col("value"), MONEY)}, ["nation_key"])
+    grid = mean_over_join(bought, _members(t, "user_id"), "user_id", {"g": (F.col("value"), CENTS)}, ["nation_key"])
     return grid.select("nation_key", (F.col("g") / F.lit(0.45)).alias("co2_g_per_kwh"))
 
 
@@ -110,9 +111,9 @@ def _fleets(t: Tables) -> DataFrame:
         t.part.select(F.col("p_partkey").alias("l_partkey")),
         "l_partkey",
         {
-            "l_per_100km": (F.when(combustion, quantity), SMALL),
-            "co2_gkm": (F.when(combustion, quantity * (1 + F.col("l_tax"))), EXACT),
-            "kwh_per_100km": (F.when(electric, quantity), SMALL),
+            "l_per_100km": (F.when(combustion, quantity), CENTS),
+            "co2_gkm": (F.when(combustion, quantity * (1 + F.col("l_tax"))), 4),
+            "kwh_per_100km": (F.when(electric, quantity), CENTS),
         },
         counts={"n_combustion": combustion, "n_electric": electric},
     )
@@ -155,7 +156,7 @@ def mv_decision_read(t: Tables) -> DataFrame:
 
 @proof(
     f"""
-    SELECT p.p_type AS vehicle_class, {sql_mean('l.l_quantity', SMALL)} AS qty, {sql_mean('l.l_extendedprice')} AS price,
+    SELECT p.p_type AS vehicle_class, {sql_mean('l.l_quantity')} AS qty, {sql_mean('l.l_extendedprice')} AS price,
            COUNT(*) AS n
     FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
     WHERE p.p_type IN ('ECONOMY', 'STANDARD', 'PROMO') AND l.l_tax > 0
@@ -164,7 +165,7 @@ def mv_decision_read(t: Tables) -> DataFrame:
 )
 def fleet_average(t: Tables) -> DataFrame:
     vehicles = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("vehicle_class"))
-    measures = {"qty": (F.col("l_quantity"), SMALL), "price": (F.col("l_extendedprice"), MONEY)}
+    measures = {"qty": (F.col("l_quantity"), CENTS), "price": (F.col("l_extendedprice"), CENTS)}
     return dec.fleet_average(
         vehicles, t.lineitem, "l_partkey", measures, member=F.col("vehicle_class").isin("ECONOMY", "STANDARD", "PROMO"),
         valid=F.col("l_tax") > 0, min_n=5, by=["vehicle_class"],
@@ -203,7 +204,7 @@ def yearly_price_union(t: Tables) -> DataFrame:
     facts = t.orders.withColumns(
         {"year": F.year("o_orderdate"), "half": F.when(F.month("o_orderdate") <= 6, "1").otherwise("2")}
     )
-    members, price = _focus(t, "o_custkey"), {"p": (F.col("o_totalprice"), MONEY)}
+    members, price = _focus(t, "o_custkey"), {"p": (F.col("o_totalprice"), CENTS)}
     halves = mean_over_join(facts, members, "o_custkey", price, ["country_code"], fact_by=["year", "half"])
     euro = halves.where(F.col("country_code").isin("DE", "FR")).select(
         "country_code",
@@ -239,11 +240,11 @@ def _sales(t: Tables) -> DataFrame:
     per_customer = t.orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
-    ).agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("amount"), F.count(F.lit(1)).alias("n"))
+    ).agg(F.sum(scaled(F.col("o_totalprice"), CENTS)).alias("amount"), F.count(F.lit(1)).alias("n"))
     names = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_code"))
     places = t.customer.select("c_custkey", "c_nationkey").join(names, "c_nationkey").select("c_custkey", "country_code")
     summed = per_customer.join(places, "c_custkey").groupBy("country_code", "year", "status", "priority").agg(
-        F.sum("amount").alias("amount"), F.sum("n").alias("n")
+        F.sum(F.col("amount").cast("decimal(20,0)")).alias("amount"), F.sum("n").alias("n")
     )
     return materialise(summed, "sales")
 
@@ -252,7 +253,7 @@ _YEAR_KEYS = ["country_code", "year"]
 
 
 def _yearly_average(sales: DataFrame, condition: str, divisor: float, name: str) -> DataFrame:
-    quotient = F.sum("amount").cast("double") / F.sum("n") / F.lit(divisor)
+    quotient = unscaled(F.sum("amount"), CENTS) / F.sum("n") / F.lit(divisor)
     return sales.where(condition).groupBy(*_YEAR_KEYS).agg(quotient.alias(name))
 
 
@@ -266,7 +267,7 @@ def _yearly_price(sales: DataFrame) -> DataFrame:
 
 def _country_year(t: Tables) -> DataFrame:
     sales = _sales(t)
-    twh = F.sum("amount").cast("double") / F.lit(1000000.0)
+    twh = unscaled(F.sum("amount"), CENTS) / F.lit(1000000.0)
     mix = nest(sales.withColumnRenamed("status", "source"), _YEAR_KEYS, ["source"], {"generation_twh": twh}, "grid_mix")
 
     def orders_of(priority: str) -> Column:

@@ -13,19 +13,21 @@ from ampertide.sources.readers import read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+CENTS = 2
 MONEY = "decimal(12,2)"
-SMALL = "decimal(8,2)"
 
 
 class Tables:
-    """The test tables of one scale, by name."""
+    """The test tables of one scale, by name; each is opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet")
+        table = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def proof(sql: str | None):
@@ -41,8 +43,8 @@ def proof(sql: str | None):
     return register
 
 
-def mean(col: str | Column, dtype: str = MONEY) -> Column:
-    return exact_mean(F.col(col) if isinstance(col, str) else col, dtype)
+def mean(col: str, digits: int = CENTS) -> Column:
+    return exact_mean(F.col(col), digits)
 
 
 def sql_mean(expr: str, dtype: str = MONEY) -> str:

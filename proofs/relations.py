@@ -11,7 +11,7 @@ from ampertide.operators.joining import attach_matches, left_chain, on_key, rank
 from ampertide.operators.numbering import ascending, first_per_key, number_in_groups, number_rows
 from ampertide.operators import reshaping
 from ampertide.operators.reshaping import nest, pair_rows, sum_entries, unnest
-from proofs.registry import MONEY, SMALL, Tables, mean, proof, sql_half_up, sql_mean
+from proofs.registry import CENTS, Tables, mean, proof, sql_half_up, sql_mean
 
 # --- joins -------------------------------------------------------------------
 
@@ -56,15 +56,15 @@ def selfjoin_pair_rows(t: Tables) -> DataFrame:
 
 @proof(
     f"""
-    WITH a AS (SELECT {sql_mean('l_quantity', SMALL)} AS kept_qty FROM lineitem WHERE l_returnflag IN ('A', 'N')),
-         r AS (SELECT {sql_mean('l_quantity', SMALL)} AS returned_qty FROM lineitem WHERE l_returnflag = 'R')
+    WITH a AS (SELECT {sql_mean('l_quantity')} AS kept_qty FROM lineitem WHERE l_returnflag IN ('A', 'N')),
+         r AS (SELECT {sql_mean('l_quantity')} AS returned_qty FROM lineitem WHERE l_returnflag = 'R')
     SELECT n.n_nationkey AS nation_key, a.kept_qty, r.returned_qty FROM nation n CROSS JOIN a CROSS JOIN r
     """
 )
 def cross_scalar(t: Tables) -> DataFrame:
     flag = F.col("l_returnflag")
-    kept = t.lineitem.where(flag.isin("A", "N")).agg(mean("l_quantity", SMALL).alias("kept_qty"))
-    returned = t.lineitem.where(flag == "R").agg(mean("l_quantity", SMALL).alias("returned_qty"))
+    kept = t.lineitem.where(flag.isin("A", "N")).agg(mean("l_quantity").alias("kept_qty"))
+    returned = t.lineitem.where(flag == "R").agg(mean("l_quantity").alias("returned_qty"))
     return with_scalars(t.nation.select(F.col("n_nationkey").alias("nation_key")), kept, returned)
 
 
@@ -100,7 +100,7 @@ def join_left_chain(t: Tables) -> DataFrame:
     facts = t.orders.withColumns({"c_custkey": F.col("o_custkey"), "year": F.year("o_orderdate")})
 
     def average(condition: str, name: str) -> DataFrame:
-        measure = {name: (F.col("o_totalprice"), MONEY)}
+        measure = {name: (F.col("o_totalprice"), CENTS)}
         return mean_over_join(facts.where(condition), members, "c_custkey", measure, ["nation_key"], fact_by=["year"])
 
     return left_chain(
@@ -193,7 +193,7 @@ def join_rank_aligned(t: Tables) -> DataFrame:
 # --- aggregations ------------------------------------------------------------
 
 
-_GLOBAL = f"SELECT {sql_mean('l_quantity', SMALL)} AS qty, {sql_mean('l_extendedprice')} AS price, COUNT(*) AS n FROM lineitem"
+_GLOBAL = f"SELECT {sql_mean('l_quantity')} AS qty, {sql_mean('l_extendedprice')} AS price, COUNT(*) AS n FROM lineitem"
 
 
 @proof(
@@ -203,7 +203,7 @@ _GLOBAL = f"SELECT {sql_mean('l_quantity', SMALL)} AS qty, {sql_mean('l_extended
     """
 )
 def global_avg_having(t: Tables) -> DataFrame:
-    measures = (mean("l_quantity", SMALL).alias("qty"), mean("l_extendedprice").alias("price"), F.count(F.lit(1)).alias("n"))
+    measures = (mean("l_quantity").alias("qty"), mean("l_extendedprice").alias("price"), F.count(F.lit(1)).alias("n"))
 
     def run(rule: str, rows: DataFrame) -> DataFrame:
         return at_least(rows.agg(*measures), "n", 5).select(F.lit(rule).alias("rule"), "*")
