@@ -49,7 +49,8 @@ def number_rows(
     """Dense numbers 1..n over the whole table.
 
     ``order`` should be total. ``after``: one-row frame holding the number to
-    continue from.
+    continue from. The range shuffle samples ``df`` before it moves it, so a
+    costly ``df`` is better stored first.
     """
     stored = _stored_in_order(df, order)
     sizes = stored.groupBy(_partition().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))

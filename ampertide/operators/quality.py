@@ -33,11 +33,14 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, samples: int =
         F.count_if(known & F.col("value").try_cast("bigint").isNull()).alias("_not_int"),
         F.count_if(known & F.col("value").try_cast("double").isNull()).alias("_not_float"),
     )
-    least = Window.partitionBy("column_name").orderBy("value")
+    # Ranking all tallies, with their counts, lets both readers share one shuffle;
+    # each task keeps only its ``samples`` lowest values per column.
+    least = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last())
     lowest = (
-        tallies.where(known)
+        tallies.where(F.col("c") > 0)
         .withColumn("rn", F.row_number().over(least))
         .where(F.col("rn") <= samples)
+        .where(known)
         .groupBy("column_name")
         .agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("least_values"))
     )

@@ -20,7 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampertide.catalog import conform
+from ampertide.catalog import conform, renamed
 from ampertide.functions.codes import (
     COUNTRY_CODES,
     FUEL_CODES,
@@ -65,6 +65,57 @@ GENERATION = {"category": "Electricity generation", "subcategory": "Fuel"}
 YEARS = (2018, 2023)
 
 
+# File header to staging column, per source.
+STAGING_COLUMNS: dict[str, dict[str, str]] = {
+    "car_catalogue": {
+        "Company Names": "company_name",
+        "Cars Names": "car_name",
+        "Fuel Types": "fuel_type",
+        "Cars Prices": "price",
+        "HorsePower": "horsepower",
+        "Seats": "seats",
+    },
+    "emission_registry": {
+        "Make": "make",
+        "Model": "model",
+        "Vehicle Class": "vehicle_class",
+        "Engine Size(L)": "engine_size_l",
+        "Cylinders": "cylinders",
+        "Transmission": "transmission",
+        "Fuel Type": "fuel_type",
+        "Fuel Consumption City (L/100 km)": "fuel_city",
+        "Fuel Consumption Hwy (L/100 km)": "fuel_hwy",
+        "Fuel Consumption Comb (L/100 km)": "fuel_comb",
+        "CO2 Emissions(g/km)": "co2_gkm",
+    },
+    "ev_specs": {
+        "Car model": "car_model",
+        "Battery_Capacity_kWh": "battery_capacity_kwh",
+        "Autonomy_WLTP_Km": "autonomy_wltp_km",
+        "DC_nominal_charge_power_KW": "dc_charge_power_kw",
+        "AC_nominal_charging": "ac_charge_power",
+        "year": "release_year",
+    },
+    "electricity_long": {
+        "Area": "area",
+        "Year": "year",
+        "Category": "category",
+        "Subcategory": "subcategory",
+        "Variable": "variable",
+        "Unit": "unit",
+        "Value": "value",
+    },
+    "swiss_power_prices": {"year": "year", "avgPrice": "avg_price"},
+}
+
+
+def staging(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Source frames under their staging column names."""
+    return {
+        name: renamed(df, STAGING_COLUMNS[name]) if name in STAGING_COLUMNS else df for name, df in sources.items()
+    }
+
+
 def country(spark: SparkSession) -> DataFrame:
     schema = "country_code string, country_name string, petrol_price_eur_per_l string, diesel_price_eur_per_l string"
     return conform(literal_rows(spark, COUNTRY_ROWS, schema), "country")

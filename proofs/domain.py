@@ -430,7 +430,7 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.concat(F.lit("AC "), F.col("s_nationkey").cast("string"), F.lit(".5 kW")).alias("ac_charge_power"),
         F.lit("empty").alias("release_year"),
     )
-    return catalogue, registry, specs
+    return catalogue, materialise(registry, "registry"), materialise(specs, "sheet")
 
 
 @proof(
