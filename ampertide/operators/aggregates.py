@@ -53,14 +53,15 @@ def at_least(df: DataFrame, count_column: str, minimum: int) -> DataFrame:
 
 
 def grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", accuracy: int = 10_000
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", accuracy: int = 100_000
 ) -> DataFrame:
     """Exact median per group without holding a group in one place.
 
     A first pass brackets the middle of every group by approximate percentiles,
     whose rank error is bounded. A second pass counts the values below the
     bracket and tallies the few inside it, both combined on the map side; the
-    middle ranks are then read off the tallies.
+    middle ranks are then read off the tallies. The bracket spans ten rows in
+    ``accuracy``, the memory per group grows with ``accuracy``.
     """
     margin = 5.0 / accuracy
     known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +13,16 @@ from ampertide.operators.reshaping import nest
 
 
 def with_scalars(df: DataFrame, *one_row_frames: DataFrame) -> DataFrame:
-    """Attach frames that are ungrouped aggregates, hence one row or none."""
-    for frame in one_row_frames:
-        df = df.crossJoin(F.broadcast(frame))
-    return df
+    """Attach the columns of frames that hold one row, or none.
+
+    Each frame is a scalar subquery: it runs once and its values enter the plan
+    as constants, so nothing is joined. More than one row fails the query; with
+    no row the result is empty.
+    """
+    names = [f"_scalars_{i}" for i in range(len(one_row_frames))]
+    held = df.withColumns({n: f.select(F.struct(*f.columns)).scalar() for n, f in zip(names, one_row_frames)})
+    found = reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names))
+    return held.where(found).select(*df.columns, *(f"{name}.*" for name in names))
 
 
 def left_chain(anchor: DataFrame, on: Sequence[str], *others: DataFrame) -> DataFrame:

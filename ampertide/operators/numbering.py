@@ -48,8 +48,8 @@ def number_rows(
 ) -> DataFrame:
     """Dense numbers 1..n over the whole table.
 
-    ``order`` should be total. ``after``: one-row frame holding the number to
-    continue from. The range shuffle samples ``df`` before it moves it, so a
+    ``order`` should be total. ``after``: frame of one row and column, the number
+    to continue from. The range shuffle samples ``df`` before it moves it, so a
     costly ``df`` is better stored first.
     """
     stored = _stored_in_order(df, order)
@@ -60,9 +60,7 @@ def number_rows(
     numbered = stored.withColumn("_part", _partition()).join(F.broadcast(starts), "_part")
     number = F.col("_start") + _position() + 1
     if after is not None:
-        offset = after.columns[0]
-        numbered = numbered.crossJoin(F.broadcast(after.select(F.col(offset).alias("_after"))))
-        number = number + F.col("_after")
+        number = number + after.scalar()
     return numbered.select(*df.columns, number.cast("long").alias(name))
 
 

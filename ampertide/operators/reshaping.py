@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampertide.operators.slicing import all_equal
@@ -49,17 +49,29 @@ def pair_rows(
 
 
 def nest(
-    df: DataFrame, keys: Sequence[str], element: Sequence[str], measures: Mapping[str, Column], name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    element: Sequence[str],
+    measures: Mapping[str, Column],
+    name: str,
+    max_items: int = 999,
 ) -> DataFrame:
     """One array of structs (element columns, measures) per key, sorted.
 
     Rows are first combined per (key, element) on the map side. ``element``
-    must come from a small domain, such as the energy sources or power classes:
-    an array is as long as that domain, however many rows a key has.
+    should come from a small domain, such as the energy sources or power
+    classes: an array is as long as that domain, however many rows a key has.
+    A key with more than ``max_items`` elements fails the query before they are
+    gathered; such data belongs in rows.
     """
     combined = df.groupBy(*keys, *element).agg(*(agg.alias(m) for m, agg in measures.items()))
-    item = F.struct(*element, *measures)
-    return combined.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*element))
+    # The limit on the place is applied before the shuffle, too.
+    placed = combined.withColumn("_place", place).where(F.col("_place") <= max_items + 1)
+    items = F.sort_array(F.collect_list(F.struct(*element, *measures)))
+    too_many = F.raise_error(F.lit(f"more than {max_items} entries for one key in {name}"))
+    gathered = placed.groupBy(*keys).agg(items.alias(name))
+    return gathered.withColumn(name, F.when(F.size(name) <= max_items, F.col(name)).otherwise(too_many))
 
 
 def unnest(df: DataFrame, array: str, keep_empty: bool = False) -> DataFrame:

@@ -95,20 +95,16 @@ def fleet_kpis(
     fleets: one-row frames that hold l_per_100km, co2_gkm and kwh_per_100km.
     price: key, price_eur_per_kwh. intensity: key, co2_g_per_kwh.
     """
-    inputs = with_scalars(countries, *fleets)
+    inputs = countries.join(intensity.select(key, "co2_g_per_kwh"), key).join(price.select(key, "price_eur_per_kwh"), key)
     petrol, diesel = F.col("petrol_price_eur_per_l"), F.col("diesel_price_eur_per_l")
     fuel_price = (sum_present(petrol, diesel) if skip_missing_price else petrol + diesel) / F.lit(2.0)
-    return (
-        inputs.join(intensity.select(key, "co2_g_per_kwh"), key)
-        .join(price.select(key, "price_eur_per_kwh"), key)
-        .withColumns(
-            {
-                "ice_eur_per_km": per_km(fuel_price, F.col("l_per_100km")),
-                "ev_eur_per_km": per_km(F.col("price_eur_per_kwh"), F.col("kwh_per_100km")),
-                "ev_co2_g_per_km": per_km(F.col("co2_g_per_kwh"), F.col("kwh_per_100km")),
-                "ice_co2_g_per_km": F.col("co2_gkm"),
-            }
-        )
+    return with_scalars(inputs, *fleets).withColumns(
+        {
+            "ice_eur_per_km": per_km(fuel_price, F.col("l_per_100km")),
+            "ev_eur_per_km": per_km(F.col("price_eur_per_kwh"), F.col("kwh_per_100km")),
+            "ev_co2_g_per_km": per_km(F.col("co2_g_per_kwh"), F.col("kwh_per_100km")),
+            "ice_co2_g_per_km": F.col("co2_gkm"),
+        }
     )
 
 
@@ -125,16 +121,31 @@ _KPIS = ("ice_eur_per_km", "ev_eur_per_km", "ev_co2_g_per_km", "ice_co2_g_per_km
 _DIGITS = dict(zip(_KPIS, (4, 4, 2, 0)))
 
 
-def decide(kpis: DataFrame, *keep: str, r_cost: float = COST_LIMIT, r_co2: float = CO2_LIMIT) -> DataFrame:
-    """Relational form: rule and ratios on unrounded values, half-up rounding last."""
+def decide(
+    kpis: DataFrame,
+    *keep: str,
+    r_cost: float = COST_LIMIT,
+    r_co2: float = CO2_LIMIT,
+    show_limits: bool = False,
+) -> DataFrame:
+    """Relational form: rule and ratios on unrounded values, half-up rounding last.
+
+    ``show_limits`` gives the two thresholds instead of the two ratios.
+    """
     ice_cost, ev_cost, ev_co2, ice_co2 = (F.col(c) for c in _KPIS)
+    if show_limits:
+        last = (F.lit(r_cost).alias("r_cost"), F.lit(r_co2).alias("r_co2"))
+    else:
+        last = (
+            F.round(ratio(ev_cost, ice_cost), 2).alias("ratio_cost"),
+            F.round(ratio(ev_co2, ice_co2), 2).alias("ratio_co2"),
+        )
     return kpis.select(
         *keep,
         F.lit(SEGMENT).alias("segment"),
         *(F.round(F.col(c), _DIGITS[c]).alias(c) for c in _KPIS),
         recommend(ev_cost, ice_cost, ev_co2, ice_co2, r_cost, r_co2).alias("recommend_ev"),
-        F.round(ratio(ev_cost, ice_cost), 2).alias("ratio_cost"),
-        F.round(ratio(ev_co2, ice_co2), 2).alias("ratio_co2"),
+        *last,
     )
 
 

@@ -18,7 +18,15 @@ from ampertide.functions.codes import (
     label_by_rules,
     map_codes,
 )
-from ampertide.functions.numbers import positive_or_null, rappen_to_eur, to_double, to_double_or, to_int, to_int_or
+from ampertide.functions.numbers import (
+    exact_mean,
+    positive_or_null,
+    rappen_to_eur,
+    to_double,
+    to_double_or,
+    to_int,
+    to_int_or,
+)
 from ampertide.functions.parse import first_part_int, flag_is_true, period_year, price_first_part
 from ampertide.functions.text import differs_from_empty, rejoin_rest, split_first
 from ampertide.operators.joining import left_chain
@@ -250,9 +258,9 @@ def fleets(vehicles: DataFrame) -> DataFrame:
     return (
         vehicles.where(combustion | (kwh > 0))
         .agg(
-            F.avg(F.when(combustion, litres)).alias("l_per_100km"),
-            F.avg(F.when(combustion, grams)).alias("co2_gkm"),
-            F.avg(F.when(kwh > 0, kwh)).alias("kwh_per_100km"),
+            exact_mean(F.when(combustion, litres), 1).alias("l_per_100km"),
+            exact_mean(F.when(combustion, grams), 0).alias("co2_gkm"),
+            exact_mean(F.when(kwh > 0, kwh), 1).alias("kwh_per_100km"),
         )
         .where("l_per_100km IS NOT NULL AND kwh_per_100km IS NOT NULL")
     )

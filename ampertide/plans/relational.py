@@ -39,12 +39,13 @@ from ampertide.functions.parse import (
 )
 from ampertide.functions.text import after_first_word, blank_to_null, first_word, has_text, match_key
 from ampertide.operators.aggregates import highest
-from ampertide.operators.joining import best_match, without_match
+from ampertide.operators.joining import best_match, with_scalars, without_match
 from ampertide.operators.merging import append_rows, backfill
 from ampertide.operators.numbering import ascending, first_per_key, number_rows
 from ampertide.operators.reshaping import pair_rows, pivot_max
 from ampertide.operators.slicing import long_slice
 from ampertide.plans import decision as dec
+from ampertide.plans.dashboard import purchase_prices
 from ampertide.session import materialise
 from ampertide.sources.readers import literal_rows
 
@@ -323,8 +324,8 @@ def match_upper(*names: str):
 
 def _with_row_id(registered: DataFrame, name: str) -> DataFrame:
     """Ids 1..n from the dense vehicle ids of the registry rows."""
-    first = registered.agg(F.min("vehicle_id").alias("_first"))
-    return registered.crossJoin(F.broadcast(first)).withColumn(name, F.col("vehicle_id") - F.col("_first") + 1)
+    first = registered.agg(F.min("vehicle_id")).scalar()
+    return registered.withColumn(name, F.col("vehicle_id") - first + 1)
 
 
 def integrate(spark: SparkSession, staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -384,14 +385,51 @@ def fleets(
     return combustion.drop("n"), electric.drop("n")
 
 
+def decision_inputs(
+    tables: Mapping[str, DataFrame], electricity_long: DataFrame, year: int = dec.REFERENCE_YEAR
+) -> tuple[DataFrame, DataFrame]:
+    """Price and grid intensity per country for one year, as they may be stored."""
+    return dec.yearly_price(tables["electricity_price"], year), grid_intensity(electricity_long, year)
+
+
+def kpis(tables: Mapping[str, DataFrame], price: DataFrame, intensity: DataFrame) -> DataFrame:
+    focus = tables["country"].where(F.col("country_code").isin(*COUNTRY_CODES.values()))
+    return dec.fleet_kpis(focus, fleets(tables), price, intensity)
+
+
 def ev_decision(
     tables: Mapping[str, DataFrame], electricity_long: DataFrame, year: int = dec.REFERENCE_YEAR
 ) -> DataFrame:
     """The recommendation per country for one year."""
-    kpis = dec.fleet_kpis(
-        tables["country"].where(F.col("country_code").isin(*COUNTRY_CODES.values())),
-        fleets(tables),
-        dec.yearly_price(tables["electricity_price"], year),
-        grid_intensity(electricity_long, year),
+    inputs = decision_inputs(tables, electricity_long, year)
+    return dec.decide(kpis(tables, *inputs), "country_code", "country_name").orderBy("country_code")
+
+
+def stored_decision(
+    tables: Mapping[str, DataFrame], price: DataFrame, intensity: DataFrame
+) -> DataFrame:
+    """The recommendation from stored inputs, with the limits shown."""
+    return dec.decide(kpis(tables, price, intensity), "country_code", "country_name", show_limits=True).orderBy(
+        "country_code"
     )
-    return dec.decide(kpis, "country_code", "country_name").orderBy("country_code")
+
+
+def cost_base(tables: Mapping[str, DataFrame], decision: DataFrame) -> DataFrame:
+    """Purchase price of both fleets and cost per km, per country."""
+    priced = tables["vehicle"].where(F.col("price_usd").isNotNull())
+    running = decision.select(
+        "country_code",
+        F.col("ice_eur_per_km").alias("ice_cost_per_km"),
+        F.col("ev_eur_per_km").alias("ev_cost_per_km"),
+    )
+    return with_scalars(running, purchase_prices(priced))
+
+
+def create_views(tables: Mapping[str, DataFrame], electricity_long: DataFrame) -> None:
+    """Temporary views for SQL users: the tables, analytics_view and v_ev_tco_base."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    inputs = decision_inputs(tables, electricity_long)
+    decision = dec.decide(kpis(tables, *inputs), "country_code").drop("segment")
+    decision.createOrReplaceTempView("analytics_view")
+    cost_base(tables, decision).createOrReplaceTempView("v_ev_tco_base")

@@ -24,12 +24,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
 
 
 def read_source(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read one of the known source files."""
-    return read_csv(spark, path, catalog.source_schema(name))
+    """Read one of the known source files; a blank text cell is "" and not NULL."""
+    return read_csv(spark, path, catalog.source_schema(name)).na.fill("")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read Parquet; a known schema saves opening a file to find it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

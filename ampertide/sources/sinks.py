@@ -28,7 +28,13 @@ def truncate(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).option("emptyValue", '""').csv(path)
+    """Write header CSV; blanks around values are kept."""
+    (
+        df.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ampertide.functions.codes import map_codes
 from ampertide.functions.numbers import scaled, unscaled
 from ampertide.operators.aggregates import at_least, mean_over_join
-from ampertide.operators.joining import left_chain
+from ampertide.operators.joining import left_chain, with_scalars
 from ampertide.operators.merging import append_rows
 from ampertide.operators.reshaping import embed, nest, unnest
 from ampertide.operators.slicing import in_year
@@ -362,7 +362,7 @@ def tco_projection(t: Tables) -> DataFrame:
     purchase = dashboard.purchase_prices(
         t.part, "p_retailprice", "p_type", ("ECONOMY", "STANDARD", "SMALL", "MEDIUM"), ("PROMO", "LARGE")
     )
-    base = _kpis(t).crossJoin(F.broadcast(purchase)).select(
+    base = with_scalars(_kpis(t), purchase).select(
         "nation_key", "ice_purchase_usd", "ev_purchase_usd",
         F.col("ice_eur_per_km").alias("ice_cost_per_km"), F.col("ev_eur_per_km").alias("ev_cost_per_km"),
     )

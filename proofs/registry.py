@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ampertide.functions.numbers import exact_mean
 from ampertide.sources.readers import read_table
@@ -17,6 +18,10 @@ CENTS = 2
 MONEY = "decimal(12,2)"
 
 
+# Table path to schema, so that a table's footer is read once per process.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Tables:
     """The test tables of one scale, by name; each is opened once."""
 
@@ -25,7 +30,9 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        table = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        table = read_table(self.spark, path, _SCHEMAS.get(path))
+        _SCHEMAS[path] = table.schema
         setattr(self, name, table)
         return table
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ampertide.functions import numbers, parse, text
 from ampertide.operators import merging, quality
 from ampertide.operators.aggregates import grouped_median, mean_over_join, row_counts
-from ampertide.operators.joining import attach_matches, best_match, rank_aligned, without_match
+from ampertide.operators.joining import attach_matches, best_match, rank_aligned, with_scalars, without_match
 from ampertide.operators.numbering import ascending, first_per_key, largest_group, number_in_groups, number_rows
 from ampertide.operators.reshaping import nest, pair_rows, sum_entries, unnest
 from ampertide.operators.slicing import last_rows, optional_filter
@@ -230,3 +230,18 @@ def test_model_split(spark):
     got = df.select(text.split_first(F.col("m")), text.rejoin_rest(F.col("m")), text.first_word(F.col("m")), text.after_first_word(F.col("m")))
     assert [tuple(r) for r in got.collect()] == [
         ("Citroen", "C  Zero", "Citroen", "C  Zero"), ("Renault", "ZOE ", "Renault", "ZOE"), ("A", "B", "A", "B"), ("Solo", "", "Solo", "")]
+
+
+def test_nest_refuses_long_arrays(skewed):
+    nested = nest(skewed, ["g"], ["id"], {"n": F.count(F.lit(1))}, "items", max_items=100)
+    with pytest.raises(Exception, match="more than 100 entries"):
+        nested.collect()
+    assert nest(skewed, ["g"], ["v"], {"n": F.count(F.lit(1))}, "items", max_items=21).count() == 4
+
+
+def test_scalars_need_one_row(spark):
+    df = spark.range(3)
+    assert with_scalars(df, spark.range(1).selectExpr("7 AS a", "8 AS b")).where("a = 7 AND b = 8").count() == 3
+    assert with_scalars(df, spark.range(0).selectExpr("id AS a")).count() == 0
+    with pytest.raises(Exception, match="more than one row|SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        with_scalars(df, spark.range(2).selectExpr("id AS a")).collect()

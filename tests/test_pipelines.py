@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ampertide import catalog
 from ampertide.operators import quality
-from ampertide.plans import dashboard, documents, relational
-from ampertide.session import materialise
+from ampertide.plans import dashboard, documents, relational, storage
+from ampertide.session import fresh_path, materialise
+from ampertide.sources.readers import read_source
+from ampertide.sources.sinks import write_csv
 from tests.fixtures import sources as source_frames
 
 # The published result for reference year 2022.
@@ -214,3 +216,60 @@ def test_malformed_period(tables, sources):
     assert tables["electricity_price"].where("country_code = 'DE' AND year = 2021").count() == 0
     prices = documents.yearly_prices(sources["swiss_power_prices"], sources["euro_power_prices"])
     assert rows(prices.where("country_code = 'DE' AND year = 2021"), "electricity_price_eur_per_kwh") == [(0.9,)]
+
+
+def test_sql_views(spark, tables, sources):
+    relational.create_views(tables, relational.staging(sources)["electricity_long"])
+    one = spark.sql("SELECT * FROM analytics_view WHERE country_code = :country ORDER BY country_code", {"country": "DE"})
+    assert result(one) == {"DE": GOLDEN["DE"]}
+    projection = spark.sql(
+        """
+        SELECT b.country_code AS country, y.yr AS year,
+               ROUND(b.ice_purchase_usd + :km * y.yr * b.ice_cost_per_km, 2) AS ice_total,
+               ROUND(b.ev_purchase_usd + :km * y.yr * b.ev_cost_per_km, 2) AS ev_total
+        FROM v_ev_tco_base b LATERAL VIEW explode(sequence(1, :years)) y AS yr
+        WHERE b.country_code = :country ORDER BY year
+        """,
+        {"country": "CH", "km": 15000, "years": 2},
+    )
+    assert [tuple(r) for r in projection.collect()] == [("CH", 1, 14610.0, 60562.5), ("CH", 2, 17220.0, 61125.0)]
+
+
+def test_decision_from_stored_inputs(spark, tables, sources):
+    inputs = relational.decision_inputs(tables, relational.staging(sources)["electricity_long"])
+    price, intensity = storage.store(dict(zip(("price", "intensity"), inputs)), fresh_path(spark, "inputs")).values()
+    got = {r["country_code"]: (r["ice_eur_per_km"], r["recommend_ev"], r["r_cost"], r["r_co2"]) for r in relational.stored_decision(tables, price, intensity).collect()}
+    assert got == {c: (v[0], 1, 1.1, 1.0) for c, v in GOLDEN.items()}
+
+
+def test_store_is_repeatable(spark, collections):
+    folder = fresh_path(spark, "model")
+    storage.store(collections, folder)
+    storage.store(collections, folder)
+    again = storage.stored(spark, folder, collections)
+    assert {n: df.count() for n, df in again.items()} == {n: df.count() for n, df in collections.items()}
+    assert result(documents.ev_decision(again)) == GOLDEN
+
+
+def test_electricity_layout_serves_the_slice(spark, tables, sources):
+    electricity = relational.staging(sources)["electricity_long"]
+    laid_out = storage.store_electricity_long(electricity, fresh_path(spark, "electricity"))
+    slice_ = relational.grid_intensity(laid_out)
+    assert values_of(slice_) == values_of(relational.grid_intensity(electricity))
+    assert "(year#" in slice_._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+
+
+def values_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_source_files(spark, sources):
+    """Header CSV written and read back: blank cells stay text, traps survive."""
+    for name in ("ev_specs", "charging_stations", "electricity_long", "car_catalogue"):
+        path = fresh_path(spark, name)
+        write_csv(sources[name], path)
+        back = read_source(spark, path, name)
+        assert back.schema.simpleString() == sources[name].schema.simpleString()
+        assert back.count() == sources[name].count()
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, sources[name].na.fill("").collect()))
+
