@@ -280,8 +280,11 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
         match_upper("make", "model"),
         F.col("vehicle_class"),
     )
+    # Results of joins are stored before they are numbered, which reads them twice.
     cars = number_rows(
-        cars, ascending("make", "model", "fuel_type", "price_usd", "horsepower", "seats"), "vehicle_id"
+        materialise(cars, "cars"),
+        ascending("make", "model", "fuel_type", "price_usd", "horsepower", "seats"),
+        "vehicle_id",
     )
     registered = number_rows(
         registry_rows(registry), ascending(*_REGISTRY_ORDER), "vehicle_id", after=highest(cars, "vehicle_id")
@@ -299,7 +302,7 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
         "spec_key",
     )
     added = number_rows(
-        missing, ascending("spec_key"), "vehicle_id", after=highest(known, "vehicle_id")
+        materialise(missing, "missing"), ascending("spec_key"), "vehicle_id", after=highest(known, "vehicle_id")
     ).drop("spec_key")
     vehicle = append_rows(known, added)
 
@@ -313,7 +316,7 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
     return {
         "vehicle": conform(vehicle, "vehicle"),
         "ice_emission": conform(_with_row_id(registered, "ice_emission_id"), "ice_emission"),
-        "ev_spec": conform(with_id(matched, "ev_spec_id", ("vehicle_id",)), "ev_spec"),
+        "ev_spec": conform(with_id(materialise(matched, "matched"), "ev_spec_id", ("vehicle_id",)), "ev_spec"),
     }
 
 

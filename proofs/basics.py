@@ -269,13 +269,13 @@ def filter_long_slice(t: Tables) -> DataFrame:
            CAST(YEAR(l_shipdate) AS INTEGER) AS year,
            CAST(l_extendedprice AS DECIMAL(10,4)) AS value
     FROM lineitem
-    WHERE l_linestatus = 'F' AND l_linenumber = 1 AND l_returnflag IN ('A', 'N')
+    WHERE l_linestatus = 'F' AND l_tax = 0 AND l_returnflag IN ('A', 'N')
     """
 )
 def long_slice_value(t: Tables) -> DataFrame:
     return long_slice(
         t.lineitem,
-        equals={"l_linestatus": "F", "l_linenumber": 1},
+        equals={"l_linestatus": "F", "l_tax": 0.0},
         entity="l_returnflag",
         entity_codes={"A": "AA", "N": "NN"},
         period=F.year("l_shipdate"),
@@ -367,7 +367,7 @@ def filter_regex_period(t: Tables) -> DataFrame:
     _PERIOD_SQL
     + """
     SELECT o_orderkey, CAST(SUBSTRING(period, 1, 4) AS INTEGER) AS year,
-           CASE SUBSTRING(period, 7, 1) WHEN '1' THEN 1 WHEN '2' THEN 2 END AS half_year
+           CAST(RIGHT(period, 1) AS INTEGER) AS half_year
     FROM raw
     WHERE REGEXP_MATCHES(period, '^[0-9]{4}-S[12]$') AND CAST(SUBSTRING(period, 1, 4) AS INTEGER) >= 1997
     """

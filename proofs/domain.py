@@ -439,10 +439,9 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     , classes AS (SELECT UPPER(TRIM(make)) AS mk, UPPER(TRIM(model)) AS md, MIN(vehicle_class) AS vehicle_class FROM registry GROUP BY 1, 2),
     cars AS (
       SELECT TRIM(company_name) AS make, TRIM(car_name) AS model,
-             CASE WHEN LOWER(fuel_type) LIKE '%plug%' THEN 'Plug-in Hybrid' WHEN LOWER(fuel_type) LIKE '%electric%' THEN 'Electric'
-                  WHEN LOWER(fuel_type) LIKE '%diesel%' THEN 'Diesel'
-                  WHEN LOWER(fuel_type) LIKE '%petrol%' OR LOWER(fuel_type) LIKE '%gasoline%' THEN 'Petrol' ELSE 'Hybrid' END AS fuel_type,
-             CAST(REGEXP_EXTRACT(REPLACE(REPLACE(REPLACE(price, '$', ''), ',', ''), '-', ' '), '[0-9]+') AS DOUBLE) AS price_usd,
+             MAP {'Petrol': 'Petrol', 'diesel engine': 'Diesel', 'Plug-in hybrid': 'Plug-in Hybrid', 'Electric': 'Electric',
+                  'Hybrid': 'Hybrid', 'gasoline': 'Petrol'}[fuel_type] AS fuel_type,
+             CAST(REGEXP_EXTRACT(REGEXP_REPLACE(price, '[$,]', '', 'g'), '[0-9]+') AS DOUBLE) AS price_usd,
              CAST(REGEXP_EXTRACT(horsepower, '[0-9]+') AS INTEGER) AS horsepower,
              CAST(NULLIF(REGEXP_EXTRACT(seats, '[0-9]+'), '') AS INTEGER) AS seats
       FROM catalogue),
@@ -453,8 +452,7 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     numbered_registry AS (
       SELECT (SELECT COALESCE(MAX(vehicle_id), 0) FROM numbered_cars)
              + ROW_NUMBER() OVER (ORDER BY make, model, fuel, cylinders, transmission, fuel_city, fuel_hwy, co2_gkm, vehicle_class) AS vehicle_id, *
-      FROM (SELECT *, CASE fuel_type WHEN 'X' THEN 'Petrol' WHEN 'Z' THEN 'Premium Petrol' WHEN 'D' THEN 'Diesel'
-                                     WHEN 'E' THEN 'E85' WHEN 'N' THEN 'Natural Gas' ELSE 'Unknown' END AS fuel FROM registry)),
+      FROM (SELECT *, COALESCE(MAP {'X': 'Petrol', 'Z': 'Premium Petrol', 'D': 'Diesel'}[fuel_type], 'Unknown') AS fuel FROM registry)),
     known AS (
       SELECT vehicle_id, make, model, fuel_type, vehicle_class, price_usd, horsepower, seats FROM numbered_cars
       UNION ALL
@@ -588,7 +586,7 @@ def _stations(t: Tables) -> DataFrame:
     + """
     SELECT 'relational' AS form, CAST(id AS BIGINT) AS station_id, name, country_code, CAST(lat AS DOUBLE) AS lat,
            CAST(NULL AS DOUBLE) AS lon, ports, TRY_CAST(power_kw AS DOUBLE) AS power_kw, power_class,
-           CASE WHEN LOWER(fast) IN ('true', 'yes') THEN TRUE WHEN LOWER(fast) = 'false' THEN FALSE END AS is_fast_dc
+           MAP {'True': TRUE, 'yes': TRUE, 'False': FALSE}[fast] AS is_fast_dc
     FROM raw WHERE country_code IN ('CH', 'DE', 'FR')
     UNION ALL
     SELECT 'document', CAST(id AS BIGINT), name, country_code, CAST(lat AS DOUBLE), 0.0, ports,

@@ -24,7 +24,7 @@ def str_case_trim(t: Tables) -> DataFrame:
 
 @proof(
     """
-    SELECT c_custkey, REPLACE(REPLACE(REPLACE('$ ' || c_name || ',000', '$', ''), ',', ''), ' ', '') AS clean FROM customer
+    SELECT c_custkey, TRANSLATE('$ ' || c_name || ',000', '$, ', '') AS clean FROM customer
     """
 )
 def str_strip_symbols(t: Tables) -> DataFrame:
@@ -126,22 +126,28 @@ _FUEL_TEXT = """
 """
 
 
+# Words per label in order of precedence; the last column is a word that rules a match out.
+_FUEL_RULES = """
+    , relational_rules(place, word, label, blocker) AS (VALUES
+        (1, 'plug', 'Plug-in Hybrid', NULL), (2, 'phev', 'Plug-in Hybrid', NULL), (3, 'electric', 'Electric', 'hybrid'),
+        (4, 'diesel', 'Diesel', NULL), (5, 'petrol', 'Petrol', NULL), (6, 'gasoline', 'Petrol', NULL), (7, 'hybrid', 'Hybrid', NULL)),
+    document_rules(place, word, label) AS (VALUES
+        (1, 'electric', 'Electric'), (2, 'diesel', 'Diesel'), (3, 'hybrid', 'Hybrid'), (4, 'petrol', 'Petrol'),
+        (5, 'gasoline', 'Petrol'), (6, 'benzin', 'Petrol'))
+"""
+
+
 @proof(
     _FUEL_TEXT
+    + _FUEL_RULES
     + """
-    SELECT p_partkey,
-           CASE WHEN LOWER(TRIM(fuel)) LIKE '%plug%' OR LOWER(TRIM(fuel)) LIKE '%phev%' THEN 'Plug-in Hybrid'
-                WHEN LOWER(TRIM(fuel)) LIKE '%electric%' AND LOWER(TRIM(fuel)) NOT LIKE '%hybrid%' THEN 'Electric'
-                WHEN LOWER(TRIM(fuel)) LIKE '%diesel%' THEN 'Diesel'
-                WHEN LOWER(TRIM(fuel)) LIKE '%petrol%' OR LOWER(TRIM(fuel)) LIKE '%gasoline%' THEN 'Petrol'
-                WHEN LOWER(TRIM(fuel)) LIKE '%hybrid%' THEN 'Hybrid'
-                ELSE NULLIF(TRIM(fuel), '') END AS relational,
-           CASE WHEN REGEXP_MATCHES(LOWER(fuel), 'electric') THEN 'Electric'
-                WHEN REGEXP_MATCHES(LOWER(fuel), 'diesel') THEN 'Diesel'
-                WHEN REGEXP_MATCHES(LOWER(fuel), 'hybrid') THEN 'Hybrid'
-                WHEN REGEXP_MATCHES(LOWER(fuel), 'petrol|gasoline|benzin') THEN 'Petrol'
-                ELSE fuel END AS document
-    FROM raw
+    , first_relational AS (
+      SELECT p_partkey, ARG_MIN(label, place) AS label FROM raw JOIN relational_rules
+        ON CONTAINS(LOWER(fuel), word) AND (blocker IS NULL OR NOT CONTAINS(LOWER(fuel), blocker)) GROUP BY p_partkey),
+    first_document AS (
+      SELECT p_partkey, ARG_MIN(label, place) AS label FROM raw JOIN document_rules ON CONTAINS(LOWER(fuel), word) GROUP BY p_partkey)
+    SELECT raw.p_partkey, COALESCE(r.label, NULLIF(TRIM(fuel), '')) AS relational, COALESCE(d.label, fuel) AS document
+    FROM raw LEFT JOIN first_relational r ON r.p_partkey = raw.p_partkey LEFT JOIN first_document d ON d.p_partkey = raw.p_partkey
     """
 )
 def map_like_normalise(t: Tables) -> DataFrame:
@@ -258,8 +264,8 @@ def _flags(t: Tables) -> DataFrame:
     _FLAG_TEXT
     + """
     SELECT l_orderkey, l_linenumber,
-           CASE WHEN LOWER(TRIM(flag)) IN ('1', 'true', 'yes', 'y') THEN TRUE
-                WHEN LOWER(TRIM(flag)) IN ('0', 'false', 'no', 'n') THEN FALSE END AS is_fast
+           MAP {'1': TRUE, 'true': TRUE, 'yes': TRUE, 'y': TRUE, '0': FALSE, 'false': FALSE, 'no': FALSE, 'n': FALSE}
+             [LOWER(TRIM(flag))] AS is_fast
     FROM raw
     """
 )
@@ -318,9 +324,8 @@ def _priced(t: Tables) -> DataFrame:
     _PRICE_TEXT
     + """
     SELECT p_partkey,
-           CAST(NULLIF(REGEXP_EXTRACT(REPLACE(REPLACE(REPLACE(REPLACE(TRIM(price), '$', ''), ',', ''), ' ', ''), '-', ' '), '[0-9]+'), '')
-                AS DECIMAL(12,2)) AS price_usd,
-           CAST(NULLIF(REGEXP_EXTRACT(REPLACE(TRIM(power), ',', ''), '[0-9]+'), '') AS INTEGER) AS horsepower
+           TRY_CAST(REGEXP_EXTRACT(REGEXP_REPLACE(price, '[$, ]', '', 'g'), '[0-9]+') AS DECIMAL(12,2)) AS price_usd,
+           TRY_CAST(REGEXP_EXTRACT(REGEXP_REPLACE(power, ',', '', 'g'), '[0-9]+') AS INTEGER) AS horsepower
     FROM raw
     """
 )
