@@ -130,11 +130,17 @@ def table_schema(name: str) -> T.StructType:
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the stored columns in order and cast them to the stored types.
 
-    A value too large for its column fails the job, as an insert would.
+    Fractions are rounded half up into whole-number columns. A value too large
+    for its column fails the job, as an insert would.
     """
-    return df.select(
-        *(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in table_schema(table))
-    )
+
+    def stored(field: T.StructField) -> Column:
+        value = _quoted(field.name)
+        if isinstance(field.dataType, T.IntegralType) and isinstance(df.schema[field.name].dataType, T.FractionalType):
+            value = F.round(value, 0)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*(stored(field) for field in table_schema(table)))
 
 
 def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

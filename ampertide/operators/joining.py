@@ -21,7 +21,7 @@ def with_scalars(df: DataFrame, *one_row_frames: DataFrame) -> DataFrame:
     """
     names = [f"_scalars_{i}" for i in range(len(one_row_frames))]
     held = df.withColumns({n: f.select(F.struct(*f.columns)).scalar() for n, f in zip(names, one_row_frames)})
-    found = reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names))
+    found = reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names), F.lit(True))
     return held.where(found).select(*df.columns, *(f"{name}.*" for name in names))
 
 

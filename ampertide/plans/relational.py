@@ -163,10 +163,11 @@ def charging_country_summary(summary: DataFrame) -> DataFrame:
 
 
 def charging_station(stations: DataFrame) -> DataFrame:
-    focus = stations.where(F.col("country_code").isin(*COUNTRY_CODES.values()) & F.col("id").isNotNull())
+    station_id = F.col("id").try_cast("bigint")
+    focus = stations.where(F.col("country_code").isin(*COUNTRY_CODES.values()) & station_id.isNotNull())
     return conform(
         focus.select(
-            F.col("id").try_cast("bigint").alias("station_id"),
+            station_id.alias("station_id"),
             "name",
             "city",
             "state_province",
@@ -223,7 +224,8 @@ def catalogue_vehicles(catalogue: DataFrame) -> DataFrame:
 
 def registry_rows(registry: DataFrame) -> DataFrame:
     """Registry rows with an emission value, cleaned, fuel code spelled out."""
-    return registry.where(F.col("co2_gkm").isNotNull()).select(
+    grams = to_int(F.col("co2_gkm"))
+    return registry.where(grams.isNotNull()).select(
         blank_to_null(F.col("make")).alias("make"),
         blank_to_null(F.col("model")).alias("model"),
         map_codes(F.col("fuel_type"), FUEL_CODES, UNKNOWN_FUEL).alias("fuel_type"),
@@ -234,7 +236,7 @@ def registry_rows(registry: DataFrame) -> DataFrame:
         F.col("fuel_city").try_cast("decimal(4,1)").alias("fuel_consumption_city"),
         F.col("fuel_hwy").try_cast("decimal(4,1)").alias("fuel_consumption_hwy"),
         F.col("fuel_comb").try_cast("decimal(4,1)").alias("fuel_consumption_comb"),
-        to_int(F.col("co2_gkm")).alias("co2_emissions_gkm"),
+        grams.alias("co2_emissions_gkm"),
     )
 
 

@@ -586,11 +586,11 @@ def _stations(t: Tables) -> DataFrame:
     + """
     SELECT 'relational' AS form, CAST(id AS BIGINT) AS station_id, name, country_code, CAST(lat AS DOUBLE) AS lat,
            CAST(NULL AS DOUBLE) AS lon, ports, TRY_CAST(power_kw AS DOUBLE) AS power_kw, power_class,
-           MAP {'True': TRUE, 'yes': TRUE, 'False': FALSE}[fast] AS is_fast_dc
+           MAP {'True': 1, 'yes': 1, 'False': 0}[fast] AS is_fast_dc
     FROM raw WHERE country_code IN ('CH', 'DE', 'FR')
     UNION ALL
     SELECT 'document', CAST(id AS BIGINT), name, country_code, CAST(lat AS DOUBLE), 0.0, ports,
-           COALESCE(TRY_CAST(power_kw AS DOUBLE), 0.0), power_class, LOWER(fast) = 'true'
+           COALESCE(TRY_CAST(power_kw AS DOUBLE), 0.0), power_class, CAST(LOWER(fast) = 'true' AS INTEGER)
     FROM raw WHERE country_code IN ('CH', 'DE', 'FR')
     """
 )
@@ -599,13 +599,13 @@ def clean_stations(t: Tables) -> DataFrame:
     rows = relational.charging_station(raw).select(
         F.lit("relational").alias("form"), "station_id", "name", "country_code", F.col("latitude").cast("double").alias("lat"),
         F.col("longitude").cast("double").alias("lon"), "ports", F.col("power_kw").cast("double").alias("power_kw"),
-        "power_class", "is_fast_dc",
+        "power_class", F.col("is_fast_dc").cast("int").alias("is_fast_dc"),
     )
     docs = documents.charging_stations(raw)
     place = F.col("location.coordinates")
     return rows.unionByName(
         docs.select(
             F.lit("document").alias("form"), "station_id", "name", "country_code", place[1].alias("lat"), place[0].alias("lon"),
-            "ports", "power_kw", "power_class", "is_fast_dc",
+            "ports", "power_kw", "power_class", F.col("is_fast_dc").cast("int").alias("is_fast_dc"),
         )
     )

@@ -265,12 +265,12 @@ def _flags(t: Tables) -> DataFrame:
     + """
     SELECT l_orderkey, l_linenumber,
            MAP {'1': TRUE, 'true': TRUE, 'yes': TRUE, 'y': TRUE, '0': FALSE, 'false': FALSE, 'no': FALSE, 'n': FALSE}
-             [LOWER(TRIM(flag))] AS is_fast
+             [LOWER(TRIM(flag))]::INTEGER AS is_fast
     FROM raw
     """
 )
 def parse_bool_tri(t: Tables) -> DataFrame:
-    return _flags(t).select("l_orderkey", "l_linenumber", parse.flag_or_null(F.col("flag")).alias("is_fast"))
+    return _flags(t).select("l_orderkey", "l_linenumber", parse.flag_or_null(F.col("flag")).cast("int").alias("is_fast"))
 
 
 @proof(
