@@ -67,6 +67,26 @@ TABLES: dict[str, str] = {
     "ev_stock int, ev_sales_share_pct decimal(6,3), ev_stock_share_pct decimal(6,3)",
 }
 
+# Fields of the nested model.
+COLLECTIONS: dict[str, str] = {
+    "vehicles": "make string, model string, fuel_type string, vehicle_class string, price_usd double, "
+    "horsepower int, seats int, "
+    "ev_spec struct<battery_capacity_kwh:double,range_wltp_km:int,energy_consumption_kwh_100km:double,"
+    "dc_charge_power_kw:int,ac_charge_power_kw:double,release_year:int>, "
+    "ice_emission struct<engine_size_l:double,cylinders:int,transmission:string,fuel_consumption_city:double,"
+    "fuel_consumption_hwy:double,fuel_consumption_comb:double,co2_emissions_gkm:int>",
+    "countries": "country_code string, country_name string, petrol_price_eur_per_l double, "
+    "diesel_price_eur_per_l double, charging_summary struct<station_count:int,port_count:int,"
+    "fast_station_share:double,fast_port_share:double>",
+    "country_year_data": "country_code string, year int, electricity_price_eur_per_kwh double, "
+    "co2_intensity_gkwh double, grid_mix array<struct<source:string,generation_twh:double>>, "
+    "ev_adoption struct<bev_sales:double,phev_sales:double,bev_stock:double,phev_stock:double,"
+    "sales_share_pct:double,stock_share_pct:double>",
+    "charging_stations": "station_id bigint, name string, city string, state_province string, country_code string, "
+    "location struct<type:string,coordinates:array<double>>, ports int, power_kw double, power_class string, "
+    "is_fast_dc boolean",
+}
+
 # Columns that must be present, per target, and text lengths.
 REQUIRED: dict[str, tuple[str, ...]] = {
     "country": ("country_code", "country_name"),
@@ -123,6 +143,12 @@ def source_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(SOURCES[name])
 
 
+def expected_types(name: str) -> dict[str, str]:
+    """Column name to type text of a table or collection."""
+    schema = T.StructType.fromDDL({**TABLES, **COLLECTIONS}[name])
+    return {field.name: field.dataType.simpleString() for field in schema.fields}
+
+
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[name])
 

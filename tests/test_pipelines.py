@@ -202,6 +202,20 @@ def test_small_fleet_gives_no_decision(tables, sources):
     assert combustion.count() == 0
 
 
+def test_model_has_expected_types(tables, collections):
+    for name, df in {**tables, **collections}.items():
+        assert quality.type_mismatches(df, catalog.expected_types(name)) == [], name
+        assert set(df.columns) == set(catalog.expected_types(name)), name
+
+
+def test_collections_have_required_fields(collections):
+    broken = {
+        name: quality.violations(df, ["*"], quality.conformance_rules(df, catalog.REQUIRED[name])).count()
+        for name, df in collections.items()
+    }
+    assert broken == {"vehicles": 0, "countries": 0, "country_year_data": 0, "charging_stations": 0}
+
+
 def test_stored_model_is_sound(tables):
     for name, df in tables.items():
         rules = quality.conformance_rules(df, catalog.REQUIRED[name], catalog.MAX_LENGTH.get(name))
