@@ -4,7 +4,7 @@ Numbers over a whole table, or over a group too large for one task, come from a
 range shuffle: rows are ordered across partitions, numbered inside each, and
 shifted by the row counts of the partitions before. The ordered rows are stored
 before they are counted, because sampled range bounds may differ between two
-runs of the same shuffle.
+runs of the same shuffle. Equal rows are spread by their place in the input.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.session import materialise
+from ampertide.session import materialise, with_row_tie
 
 # Groups up to this many rows are ranked by one task each.
 ROWS_PER_TASK = 2_000_000
@@ -34,9 +34,10 @@ def _position() -> Column:
 
 def _stored_in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Rows in range partitions, with a slot (partition number, position)."""
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [*order, F.col("_tie")]
+    ordered = with_row_tie(df).repartitionByRange(*order).sortWithinPartitions(*order)
     slots = ordered.withColumn("_slot", F.monotonically_increasing_id())
-    return materialise(slots, "ordered")
+    return materialise(slots.drop("_tie"), "ordered")
 
 
 def ascending(*names: str) -> list[Column]:
@@ -48,9 +49,8 @@ def number_rows(
 ) -> DataFrame:
     """Dense numbers 1..n over the whole table.
 
-    ``order`` should be total. ``after``: frame of one row and column, the number
-    to continue from. The range shuffle samples ``df`` before it moves it, so a
-    costly ``df`` is better stored first.
+    Rows that tie in ``order`` are numbered in some order. ``after``: frame of
+    one row and column, the number to continue from.
     """
     stored = _stored_in_order(df, order)
     sizes = stored.groupBy(_partition().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))

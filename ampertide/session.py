@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings a session should carry; all of them can be changed at run time.
 RUNTIME_SETTINGS = {
@@ -69,3 +70,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(drop_at_exit(spark, path))
+
+
+def _is_parquet_scan(df: DataFrame) -> bool:
+    """True when the place of each row in its Parquet file can still be asked for."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    return hidden.size() == 1 and "row_index" in hidden.apply(0).dataType().catalogString()
+
+
+def with_row_tie(df: DataFrame, name: str = "_tie") -> DataFrame:
+    """Add a number that tells copies of a row apart.
+
+    It comes from the row's place in its Parquet file, so a re-run task finds
+    the same number; added to a range shuffle it spreads equal rows. A frame
+    that is no plain scan is stored first.
+    """
+    scan = df if _is_parquet_scan(df) else materialise(df, "rows")
+    return scan.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name))

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ampertide.session import with_row_tie
+
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Drop-and-rebuild sink. ``df`` must not read from ``path``."""
@@ -43,13 +45,15 @@ def clustered(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by:
 
     Equality filters on ``partition_by`` skip folders; filters on ``cluster_by``
     skip files and row groups by their min/max statistics. The range shuffle
-    splits a large partition value along ``cluster_by``, so name enough columns
-    there to tell its rows apart.
+    splits a large partition value along ``cluster_by``, and equal rows by their
+    place in the input.
     """
-    order = [F.col(c) for c in (*partition_by, *cluster_by)]
+    order = [F.col(c) for c in (*partition_by, *cluster_by, "_tie")]
     (
-        df.repartitionByRange(*order)
+        with_row_tie(df)
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .drop("_tie")
         .write.partitionBy(*partition_by)
         .parquet(path)
     )

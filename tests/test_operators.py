@@ -16,7 +16,7 @@ from ampertide.operators.numbering import ascending, first_per_key, largest_grou
 from ampertide.operators.reshaping import nest, pair_rows, sum_entries, unnest
 from ampertide.operators.slicing import last_rows, optional_filter
 from ampertide.sources import sinks
-from ampertide.session import fresh_path
+from ampertide.session import fresh_path, materialise, with_row_tie
 
 
 def values(df):
@@ -245,3 +245,22 @@ def test_scalars_need_one_row(spark):
     assert with_scalars(df, spark.range(0).selectExpr("id AS a")).count() == 0
     with pytest.raises(Exception, match="more than one row|SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         with_scalars(df, spark.range(2).selectExpr("id AS a")).collect()
+
+
+def test_copies_are_spread_over_partitions(spark):
+    copies = materialise(spark.range(20_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id")).alias("k")), "copies")
+    ties = with_row_tie(copies)
+    assert ties.select("_tie").distinct().count() == 20_000
+    placed = ties.repartitionByRange(4, "k", "_tie").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in placed) < 9_000
+    numbers = number_rows(copies, ascending("k"))
+    assert numbers.agg(F.countDistinct("rn"), F.max("rn")).first()[:] == (20_000, 20_000)
+    assert numbers.where("k = 1").agg(F.max("rn")).first()[0] == 15_000
+
+
+def test_row_tie_on_frames_that_are_no_scan(spark):
+    stored = materialise(spark.range(100).selectExpr("id", "id % 7 AS g"), "plain")
+    for df in (stored.groupBy("g").count(), stored.join(stored.select("id"), "id"), stored.union(stored), spark.range(5)):
+        tied = with_row_tie(df)
+        assert tied.columns == [*df.columns, "_tie"]
+        assert tied.select("_tie").distinct().count() == df.count()
