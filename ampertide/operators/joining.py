@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +16,12 @@ def with_scalars(df: DataFrame, *one_row_frames: DataFrame) -> DataFrame:
 
     Each frame is a scalar subquery: it runs once and its values enter the plan
     as constants, so nothing is joined. More than one row fails the query; with
-    no row the result is empty.
+    no row the list to unfold is empty, and so is the result.
     """
-    names = [f"_scalars_{i}" for i in range(len(one_row_frames))]
-    held = df.withColumns({n: f.select(F.struct(*f.columns)).scalar() for n, f in zip(names, one_row_frames)})
-    found = reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names), F.lit(True))
-    return held.where(found).select(*df.columns, *(f"{name}.*" for name in names))
+    for frame in one_row_frames:
+        row = frame.select(F.struct(*frame.columns)).scalar()
+        df = df.select(*df.columns, F.inline(F.array_compact(F.array(row))))
+    return df
 
 
 def left_chain(anchor: DataFrame, on: Sequence[str], *others: DataFrame) -> DataFrame:
