@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ampertide.llm.exact_dedup import exact_dedup
+from ampertide.llm.mixing import placements
 from ampertide.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +44,18 @@ def query(sql: str | None = None):
 )
 def op2_exact_dedup(table):
     return exact_dedup(table("documents"))
+
+
+@query()
+def op9_mix_sources(table):
+    rows, placed = placements(table("documents"))
+    copies = placed.groupBy("_row").agg(F.count(F.lit(1)).alias("_copies"))
+    return rows.join(copies, "_row", "left").select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        "source_size",
+        "target",
+        (F.col("_size") * F.coalesce("_copies", F.lit(0))).alias("taken"),
+        F.coalesce("_copies", F.lit(0)).alias("copies"),
+        "source",
+    )
