@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampertide.llm.exact_dedup import exact_dedup
+from ampertide.llm.line_dedup import line_dedup
 from ampertide.llm.mixing import placements
 from ampertide.session import configure
 
@@ -46,6 +47,11 @@ def op2_exact_dedup(table):
     return exact_dedup(table("documents"))
 
 
+@query()
+def op8_line_dedup(table):
+    return line_dedup(table("documents"))
+
+
 @query()
 def op9_mix_sources(table):
     rows, placed = placements(table("documents"))
