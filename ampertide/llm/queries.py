@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ampertide.llm.exact_dedup import exact_dedup
 from ampertide.llm.line_dedup import line_dedup
 from ampertide.llm.mixing import placements
+from ampertide.llm.near_dup import near_dup
 from ampertide.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,8 @@ def op9_mix_sources(table):
         F.coalesce("_copies", F.lit(0)).alias("copies"),
         "source",
     )
+
+
+@query()
+def op10_near_dup(table):
+    return near_dup(table("documents"), words=2)
