@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampertide.llm.decontaminate import contamination
 from ampertide.llm.exact_dedup import exact_dedup
+from ampertide.llm.language_id import fit, held_out, identify
 from ampertide.llm.line_dedup import line_dedup
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
@@ -48,6 +50,18 @@ def op2_exact_dedup(table):
     return exact_dedup(table("documents"))
 
 
+@query()
+def op4_language_id(table):
+    docs = table("documents")
+    predicted = identify(docs.select("doc_id", "text"), fit(docs))
+    return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op6_decontaminate(table):
+    return contamination(table("documents"), table("benchmark"))
+
+
 @query()
 def op8_line_dedup(table):
     return line_dedup(table("documents"))
