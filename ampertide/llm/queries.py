@@ -13,8 +13,11 @@ from ampertide.llm.language_id import fit, held_out, identify
 from ampertide.llm.line_dedup import line_dedup
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
+from ampertide.llm.token_files import read_tokens, write_tokens
 from ampertide.session import configure
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -50,6 +53,18 @@ def op2_exact_dedup(table):
     return exact_dedup(table("documents"))
 
 
+def tokenizer_path() -> str:
+    """Where this machine keeps the public vocabulary; the same place on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@query()
+def op3_token_files(table):
+    return read_tokens(write_tokens(table("documents"), tokenizer_path()))
+
+
 @query()
 def op4_language_id(table):
     docs = table("documents")
