@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from ampertide.llm.decontaminate import contamination
 from ampertide.llm.exact_dedup import exact_dedup
+from ampertide.llm.html_text import labelled_sample, learn, main_text
 from ampertide.llm.language_id import fit, held_out, identify
 from ampertide.llm.line_dedup import line_dedup
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
+from ampertide.llm.sharding import shard_documents
+from ampertide.llm.token_counts import piece_scores, token_counts
 from ampertide.llm.token_files import read_tokens, write_tokens
 from ampertide.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +44,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_main_text(table):
+    pages = table("pages")
+    return main_text(pages, learn(labelled_sample(pages)))
+
+
 @query(
     r"""
     WITH d AS (
@@ -53,16 +63,16 @@ def op2_exact_dedup(table):
     return exact_dedup(table("documents"))
 
 
-def tokenizer_path() -> str:
+def vocabulary(name: str = TOKENIZER) -> str:
     """Where this machine keeps the public vocabulary; the same place on every executor."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query()
 def op3_token_files(table):
-    return read_tokens(write_tokens(table("documents"), tokenizer_path()))
+    return read_tokens(write_tokens(table("documents"), vocabulary()))
 
 
 @query()
@@ -72,11 +82,21 @@ def op4_language_id(table):
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op5_shard_documents(table):
+    return shard_documents(table("documents"))
+
+
 @query()
 def op6_decontaminate(table):
     return contamination(table("documents"), table("benchmark"))
 
 
+@query()
+def op7_token_counts(table):
+    return token_counts(table("documents"), piece_scores(vocabulary(PIECES)))
+
+
 @query()
 def op8_line_dedup(table):
     return line_dedup(table("documents"))
