@@ -36,8 +36,16 @@ def positive_or_null(col: Column) -> Column:
 
 
 def scaled(col: Column, digits: int) -> Column:
-    """A number with at most ``digits`` decimals as a whole number of its last unit."""
-    return F.rint(col.cast("double") * F.lit(float(10**digits))).cast("bigint")
+    """A number with at most ``digits`` decimals as a whole number of its last unit.
+
+    A number with more decimals fails the query; nothing is rounded away. What the
+    binary form of a double adds behind its decimals is no decimal.
+    """
+    unit = col.cast("double") * F.lit(float(10**digits))
+    whole = F.rint(unit)
+    beyond = F.abs(unit - whole) > F.lit(1e-6) + F.abs(unit) * F.lit(1e-12)
+    too_fine = F.raise_error(F.lit(f"more than {digits} decimals in a sum of whole units")).cast("bigint")
+    return F.when(beyond, too_fine).otherwise(whole.cast("bigint"))
 
 
 def unscaled(total: Column, digits: int) -> Column:
@@ -48,7 +56,8 @@ def exact_mean(col: Column, digits: int = 2) -> Column:
     """Mean over an exact sum of scaled whole numbers, divided once at the end.
 
     Doubles added up in another order differ in the last digits; this sum does
-    not, so a re-run task or another partitioning gives the same mean.
+    not, so a re-run task or another partitioning gives the same mean. ``digits``:
+    decimals that the values have at most; more fail the query.
     """
     total = F.sum(scaled(col, digits).cast("decimal(18,0)"))
     return unscaled(total, digits) / F.nullif(F.count(col), F.lit(0).cast("bigint"))

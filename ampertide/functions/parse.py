@@ -22,8 +22,7 @@ def first_number(col: Column, pattern: str = INTEGER_PATTERN) -> Column:
 
 def price_lower_bound(col: Column) -> Column:
     """Price as decimal; a range gives its lower end."""
-    digits = strip_symbols(F.trim(col), ("$", ",", " "))
-    return first_number(F.replace(digits, F.lit("-"), F.lit(" "))).try_cast("decimal(12,2)")
+    return first_number(F.regexp_replace(col, "[$, ]", "")).try_cast("decimal(12,2)")
 
 
 def leading_int(col: Column) -> Column:

@@ -41,9 +41,7 @@ def first_word(col: Column) -> Column:
 
 def after_first_word(col: Column) -> Column:
     """Everything behind the first blank, trimmed."""
-    text = F.trim(col)
-    start = F.length(F.substring_index(text, " ", 1)) + 2
-    return F.trim(F.substring(text, start, F.length(text)))
+    return F.trim(F.coalesce(F.get(F.split(F.trim(col), " ", 2), F.lit(1)), F.when(col.isNotNull(), "")))
 
 
 def split_first(col: Column) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.functions.numbers import scaled, unscaled
+from ampertide.operators.numbering import running_total
 
 
 def mean_over_join(
@@ -52,48 +53,31 @@ def at_least(df: DataFrame, count_column: str, minimum: int) -> DataFrame:
     return df.where(F.col(count_column) >= F.lit(minimum))
 
 
-def grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "median", accuracy: int = 100_000
-) -> DataFrame:
+def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """Exact median per group without holding a group in one place.
 
-    A first pass brackets the middle of every group by approximate percentiles,
-    whose rank error is bounded. A second pass counts the values below the
-    bracket and tallies the few inside it, both combined on the map side; the
-    middle ranks are then read off the tallies. The bracket spans ten rows in
-    ``accuracy``, the memory per group grows with ``accuracy``.
+    Equal values are counted on the map side. The counts are summed up in order of group
+    and value over range partitions, so a large group spans many of them, and the values
+    at the middle ranks are picked. Without keys there is one group.
     """
-    margin = 5.0 / accuracy
-    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    bounds = (
-        known.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_b"),
-        )
-        .select(*(F.col(k).alias(f"_k_{k}") for k in keys), "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-    )
-    same_group = F.lit(True)
-    for key in keys:
-        same_group = same_group & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
     tallies = (
-        known.join(bounds, same_group)
-        .where(F.col("_v") <= F.col("_hi"))
-        .groupBy(*keys, "_n", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()))
-    ranked = tallies.withColumn("_upto", upto)
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+    ranked = running_total(tallies, keys, [F.col("_v").asc()], F.col("_c"), "_upto", unique=True)
+    sizes = ranked.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    if keys:
+        same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+        sized = ranked.join(sizes.select(*(F.col(k).alias(f"_of_{k}") for k in keys), "_n"), same)
+    else:
+        sized = ranked.withColumn("_n", sizes.scalar())
 
     def at_rank(rank: Column) -> Column:
-        covers = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
-        found = F.max(F.when(covers, F.col("_v")))
-        return F.when(found.isNull(), F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
-            found.cast("double")
-        )
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank), F.col("_v")))
 
-    return ranked.groupBy(*keys).agg(((at_rank(lower) + at_rank(upper)) / 2.0).alias(name))
+    middle = (at_rank(F.floor((F.col("_n") + 1) / 2)) + at_rank(F.floor((F.col("_n") + 2) / 2))) / 2.0
+    return sized.groupBy(*keys).agg(middle.alias(name))
 
 
 def row_counts(tables: Mapping[str, DataFrame], total: str = "total") -> DataFrame:

@@ -41,20 +41,42 @@ def attach_matches(
     on: Sequence[str],
     element: Sequence[str],
     measures: Mapping[str, Column],
+    domain: Sequence,
     name: str = "matches",
 ) -> DataFrame:
     """Group join: matches as an array, empty when there are none.
 
-    The array holds one entry per distinct ``element``, which must come from a
-    small domain (a category, not a row id).
+    The array holds one entry per distinct ``element`` of the declared ``domain`` (see
+    ``nest``). Where every match counts, ``match_rows`` gives rows.
     """
-    nested = nest(right, on, element, measures, name)
+    nested = nest(right, on, element, measures, name, domain)
     item_type = nested.schema[name].dataType.simpleString()
     return left.join(nested, list(on), "left").withColumn(
         name, F.coalesce(F.col(name), F.array().cast(item_type))
     )
 
 
+def left_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join whose right side may hold most of its rows under one key.
+
+    A left outer join can split a hot key of its left side only. Here the matches are an
+    inner join, which adaptive execution splits on either side and may broadcast the
+    left of, and left rows without a match are added by an anti join on the distinct
+    right keys.
+    """
+    keys = list(on)
+    matched = left.join(right, keys)
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def match_rows(
+    left: DataFrame, right: DataFrame, on: Sequence[str], order: Sequence[Column], rank: str = "rn"
+) -> DataFrame:
+    """Group join in rows: every match with its place inside the key, and left rows without a match with place NULL."""
+    return left_rows(left, number_in_groups(right, on, order, rank), on)
+
+
 def without_match(df: DataFrame, key: Column, other: DataFrame, other_key: Column) -> DataFrame:
     """Rows whose computed key has no partner (NOT EXISTS)."""
     keys = other.select(other_key.alias("_other")).where(F.col("_other").isNotNull()).distinct()
@@ -75,15 +97,14 @@ def rank_aligned(
     left_order: Sequence[Column],
     right_order: Sequence[Column],
     rank: str = "rn",
-    **options: int,
 ) -> DataFrame:
     """n-th row of a left group with the n-th row of the same right group.
 
     The join key (group, rank) is unique on both sides, so a large group is
     spread by its ranks.
     """
-    a = number_in_groups(left, on, left_order, rank, **options)
-    b = number_in_groups(right, on, right_order, rank, **options)
+    a = number_in_groups(left, on, left_order, rank)
+    b = number_in_groups(right, on, right_order, rank)
     return a.join(b, [*on, rank])
 
 

@@ -1,8 +1,8 @@
 """Row numbers, surrogate ids and first-per-key.
 
-Numbers over a whole table, or over a group too large for one task, come from a
-range shuffle: rows are ordered across partitions, numbered inside each, and
-shifted by the row counts of the partitions before. The ordered rows are stored
+Numbers over a whole table or inside groups come from a range shuffle: rows are
+ordered across partitions, numbered inside each, and shifted by the row counts of the
+partitions before. The ordered rows are stored
 before they are counted, because sampled range bounds may differ between two
 runs of the same shuffle. Equal rows are spread by their place in the input.
 """
@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from ampertide.session import materialise, with_row_tie
 
-# Groups up to this many rows are ranked by one task each.
-ROWS_PER_TASK = 2_000_000
-
 _SLOT_BITS = 33
 
 
@@ -32,10 +29,11 @@ def _position() -> Column:
     return F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
 
 
-def _stored_in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def _stored_in_order(df: DataFrame, order: Sequence[Column], unique: bool) -> DataFrame:
     """Rows in range partitions, with a slot (partition number, position)."""
-    order = [*order, F.col("_tie")]
-    ordered = with_row_tie(df).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = df if unique else with_row_tie(df)
+    order = list(order) if unique else [*order, F.col("_tie")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     slots = ordered.withColumn("_slot", F.monotonically_increasing_id())
     return materialise(slots.drop("_tie"), "ordered")
 
@@ -45,14 +43,15 @@ def ascending(*names: str) -> list[Column]:
 
 
 def number_rows(
-    df: DataFrame, order: Sequence[Column], name: str = "rn", after: DataFrame | None = None
+    df: DataFrame, order: Sequence[Column], name: str = "rn", after: DataFrame | None = None, unique: bool = False
 ) -> DataFrame:
     """Dense numbers 1..n over the whole table.
 
     Rows that tie in ``order`` are numbered in some order. ``after``: frame of
-    one row and column, the number to continue from.
+    one row and column, the number to continue from. ``unique``: no two rows agree in
+    ``order``, so nothing is needed to tell them apart.
     """
-    stored = _stored_in_order(df, order)
+    stored = _stored_in_order(df, order, unique)
     sizes = stored.groupBy(_partition().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     # One row per range partition, hence at most spark.sql.shuffle.partitions rows.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,32 +63,18 @@ def number_rows(
     return numbered.select(*df.columns, number.cast("long").alias(name))
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group; one number reaches the driver."""
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return top or 0
-
-
-def number_in_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str = "rn",
-    rows_per_task: int = ROWS_PER_TASK,
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], weight: Column, name: str, unique: bool = False
 ) -> DataFrame:
-    """Row number inside each group.
+    """Sum of ``weight`` over the rows of the group up to and including this one, as BIGINT.
 
-    Group sizes are checked first. When all are small, a window does it;
-    otherwise a large group is spread over as many range partitions as it needs.
+    Rows are range-shuffled by group and order, so that a large group spans as many
+    partitions as it needs and small ones share one. Rows that tie come in some order.
     """
-    if largest_group(df, keys) <= rows_per_task:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    stored = _stored_in_order(df, [*ascending(*keys), *order]).withColumn("_part", _partition())
-    runs = stored.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_size"))
+    stored = _stored_in_order(df, [*ascending(*keys), *order], unique).withColumn("_part", _partition())
+    runs = stored.groupBy("_part", *keys).agg(F.sum(weight).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # Only the first group of a partition can continue an earlier partition:
-    # at most one row per range partition is left.
+    # Only the first group of a partition can continue an earlier one: at most one row per range partition is left.
     carried = (
         runs.withColumn("_start", F.sum("_size").over(before))
         .where(F.col("_start").isNotNull())
@@ -98,14 +83,24 @@ def number_in_groups(
     same = F.col("_part") == F.col("_cp")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    local = F.row_number().over(Window.partitionBy("_part", *keys).orderBy("_slot"))
+    upto = Window.partitionBy("_part", *keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        stored.withColumn("_local", local)
+        stored.withColumn("_local", F.sum(weight).over(upto))
         .join(F.broadcast(carried), same, "left")
-        .select(*df.columns, (F.coalesce("_start", F.lit(0)) + F.col("_local")).cast("int").alias(name))
+        .select(*df.columns, (F.coalesce("_start", F.lit(0)) + F.col("_local")).cast("long").alias(name))
     )
 
 
+def number_in_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn", unique: bool = False
+) -> DataFrame:
+    """Row number inside each group, as BIGINT, however large the group is.
+
+    ``unique``: no two rows agree in keys and order, so nothing is needed to tell them apart.
+    """
+    return running_total(df, keys, order, F.lit(1), name, unique)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each group.
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.operators.slicing import all_equal
@@ -34,18 +35,17 @@ def pivot_sum(
 def pair_rows(
     df: DataFrame, keys: Sequence[str], role: str, value: str, roles: Mapping[str, object]
 ) -> DataFrame:
-    """Rows of one role beside rows of another, for keys that have all roles.
+    """Rows of one role beside rows of another: a self-join of a long table on ``keys``.
 
-    Stands for a self-join of a long table. (keys, role) must be unique, so one
-    grouping gives the pairs, with one shuffle instead of two and a join.
+    Every row of a role meets every row of the other roles with its key; a NULL key
+    meets none. Each side holds its role's rows and three columns only, so the
+    join's shuffles are as narrow as can be.
     """
-    pairs = df.where(F.col(role).isin(*roles.values())).groupBy(*keys).agg(
-        *(F.max(F.when(F.col(role) == F.lit(v), F.col(value))).alias(name) for name, v in roles.items()),
-        *(F.max(F.col(role) == F.lit(v)).alias(f"_has_{name}") for name, v in roles.items()),
-    )
-    for name in roles:
-        pairs = pairs.where(F.col(f"_has_{name}"))
-    return pairs.select(*keys, *roles)
+    out = None
+    for name, wanted in roles.items():
+        side = df.where(F.col(role) == F.lit(wanted)).select(*keys, F.col(value).alias(name))
+        out = side if out is None else out.join(side, list(keys))
+    return out.select(*keys, *roles)
 
 
 def nest(
@@ -54,24 +54,37 @@ def nest(
     element: Sequence[str],
     measures: Mapping[str, Column],
     name: str,
-    max_items: int = 999,
+    domain: Sequence,
 ) -> DataFrame:
     """One array of structs (element columns, measures) per key, sorted.
 
-    Rows are first combined per (key, element) on the map side. ``element``
-    should come from a small domain, such as the energy sources or power
-    classes: an array is as long as that domain, however many rows a key has.
-    A key with more than ``max_items`` elements fails the query before they are
-    gathered; such data belongs in rows.
+    Rows are first combined per (key, element) on the map side. ``domain`` declares the
+    elements there can be (values, or tuples of values for several columns), so an
+    array is never longer than that, however many rows a key has. An element that is
+    not declared fails the query by its name; data without such a domain stays in rows,
+    see ``match_rows``.
     """
     combined = df.groupBy(*keys, *element).agg(*(agg.alias(m) for m, agg in measures.items()))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*element))
-    # The limit on the place is applied before the shuffle, too.
-    placed = combined.withColumn("_place", place).where(F.col("_place") <= max_items + 1)
-    items = F.sort_array(F.collect_list(F.struct(*element, *measures)))
-    too_many = F.raise_error(F.lit(f"more than {max_items} entries for one key in {name}"))
-    gathered = placed.groupBy(*keys).agg(items.alias(name))
-    return gathered.withColumn(name, F.when(F.size(name) <= max_items, F.col(name)).otherwise(too_many))
+    declared = [item if isinstance(item, tuple) else (item,) for item in domain]
+    known = F.lit(False)
+    for item in declared:
+        same = [F.col(column).eqNullSafe(F.lit(x)) for column, x in zip(element, item, strict=True)]
+        known = known | reduce(lambda a, b: a & b, same)
+    label = F.concat_ws(", ", *(F.coalesce(F.col(e).cast("string"), F.lit("NULL")) for e in element))
+    stranger = F.raise_error(F.concat(F.lit(f"not declared for {name}: "), label))
+    entry = F.struct(*element, *measures)
+    checked = combined.select(*keys, F.when(known, entry).otherwise(stranger.cast(_type_of(combined, entry))).alias("_entry"))
+    return checked.groupBy(*keys).agg(F.sort_array(F.collect_list("_entry")).alias(name))
+
+
+def _type_of(df: DataFrame, col: Column) -> str:
+    return df.select(col.alias("x")).schema["x"].dataType.simpleString()
+
+
+def only(col: Column) -> Column:
+    """Aggregate: the one value of a group; a second row fails the query."""
+    several = F.raise_error(F.lit("more than one row for one entry"))
+    return F.when(F.count(F.lit(1)) <= 1, F.max(col)).otherwise(several.cast("double"))
 
 
 def unnest(df: DataFrame, array: str, keep_empty: bool = False) -> DataFrame:

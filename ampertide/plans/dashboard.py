@@ -15,7 +15,6 @@ from ampertide.plans import decision as dec
 
 # Dashboard defaults.
 KM_PER_YEAR = 15_000
-MAX_YEARS = 15
 SMALLEST_GENERATION = 0.5
 
 
@@ -85,7 +84,7 @@ def cost_projection(
     base: key, ice_purchase_usd, ev_purchase_usd, ice_cost_per_km, ev_cost_per_km.
     Purchase is in USD and running cost in EUR, so the sum is indicative only.
     """
-    rows = years_ahead(optional_filter(base, key, country), min(years, MAX_YEARS))
+    rows = years_ahead(optional_filter(base, key, country), years)
 
     def total(purchase: str, per_km: str) -> Column:
         driven = F.lit(float(km_per_year)) * F.col("year")

@@ -5,7 +5,7 @@ Source frames carry the column names of the file headers (see the catalog).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from ampertide.functions.parse import first_part_int, flag_is_true, period_year,
 from ampertide.functions.text import differs_from_empty, rejoin_rest, split_first
 from ampertide.operators.joining import left_chain
 from ampertide.operators.merging import append_rows
-from ampertide.operators.reshaping import embed, nest, pivot_sum, point
+from ampertide.operators.reshaping import embed, nest, only, pivot_sum, point
 from ampertide.plans import decision as dec
 from ampertide.plans.relational import GENERATION, INTENSITY
 
@@ -135,15 +135,21 @@ def yearly_intensity(electricity_long: DataFrame) -> DataFrame:
     )
 
 
-def yearly_mix(electricity_long: DataFrame) -> DataFrame:
-    """Energy sources as an array per country and year."""
+# The energy sources of the generation table.
+ENERGY_SOURCES = (
+    "Bioenergy", "Coal", "Gas", "Hydro", "Nuclear", "Other Fossil", "Other Renewables", "Solar", "Wind",
+)
+
+
+def yearly_mix(electricity_long: DataFrame, sources: Sequence[str] = ENERGY_SOURCES) -> DataFrame:
+    """Energy sources as an array per country and year; two rows of one source fail the query."""
     rows = _labelled(electricity_long, {**GENERATION, "unit": "TWh"}).select(
         "country_code",
         F.col("Year").cast("int").alias("year"),
         F.col("Variable").alias("source"),
         F.bround(to_double_or(F.col("Value"), 0.0), 2).alias("twh"),
     )
-    return nest(rows, ["country_code", "year"], ["source"], {"generation_twh": F.max("twh")}, "grid_mix")
+    return nest(rows, ["country_code", "year"], ["source"], {"generation_twh": only(F.col("twh"))}, "grid_mix", sources)
 
 
 def yearly_prices(swiss: DataFrame, euro: DataFrame) -> DataFrame:

@@ -6,21 +6,60 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampertide import catalog
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Read header CSV with a declared schema; no pass over the data to infer one."""
+MALFORMED = "_malformed"
+
+
+def _csv(spark: SparkSession, schema: T.StructType, multi_line: bool):
+    """Header CSV in the usual dialect: a quote inside a quoted value is doubled.
+
+    A cell with nothing in it is NULL, a quoted empty text is "".
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("nullValue", "\u0001")
         .option("emptyValue", "")
+    )
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+    """Read header CSV with a declared schema; no pass over the data to infer one.
+
+    A row with too many or too few cells, or a cell that is no value of its column, fails
+    the query; ``read_csv_checked`` gives such rows apart. ``multi_line`` allows line
+    breaks inside quotes, at the price that a file is read by one task.
+    """
+    reader = _csv(spark, _struct(schema), multi_line).option("mode", "FAILFAST").option("enforceSchema", False)
+    return reader.csv(path)
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows, and the malformed ones: what could be read of them, and their text as ``_malformed``."""
+    struct = _struct(schema)
+    wide = T.StructType([*struct.fields, T.StructField(MALFORMED, T.StringType())])
+    rows = (
+        _csv(spark, wide, multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .csv(path)
     )
+    good = rows.where(F.col(MALFORMED).isNull()).select(*(F.col(f"`{name}`") for name in struct.names))
+    return good, rows.where(F.col(MALFORMED).isNotNull())
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
 def read_source(spark: SparkSession, path: str, name: str) -> DataFrame:

@@ -30,9 +30,10 @@ def truncate(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Write header CSV; blanks around values are kept."""
+    """Write header CSV; blanks around values are kept, quotes inside a value are doubled."""
     (
         df.write.option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -54,7 +55,8 @@ def clustered(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by:
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop("_tie")
-        .write.partitionBy(*partition_by)
+        .write.mode("overwrite")
+        .partitionBy(*partition_by)
         .parquet(path)
     )
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from ampertide.operators import slicing
 from ampertide.operators.slicing import all_equal, in_year, last_rows, long_slice, optional_filter
 from ampertide.session import drop_at_exit, fresh_path
 from ampertide.sources.readers import literal_rows, read_csv
-from ampertide.sources.sinks import append, clustered, overwrite, write_csv
+from ampertide.sources.sinks import append, clustered, overwrite, truncate, write_csv
 from proofs.registry import CENTS, Tables, proof, sql_mean
 
 REFERENCE_YEAR = 2000
@@ -27,13 +27,37 @@ SUPPLIER_SQL = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 # --- sources and sinks -------------------------------------------------------
 
 
-@proof(SUPPLIER_SQL)
+# Quotes, commas, blanks at both ends, a line break, an empty text: all survive a CSV file.
+_CSV_NAME = (
+    "CASE s_suppkey % 5 WHEN 0 THEN 'Café \"Sud\", ' || s_name WHEN 1 THEN '  ' || s_name || ' ' WHEN 2 THEN '\"' || s_name || '\"'"
+    " WHEN 3 THEN s_name || ',\"' ELSE '' END"
+)
+
+
+@proof(f"SELECT s_suppkey, {_CSV_NAME} AS s_name, s_nationkey, s_acctbal FROM supplier")
 def src_csv_roundtrip(t: Tables) -> DataFrame:
-    supplier = t.supplier
+    supplier = t.supplier.withColumn("s_name", F.expr(_CSV_NAME))
     path = write_csv(supplier, fresh_path(t.spark, "csv"))
     return read_csv(t.spark, drop_at_exit(t.spark, path), supplier.schema)
 
 
+@proof("SELECT s_suppkey, s_name || CHR(10) || 'line, two' AS s_name FROM supplier")
+def src_csv_line_breaks(t: Tables) -> DataFrame:
+    supplier = t.supplier.select("s_suppkey", F.concat("s_name", F.lit("\nline, two")).alias("s_name"))
+    path = write_csv(supplier, fresh_path(t.spark, "csv"))
+    return read_csv(t.spark, drop_at_exit(t.spark, path), supplier.schema, multi_line=True)
+
+
+@proof("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal < 0")
+def sink_truncate(t: Tables) -> DataFrame:
+    """A rebuild: truncated target, then the new rows."""
+    path = fresh_path(t.spark, "truncate")
+    overwrite(t.supplier, path)
+    drop_at_exit(t.spark, path)
+    truncate(t.spark.read.parquet(path), path)
+    return append(t.supplier.where("s_acctbal < 0"), path)
+
+
 @proof(SUPPLIER_SQL)
 def sink_overwrite_roundtrip(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "overwrite")

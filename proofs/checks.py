@@ -16,7 +16,8 @@ _PROFILED = {
     },
     "orders": {
         "o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice",
-        "o_orderdate": "CAST(o_orderdate AS DATE)", "o_orderpriority": "SUBSTRING(o_orderpriority, 1, 1)",
+        "o_orderdate": "CAST(o_orderdate AS DATE)", "o_orderpriority": "o_orderpriority",
+        "priority_number": "SUBSTRING(o_orderpriority, 1, 1)",
     },
 }
 
@@ -43,6 +44,29 @@ def profile_columns(t: Tables) -> DataFrame:
     return reports[0].unionByName(reports[1])
 
 
+def _quick_sql(table: str, column: str, expr: str) -> str:
+    value = f"NULLIF(TRIM(CAST({expr} AS VARCHAR)), '')"
+    return f"""
+    SELECT '{column}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(v) AS n_nulls,
+           CASE WHEN COUNT(v) = 0 THEN 'TEXT' WHEN BOOL_AND(REGEXP_FULL_MATCH(v, '[+-]?[0-9]+')) THEN 'INTEGER'
+                WHEN COUNT(TRY_CAST(v AS DOUBLE)) = COUNT(v) THEN 'FLOAT' ELSE 'TEXT' END AS type_class,
+           MIN(v) AS least_value, MAX(v) AS greatest_value,
+           COUNT(DISTINCT v) > 0 AS distinct_near
+    FROM (SELECT {value} AS v FROM {table})
+    """
+
+
+@proof(" UNION ALL ".join(_quick_sql("customer", c, e) for c, e in _PROFILED["customer"].items()))
+def quick_profile_columns(t: Tables) -> DataFrame:
+    """The one-pass profile; its approximate distinct count is held against the exact one."""
+    rows = t.customer.selectExpr(*(f"{expr} AS {name}" for name, expr in _PROFILED["customer"].items()))
+    exact = quality.profile(rows).select("column_name", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.1)
+    return quality.quick_profile(rows).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "type_class", "least_value", "greatest_value", near.alias("distinct_near")
+    )
+
+
 @proof(
     """
     WITH raw AS (SELECT CASE WHEN p_size > 40 THEN 'empty' WHEN p_size < 5 THEN 'NA' WHEN p_size = 7 THEN ' ' ELSE CAST(p_size AS VARCHAR) END AS size,

@@ -23,7 +23,7 @@ from ampertide.sources.sinks import view
 from proofs.basics import REFERENCE_YEAR
 from proofs.registry import CENTS, MONEY, Tables, mean, proof, sql_half_up, sql_mean
 
-EXACT = "decimal(12,4)"
+EXACT = "decimal(18,8)"
 
 # --- decision ----------------------------------------------------------------
 
@@ -268,7 +268,7 @@ def _yearly_price(sales: DataFrame) -> DataFrame:
 def _country_year(t: Tables) -> DataFrame:
     sales = _sales(t)
     twh = unscaled(F.sum("amount"), CENTS) / F.lit(1000000.0)
-    mix = nest(sales.withColumnRenamed("status", "source"), _YEAR_KEYS, ["source"], {"generation_twh": twh}, "grid_mix")
+    mix = nest(sales.withColumnRenamed("status", "source"), _YEAR_KEYS, ["source"], {"generation_twh": twh}, "grid_mix", ("F", "O", "P"))
 
     def orders_of(priority: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("priority") == priority, F.col("n"))), F.lit(0).cast("long"))
@@ -342,7 +342,7 @@ def decision_interactive(t: Tables) -> DataFrame:
 
 # --- cost projection ---------------------------------------------------------
 
-_YEARS_AHEAD = 5
+_YEARS_AHEAD = 20
 
 
 @proof(
@@ -352,8 +352,8 @@ _YEARS_AHEAD = 5
                           MEDIAN(p_retailprice) FILTER (p_type IN ('PROMO', 'LARGE')) AS ev FROM part),
       years AS (SELECT CAST(yr AS INTEGER) AS yr FROM RANGE(1, {_YEARS_AHEAD + 1}) AS r(yr))
     SELECT k.nation_key AS country, y.yr AS year,
-           ROUND(b.ice + CAST(15000 AS DOUBLE) * y.yr * k.ice_cost, 2) AS ice_total,
-           ROUND(b.ev + CAST(15000 AS DOUBLE) * y.yr * k.ev_cost, 2) AS ev_total
+           {sql_half_up('b.ice + CAST(15000 AS DOUBLE) * y.yr * k.ice_cost', 2)} AS ice_total,
+           {sql_half_up('b.ev + CAST(15000 AS DOUBLE) * y.yr * k.ev_cost', 2)} AS ev_total
     FROM kpi k CROSS JOIN purchase b CROSS JOIN years y
     ORDER BY country, year
     """
@@ -471,7 +471,7 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
       SELECT * FROM known
       UNION ALL
       SELECT (SELECT MAX(vehicle_id) FROM known) + ROW_NUMBER() OVER (ORDER BY spec_key), SPLIT_PART(TRIM(car_model), ' ', 1),
-             TRIM(SUBSTRING(TRIM(car_model), LENGTH(SPLIT_PART(TRIM(car_model), ' ', 1)) + 2)), 'Electric', NULL, NULL, NULL, NULL
+             TRIM(REGEXP_REPLACE(TRIM(car_model), '^[^ ]*', '')), 'Electric', NULL, NULL, NULL, NULL
       FROM missing),
     spec AS (
       SELECT * FROM (
@@ -531,18 +531,20 @@ def embed_and_union(t: Tables) -> DataFrame:
 
 @proof(
     f"""
-    WITH rich AS (SELECT c_nationkey AS k, COUNT(*) AS n, {sql_mean('c_acctbal')} / 10000.0 AS share
-                  FROM customer WHERE c_acctbal > 9900 GROUP BY 1)
-    SELECT n.n_nationkey AS country_code, n.n_name AS country_name, CAST(COALESCE(r.n, 0) AS INTEGER) AS station_count,
-           ROUND_EVEN(COALESCE(r.share, 0), 4) AS fast_station_share
-    FROM nation n LEFT JOIN rich r ON r.k = n.n_nationkey
+    WITH place AS (SELECT n_nationkey AS k, n_name AS name FROM nation UNION ALL SELECT -1 - r_regionkey, r_name FROM region),
+         own AS (SELECT c_nationkey AS k, COUNT(*) AS n, {sql_mean('c_acctbal')} / 10000.0 AS share FROM customer GROUP BY 1)
+    SELECT p.k AS country_code, p.name AS country_name, CAST(COALESCE(o.n, 0) AS INTEGER) AS station_count,
+           ROUND_EVEN(COALESCE(o.share, 0), 4) AS fast_station_share
+    FROM place p LEFT JOIN own o ON o.k = p.k
     """
 )
 def country_with_summary(t: Tables) -> DataFrame:
-    rich = t.customer.where("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("country_code")).agg(
+    """Regions stand for countries without a summary."""
+    rich = t.customer.groupBy(F.col("c_nationkey").alias("country_code")).agg(
         F.count(F.lit(1)).alias("station_count"), (mean("c_acctbal") / F.lit(10000.0)).alias("fast_station_share")
     )
     nations = t.nation.select(F.col("n_nationkey").alias("country_code"), F.col("n_name").alias("country_name"))
+    nations = nations.unionAll(t.region.select(F.lit(-1) - F.col("r_regionkey"), "r_name"))
     docs = nations.join(rich, "country_code", "left").select(
         "country_code", "country_name",
         embed(

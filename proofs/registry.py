@@ -15,7 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 CENTS = 2
-MONEY = "decimal(12,2)"
+# Wider than any column, so that the SQL does not round before it adds up.
+MONEY = "decimal(18,6)"
 
 
 # Table path to schema, so that a table's footer is read once per process.
@@ -60,5 +61,5 @@ def sql_mean(expr: str, dtype: str = MONEY) -> str:
 
 
 def sql_half_up(expr: str, digits: int) -> str:
-    """SQL text of decimal half-up rounding of a double."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
+    """SQL text of half-up rounding of a double as it is written in decimals."""
+    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ampertide.functions.numbers import exact_mean
 from ampertide.functions.text import match_key
 from ampertide.operators.aggregates import at_least, grouped_median, highest, mean_over_join
-from ampertide.operators.joining import attach_matches, left_chain, on_key, rank_aligned, with_scalars, without_match
+from ampertide.operators.joining import attach_matches, left_chain, left_rows, match_rows, on_key, rank_aligned, with_scalars, without_match
 from ampertide.operators.numbering import ascending, first_per_key, number_in_groups, number_rows
 from ampertide.operators import reshaping
 from ampertide.operators.reshaping import nest, pair_rows, sum_entries, unnest
@@ -54,6 +55,18 @@ def selfjoin_pair_rows(t: Tables) -> DataFrame:
     return pair_rows(sums, ["l_partkey", "l_linestatus"], "l_returnflag", "qty", {"qty_a": "A", "qty_r": "R"})
 
 
+@proof(
+    """
+    SELECT a.l_orderkey, a.l_quantity AS qty_a, r.l_quantity AS qty_r
+    FROM lineitem a JOIN lineitem r ON r.l_orderkey = a.l_orderkey
+    WHERE a.l_returnflag = 'A' AND r.l_returnflag = 'R'
+    """
+)
+def selfjoin_repeated_keys(t: Tables) -> DataFrame:
+    """Several rows of a role share a key: every one of them is paired."""
+    return pair_rows(t.lineitem, ["l_orderkey"], "l_returnflag", "l_quantity", {"qty_a": "A", "qty_r": "R"})
+
+
 @proof(
     f"""
     WITH a AS (SELECT {sql_mean('l_quantity')} AS kept_qty FROM lineitem WHERE l_returnflag IN ('A', 'N')),
@@ -63,9 +76,12 @@ def selfjoin_pair_rows(t: Tables) -> DataFrame:
 )
 def cross_scalar(t: Tables) -> DataFrame:
     flag = F.col("l_returnflag")
-    kept = t.lineitem.where(flag.isin("A", "N")).agg(mean("l_quantity").alias("kept_qty"))
-    returned = t.lineitem.where(flag == "R").agg(mean("l_quantity").alias("returned_qty"))
-    return with_scalars(t.nation.select(F.col("n_nationkey").alias("nation_key")), kept, returned)
+    quantity = F.col("l_quantity")
+    both = t.lineitem.agg(
+        exact_mean(F.when(flag.isin("A", "N"), quantity)).alias("kept_qty"),
+        exact_mean(F.when(flag == "R", quantity)).alias("returned_qty"),
+    )
+    return with_scalars(t.nation.select(F.col("n_nationkey").alias("nation_key")), both)
 
 
 @proof(
@@ -77,7 +93,7 @@ def cross_scalar(t: Tables) -> DataFrame:
 def join_left(t: Tables) -> DataFrame:
     nations = t.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("nation_name"))
     rich = t.supplier.where("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation_key"), "s_suppkey")
-    return nations.join(rich, "nation_key", "left")
+    return left_rows(nations, rich, ["nation_key"])
 
 
 @proof(
@@ -99,16 +115,33 @@ def join_left_chain(t: Tables) -> DataFrame:
     members = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation_key"))
     facts = t.orders.withColumns({"c_custkey": F.col("o_custkey"), "year": F.year("o_orderdate")})
 
-    def average(condition: str, name: str) -> DataFrame:
-        measure = {name: (F.col("o_totalprice"), CENTS)}
-        return mean_over_join(facts.where(condition), members, "c_custkey", measure, ["nation_key"], fact_by=["year"])
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+    measures = {
+        "filled": (F.when(status == "F", price), CENTS),
+        "open": (F.when(status == "O", price), CENTS),
+        "pending": (F.when(status == "P", price), CENTS),
+        "urgent": (F.when(F.col("o_orderpriority") == "1-URGENT", price), CENTS),
+    }
+    anchored = {"_filled": status == "F"}
+    means = mean_over_join(facts, members, "c_custkey", measures, ["nation_key"], anchored, fact_by=["year"])
+    return at_least(means, "_filled", 1).drop("_filled")
 
+
+@proof(
+    f"""
+    WITH c AS (SELECT c_nationkey AS nation_key, {sql_mean('c_acctbal')} AS customer_avg FROM customer GROUP BY 1),
+         s AS (SELECT s_nationkey AS nation_key, {sql_mean('s_acctbal')} AS supplier_avg FROM supplier GROUP BY 1)
+    SELECT n.n_nationkey AS nation_key, c.customer_avg, s.supplier_avg
+    FROM nation n LEFT JOIN c ON c.nation_key = n.n_nationkey LEFT JOIN s ON s.nation_key = n.n_nationkey
+    """
+)
+def join_left_chain_tables(t: Tables) -> DataFrame:
+    """Measures of several tables, grouped before they are joined."""
     return left_chain(
-        average("o_orderstatus = 'F'", "filled"),
-        ["nation_key", "year"],
-        average("o_orderstatus = 'O'", "open"),
-        average("o_orderstatus = 'P'", "pending"),
-        average("o_orderpriority = '1-URGENT'", "urgent"),
+        t.nation.select(F.col("n_nationkey").alias("nation_key")),
+        ["nation_key"],
+        t.customer.groupBy(F.col("c_nationkey").alias("nation_key")).agg(mean("c_acctbal").alias("customer_avg")),
+        t.supplier.groupBy(F.col("s_nationkey").alias("nation_key")).agg(mean("s_acctbal").alias("supplier_avg")),
     )
 
 
@@ -124,24 +157,46 @@ def _customers(t: Tables) -> DataFrame:
     )
 
 
+# Market segments of the test tables.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# Regions have no customers of their own: keys without a match at every scale.
+_PLACES_SQL = "place AS (SELECT n_nationkey AS nation_key FROM nation UNION ALL SELECT -1 - r_regionkey FROM region)"
+
+
+def _places(t: Tables) -> DataFrame:
+    nations = t.nation.select(F.col("n_nationkey").alias("nation_key"))
+    return nations.unionAll(t.region.select(F.lit(-1) - F.col("r_regionkey")))
+
+
 def _segment_measures() -> dict:
     return {"n": F.count(F.lit(1)), "balance": mean("c_acctbal")}
 
 
 @proof(
     f"""
-    WITH e AS ({_SEGMENT_ELEMENTS} WHERE c_acctbal > 9900 GROUP BY 1, 2)
-    SELECT n.n_nationkey AS nation_key, e.segment, e.n, e.balance
-    FROM nation n LEFT JOIN e ON e.nation_key = n.n_nationkey
+    WITH e AS ({_SEGMENT_ELEMENTS} GROUP BY 1, 2), {_PLACES_SQL}
+    SELECT p.nation_key, e.segment, e.n, e.balance FROM place p LEFT JOIN e ON e.nation_key = p.nation_key
     """
 )
 def group_join_array(t: Tables) -> DataFrame:
-    nations = t.nation.select(F.col("n_nationkey").alias("nation_key"))
-    rich = _customers(t).where("c_acctbal > 9900")
-    nested = attach_matches(nations, rich, ["nation_key"], ["segment"], _segment_measures())
+    nested = attach_matches(_places(t), _customers(t), ["nation_key"], ["segment"], _segment_measures(), SEGMENTS)
     return unnest(nested, "matches", keep_empty=True)
 
 
+@proof(
+    f"""
+    WITH c AS (SELECT c_nationkey AS nation_key, c_custkey,
+                      ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS rn FROM customer), {_PLACES_SQL}
+    SELECT p.nation_key, c.c_custkey, c.rn FROM place p LEFT JOIN c ON c.nation_key = p.nation_key
+    """
+)
+def group_join_rows(t: Tables) -> DataFrame:
+    """The group join where every match counts: rows with a place, no array."""
+    customers = t.customer.select(F.col("c_nationkey").alias("nation_key"), "c_custkey", "c_acctbal")
+    matched = match_rows(_places(t), customers, ["nation_key"], ascending("c_acctbal", "c_custkey"))
+    return matched.select("nation_key", "c_custkey", "rn")
+
+
 _KEY_SQL = "REPLACE(UPPER(CONCAT_WS(' ', p_brand, p_name)), ' ', '')"
 _PROMO_SQL = """
     WITH promo AS (SELECT REPLACE(UPPER(TRIM('  ' || LOWER(p_brand) || '  ' || p_name)), ' ', '') AS k,
@@ -178,7 +233,7 @@ def join_normalised_key(t: Tables) -> DataFrame:
                       ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS rn FROM customer),
          s AS (SELECT s_nationkey AS nation_key, s_suppkey,
                       ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS rn FROM supplier)
-    SELECT c.nation_key, CAST(c.rn AS INTEGER) AS rn, c.c_custkey, s.s_suppkey
+    SELECT c.nation_key, c.rn, c.c_custkey, s.s_suppkey
     FROM c JOIN s ON s.nation_key = c.nation_key AND s.rn = c.rn
     """
 )
@@ -256,6 +311,11 @@ def group_median(t: Tables) -> DataFrame:
     return grouped_median(_customers(t), ["segment"], "c_acctbal", "median_balance")
 
 
+@proof("SELECT MEDIAN(l_extendedprice) AS median_price FROM lineitem")
+def global_median(t: Tables) -> DataFrame:
+    return grouped_median(t.lineitem, [], "l_extendedprice", "median_price")
+
+
 _WIDE = {
     f"{flag.lower()}{status.lower()}": {"l_returnflag": flag, "l_linestatus": status}
     for flag in ("A", "N", "R")
@@ -263,6 +323,9 @@ _WIDE = {
 }
 
 
+_FLAGS = [(w["l_returnflag"], w["l_linestatus"]) for w in _WIDE.values()]
+
+
 def _wide_sql(aggregate: str) -> str:
     columns = ", ".join(
         aggregate.format(f"CASE WHEN l_returnflag = '{w['l_returnflag']}' AND l_linestatus = '{w['l_linestatus']}' THEN l_quantity END")
@@ -288,13 +351,13 @@ def pivot_sum_case(t: Tables) -> DataFrame:
 @proof(_SUM_SQL)
 def array_filter_sum(t: Tables) -> DataFrame:
     rows = t.lineitem.select(F.year("l_shipdate").alias("year"), "l_returnflag", "l_linestatus", "l_quantity")
-    nested = nest(rows, ["year"], ["l_returnflag", "l_linestatus"], {"value": F.sum("l_quantity")}, "entries")
+    nested = nest(rows, ["year"], ["l_returnflag", "l_linestatus"], {"value": F.sum("l_quantity")}, "entries", _FLAGS)
     return nested.select("year", *(sum_entries(F.col("entries"), "value", w).alias(n) for n, w in _WIDE.items()))
 
 
 @proof(f"{_SEGMENT_ELEMENTS} GROUP BY 1, 2")
 def group_collect_struct(t: Tables) -> DataFrame:
-    return unnest(nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix"), "mix")
+    return unnest(nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix", SEGMENTS), "mix")
 
 
 @proof(
@@ -304,7 +367,7 @@ def group_collect_struct(t: Tables) -> DataFrame:
     """
 )
 def unnest_filter_sort(t: Tables) -> DataFrame:
-    nested = nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix")
+    nested = nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix", SEGMENTS)
     rows = unnest(nested, "mix").select("nation_key", "segment", "balance").where("balance > 4500")
     return rows.orderBy(F.col("nation_key").asc(), F.col("balance").desc(), F.col("segment").asc())
 
@@ -317,7 +380,7 @@ def unnest_filter_sort(t: Tables) -> DataFrame:
     """
 )
 def unnest_outer(t: Tables) -> DataFrame:
-    nested = nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix")
+    nested = nest(_customers(t), ["nation_key"], ["segment"], _segment_measures(), "mix", SEGMENTS)
     high = nested.withColumn("mix", F.filter("mix", lambda item: item["balance"] > 5500))
     return unnest(high, "mix", keep_empty=True)
 
@@ -361,20 +424,20 @@ def row_number_global(t: Tables) -> DataFrame:
 
 @proof(
     """
-    SELECT event_id, CAST(ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY user_id, event_id) AS INTEGER) AS rn
+    SELECT event_id, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY user_id, event_id) AS rn
     FROM events
     """
 )
 def row_number_global_scaled(t: Tables) -> DataFrame:
-    """Forces the path for groups too large for one task."""
+    """Few large groups, each spread over several range partitions."""
     rows = t.events.select("event_id", "event_type", "user_id")
-    return number_in_groups(rows, ["event_type"], ascending("user_id", "event_id"), rows_per_task=0).select("event_id", "rn")
+    return number_in_groups(rows, ["event_type"], ascending("user_id", "event_id"), unique=True).select("event_id", "rn")
 
 
 @proof(
     """
     SELECT p_partkey, UPPER(p_brand) AS brand,
-           CAST(ROW_NUMBER() OVER (PARTITION BY UPPER(p_brand) ORDER BY p_size, p_partkey) AS INTEGER) AS rn
+           ROW_NUMBER() OVER (PARTITION BY UPPER(p_brand) ORDER BY p_size, p_partkey) AS rn
     FROM part
     """
 )
@@ -390,7 +453,7 @@ def row_number_partitioned(t: Tables) -> DataFrame:
                                         ELSE 'other' END AS class
                      FROM part)
     SELECT p_partkey, class,
-           CAST(ROW_NUMBER() OVER (PARTITION BY class ORDER BY p_size, p_retailprice, p_partkey) AS INTEGER) AS rn
+           ROW_NUMBER() OVER (PARTITION BY class ORDER BY p_size, p_retailprice, p_partkey) AS rn
     FROM classed
     """
 )

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from ampertide.functions import numbers, parse, text
 from ampertide.operators import merging, quality
 from ampertide.operators.aggregates import grouped_median, mean_over_join, row_counts
-from ampertide.operators.joining import attach_matches, best_match, rank_aligned, with_scalars, without_match
-from ampertide.operators.numbering import ascending, first_per_key, largest_group, number_in_groups, number_rows
-from ampertide.operators.reshaping import nest, pair_rows, sum_entries, unnest
+from ampertide.operators.joining import attach_matches, best_match, left_rows, rank_aligned, with_scalars, without_match
+from ampertide.operators.numbering import ascending, first_per_key, number_in_groups, number_rows, running_total
+from ampertide.operators.reshaping import nest, only, pair_rows, sum_entries, unnest
 from ampertide.operators.slicing import last_rows, optional_filter
-from ampertide.sources import sinks
+from ampertide.sources import readers, sinks
 from ampertide.session import fresh_path, materialise, with_row_tie
 
 
+DOMAIN = [None, *range(20)]
+
+
 def values(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -44,18 +47,14 @@ def expected_ranks(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("rows_per_task", [0, 50, 10_000])
-def test_number_in_groups(skewed, rows_per_task):
-    got = number_in_groups(skewed, ["g"], ascending("v", "id"), rows_per_task=rows_per_task)
+@pytest.mark.parametrize("unique", [False, True])
+def test_number_in_groups(skewed, unique):
+    got = number_in_groups(skewed, ["g"], ascending("v", "id"), unique=unique)
+    assert got.schema["rn"].dataType.simpleString() == "bigint"
     assert got.columns == [*skewed.columns, "rn"]
     assert values(got.select("id", "rn")) == sorted(expected_ranks(skewed.collect()), key=repr)
 
 
-def test_largest_group(skewed):
-    assert largest_group(skewed, ["g"]) == 210
-    assert largest_group(skewed.where("id < 0"), ["g"]) == 0
-
-
 def test_number_rows_is_dense_and_ordered(skewed):
     got = number_rows(skewed, ascending("g", "v", "id")).collect()
     order = sorted(got, key=lambda r: (r["g"] is not None, r["g"] or "", r["v"] is not None, r["v"] or 0, r["id"]))
@@ -76,24 +75,41 @@ def test_first_per_key_drops_rows_before_the_shuffle(skewed):
     assert plan.index("Final") < plan.index("hashpartitioning") < plan.index("Partial")
 
 
-def test_rank_aligned_with_and_without_splitting(spark, skewed):
+def test_running_total(skewed):
+    got = {r["id"]: r["s"] for r in running_total(skewed, ["g"], ascending("v", "id"), F.col("id"), "s").collect()}
+    groups = {}
+    for r in sorted(skewed.collect(), key=lambda r: (r["v"] is not None, r["v"] or 0, r["id"])):
+        groups[r["g"]] = groups.get(r["g"], 0) + r["id"]
+        assert got[r["id"]] == groups[r["g"]]
+
+
+def test_rank_aligned(spark, skewed):
     left = skewed.where("g IS NOT NULL").select("g", F.col("id").alias("l"))
     right = skewed.where("g IS NOT NULL AND x > 20").select("g", F.col("id").alias("r"))
     plain = rank_aligned(left, right, ["g"], ascending("l"), ascending("r"))
-    split = rank_aligned(left, right, ["g"], ascending("l"), ascending("r"), rows_per_task=0)
-    assert values(plain.select("g", "rn", "l", "r")) == values(split.select("g", "rn", "l", "r"))
-    assert plain.count() == right.count()
+    sides = [{}, {}]
+    for side, df, column in zip(sides, (left, right), "lr"):
+        for r in sorted(df.collect(), key=lambda r: r[column]):
+            side.setdefault(r["g"], []).append(r[column])
+    wanted = [(g, n, l, r) for g in sides[1] for n, (l, r) in enumerate(zip(sides[0][g], sides[1][g]), 1)]
+    assert values(plain.select("g", "rn", "l", "r")) == sorted(wanted, key=repr)
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_grouped_median(spark, skewed, accuracy):
+def test_grouped_median(spark, skewed):
     groups = {}
     for r in skewed.collect():
         groups.setdefault(r["g"], []).append(r["x"])
-    got = {r["g"]: r["m"] for r in grouped_median(skewed, ["g"], "x", "m", accuracy).collect()}
+    got = {r["g"]: r["m"] for r in grouped_median(skewed, ["g"], "x", "m").collect()}
     assert got == {g: pytest.approx(statistics.median(xs)) for g, xs in groups.items()}
 
 
+def test_median_without_keys(skewed):
+    one = grouped_median(skewed, [], "x", "m")
+    assert one.first()[0] == pytest.approx(statistics.median(r["x"] for r in skewed.collect()))
+    assert "Cartesian" not in one._jdf.queryExecution().executedPlan().toString()
+    assert grouped_median(skewed.where("id < 0"), [], "x", "m").collect() in ([], [(None,)])
+
+
 def test_grouped_median_with_repeated_values(skewed):
     groups = {}
     for r in skewed.where("v IS NOT NULL").collect():
@@ -117,8 +133,15 @@ def test_exact_mean_does_not_depend_on_order(skewed):
     assert len(means) == 1
 
 
+def test_exact_mean_rounds_nothing_away(spark):
+    df = spark.createDataFrame([(10.125,), (None,), (-3.5,)], "x double")
+    assert df.agg(numbers.exact_mean(F.col("x"), 3)).first()[0] == 3.3125
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.agg(numbers.exact_mean(F.col("x"), 2)).collect()
+
+
 def test_nest_unnest_and_sum_entries(skewed):
-    nested = nest(skewed, ["g"], ["v"], {"n": F.count(F.lit(1)), "total": F.sum("x")}, "items")
+    nested = nest(skewed, ["g"], ["v"], {"n": F.count(F.lit(1)), "total": F.sum("x")}, "items", DOMAIN)
     back = unnest(nested, "items")
     plain = skewed.groupBy("g", "v").agg(F.count(F.lit(1)), F.sum("x"))
     assert [(a[0], a[1], a[2]) for a in values(back)] == [(b[0], b[1], b[2]) for b in values(plain)]
@@ -129,14 +152,14 @@ def test_nest_unnest_and_sum_entries(skewed):
 
 def test_attach_matches_keeps_rows_without_matches(spark, skewed):
     left = spark.createDataFrame([("hot",), ("zzz",)], "g string")
-    got = {r["g"]: r["matches"] for r in attach_matches(left, skewed, ["g"], ["v"], {"n": F.count(F.lit(1))}).collect()}
+    got = {r["g"]: r["matches"] for r in attach_matches(left, skewed, ["g"], ["v"], {"n": F.count(F.lit(1))}, DOMAIN).collect()}
     assert got["zzz"] == [] and sum(m["n"] for m in got["hot"]) == 210
 
 
 def test_pair_rows_equals_self_join(spark):
-    rows = spark.createDataFrame([(1, "TWh", 5.0), (1, "%", 50.0), (2, "TWh", 7.0), (3, "TWh", None), (3, "%", 1.0)], "k int, unit string, v double")
+    rows = spark.createDataFrame([(1, "TWh", 5.0), (1, "%", 50.0), (2, "TWh", 7.0), (3, "TWh", None), (3, "%", 1.0), (1, "TWh", 6.0)], "k int, unit string, v double")
     got = pair_rows(rows, ["k"], "unit", "v", {"twh": "TWh", "pct": "%"})
-    assert values(got) == [(1, 5.0, 50.0), (3, None, 1.0)]
+    assert values(got) == [(1, 5.0, 50.0), (1, 6.0, 50.0), (3, None, 1.0)]
 
 
 def test_merges(spark):
@@ -232,11 +255,53 @@ def test_model_split(spark):
         ("Citroen", "C  Zero", "Citroen", "C  Zero"), ("Renault", "ZOE ", "Renault", "ZOE"), ("A", "B", "A", "B"), ("Solo", "", "Solo", "")]
 
 
-def test_nest_refuses_long_arrays(skewed):
-    nested = nest(skewed, ["g"], ["id"], {"n": F.count(F.lit(1))}, "items", max_items=100)
-    with pytest.raises(Exception, match="more than 100 entries"):
-        nested.collect()
-    assert nest(skewed, ["g"], ["v"], {"n": F.count(F.lit(1))}, "items", max_items=21).count() == 4
+def test_nest_names_undeclared_elements(skewed):
+    with pytest.raises(Exception, match="not declared for items: 7"):
+        nest(skewed.where("v = 7"), ["g"], ["v"], {"n": F.count(F.lit(1))}, "items", [1, 2]).collect()
+
+
+def test_only_refuses_a_second_row(spark):
+    rows = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 4.0)], "k int, v double")
+    assert rows.where("k = 2").groupBy("k").agg(only(F.col("v"))).collect() == [(2, 4.0)]
+    with pytest.raises(Exception, match="more than one row"):
+        rows.groupBy("k").agg(only(F.col("v"))).collect()
+
+
+def test_left_rows_equals_left_join(spark, skewed):
+    left = spark.createDataFrame([("hot", 1), ("zzz", 2), (None, 3), ("a", 4), ("a", 5)], "g string, l int")
+    right = skewed.select("g", "id")
+    assert values(left_rows(left, right, ["g"])) == values(left.join(right, ["g"], "left"))
+
+
+def test_merges_refuse_repeated_source_keys(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(2, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    for merge in (merging.merge_keep, merging.merge_replace):
+        with pytest.raises(Exception, match="repeated merge key: 2"):
+            merge(target, source, ["k"]).collect()
+        assert merge(target, source.where("v <> 'c'"), ["k"]).count() == 4
+
+
+def test_csv_of_other_writers(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('id,name,v\n1,"Café ""Sud"", Lyon",5\n2,"two\nlines",6\n3, blanks ,7\n4,"",8\n')
+    rows = readers.read_csv(spark, str(tmp_path), "id int, name string, v int", multi_line=True)
+    assert values(rows) == [(1, 'Café "Sud", Lyon', 5), (2, "two\nlines", 6), (3, " blanks ", 7), (4, "", 8)]
+
+
+def test_malformed_csv_rows(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("id,name,v\n1,a,5\n2,b,6,7\n3,c\nx,d,9\n")
+    schema = "id int, name string, v int"
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        readers.read_csv(spark, str(tmp_path), schema).collect()
+    good, bad = readers.read_csv_checked(spark, str(tmp_path), schema)
+    assert values(good) == [(1, "a", 5)] and sorted(r["_malformed"] for r in bad.collect()) == ["2,b,6,7", "3,c", "x,d,9"]
+
+
+def test_clustered_can_be_rebuilt(spark):
+    path = fresh_path(spark, "rebuilt")
+    rows = spark.range(10).selectExpr("id", "id % 2 AS p")
+    sinks.clustered(rows, path, ["p"], ["id"])
+    assert sinks.clustered(rows.where("id < 4"), path, ["p"], ["id"]).count() == 4
 
 
 def test_scalars_need_one_row(spark):
