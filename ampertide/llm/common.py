@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampertide.session import configure
+
 #: Words and the white space between them, in every operator of this package.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -20,11 +23,25 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 64 << 20
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of this package on top of the library's: texts are large, so Arrow batches have few rows."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def by_value(name: str) -> None:
     """Send the functions of this module to executors as code, so that they need no installed copy."""
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def worker_kept(key: str, make):
+    """An object that stays in the Python worker from task to task, made when first asked for."""
+    held = sys.modules.setdefault("_ampertide_kept", types.ModuleType("_ampertide_kept"))
+    if not hasattr(held, key):
+        setattr(held, key, make())
+    return getattr(held, key)
+
+
 def small(df: DataFrame, size: int) -> DataFrame:
     """``df`` with a broadcast hint if its ``size`` in bytes is within the bound."""
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
@@ -44,7 +61,7 @@ class Words:
     """The words of many texts as numbers of a table of distinct words."""
 
     def __init__(self, texts: pa.Array, lower: bool = True):
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = pc.fill_null(texts, "").cast(pa.string())
         if lower:
             texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)

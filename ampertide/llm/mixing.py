@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import WORD, unit
-from ampertide.session import materialise
+from ampertide.llm.common import WORD, small, unit
+from ampertide.session import materialise, with_row_tie
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -216,6 +216,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     ``shard_order`` a shard is shuffled.
     """
     own = [c for c in docs.columns if c not in ("shard", "shard_order")]
-    stored = materialise(docs.select(*own, F.monotonically_increasing_id().alias("_row")), "rows")
+    stored = with_row_tie(docs.select(*own), "_row")
     _, placed = placements(stored, **settings)
-    return stored.join(placed, "_row").drop("_row")
+    placed = materialise(placed, "placed")
+    return stored.join(small(placed, 24 * placed.count()), "_row").drop("_row")

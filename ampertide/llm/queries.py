@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampertide.llm.common import prepare
 from ampertide.llm.decontaminate import contamination
 from ampertide.llm.exact_dedup import exact_dedup
 from ampertide.llm.html_text import labelled_sample, learn, main_text
@@ -17,7 +18,6 @@ from ampertide.llm.near_dup import near_dup
 from ampertide.llm.sharding import shard_documents
 from ampertide.llm.token_counts import piece_scores, token_counts
 from ampertide.llm.token_files import read_tokens, write_tokens
-from ampertide.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
@@ -33,7 +33,7 @@ def query(sql: str | None = None):
         name = function.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            configure(spark)
+            prepare(spark)
             return function(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[name] = run

@@ -33,18 +33,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, ranges, slices
+from ampertide.llm.common import Words, by_value, ranges, slices, worker_kept
 from ampertide.session import drop_at_exit, fresh_path, materialise
 
 BLOCK = 1 << 16
 END_ID = 2
 MAGIC = b"BYTEPLN1"
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 2 << 20
 _LEVEL = 1
 _PLANES = 4
 _TRAILER = 4 * 8 + len(MAGIC)
-#: Words whose ids a task remembers, and words encoded in one call.
-_CACHE_WORDS = 1_000_000
+#: Words whose ids a Python worker remembers, and words encoded in one call.
+_CACHE_WORDS = 400_000
 _TOGETHER = 200
 #: Stands between words that are encoded in one call.
 _MARK = "\x01"
@@ -233,7 +233,7 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
             if writer is None:
                 store, place = fs.FileSystem.from_uri(folder)
                 stream = store.open_output_stream(f"{place}/{name}")
-                writer, encoder = Writer(stream), Encoder(tokenizer)
+                writer, encoder = Writer(stream), worker_kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
             ids, counts = encoder.encode(batch.column("text"))
             writer.add(batch.column("doc_id").to_pylist(), ids, counts)
         if writer is not None:
