@@ -39,7 +39,7 @@ by_value(__name__)
 
 def plain(texts: pa.Array) -> pa.Array:
     """Lower-case letters and digits, with blanks for anything else."""
-    return pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())), r"[^\p{L}\p{N}]+", " ")
+    return pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.string())), r"[^\p{L}\p{N}]+", " ")
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, Words]:

@@ -43,7 +43,7 @@ by_value(__name__)
 
 def letters_only(texts: pa.Array) -> pa.Array:
     """Lower-case letters, with one blank for each run of anything else."""
-    lower = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    lower = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.string()))
     return pc.utf8_trim(pc.replace_substring_regex(lower, r"\P{L}+", " "), " ")
 
 

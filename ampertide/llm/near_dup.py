@@ -8,10 +8,11 @@ high chance at every level:
 * a node with one class is done, a small node is compared exhaustively,
 * a larger node branches by the tokens of the next level,
 * after ``LEVELS`` levels a large node holds a group of near copies (or sets that
-  differ too little to be told apart). Its members are compared with one pivot and
-  inside random blocks, which connects near copies with few comparisons. Then every
-  member outside the node's largest component is compared with all members of other
-  components, so no link between components is lost.
+  differ too little to be told apart). Large nodes that share members form a cluster.
+  Its members are compared with one pivot and inside random blocks, which connects
+  near copies with few comparisons. Then every member outside the cluster's largest
+  component is compared with all members of other components, chunk by chunk inside
+  tasks, so no link between components is lost and no pair without a link leaves a task.
 
 Two sets of similarity 0.8 miss each other at one level with probability 0.024, hence
 in a tree of four levels with 0.093, and in all five trees with 7 in a million; most
@@ -43,6 +44,9 @@ PICKS = 2
 LEAF = 16
 #: Of the tree hashes' smallest tokens, one byte each, so many must agree; 0.8 similar sets fail in 2 of ten million cases.
 AGREE = 6
+#: Texts of a cluster that are compared with as many others in one go, and rows of these at a time.
+CHUNK = 256
+_LEFT_ROWS = 32
 _BATCH_BYTES = 8 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -151,7 +155,7 @@ def _kept_pairs(each: DataFrame) -> DataFrame:
 
 
 def chosen_paths(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``a, b, agree`` of all small nodes and of the first round in hot nodes, and the hot nodes' members."""
+    """Candidate pairs ``a, b, agree`` of all small nodes and of the first round in clusters, and the clusters' members."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     start = classes.select("cls", "n", "marks", "tokens", trees)
     nodes = start.select("cls", "n", "marks", "tree", F.explode(_children(F.col("tree"), 0, F.col("tree"))).alias("node"))
@@ -167,16 +171,24 @@ def chosen_paths(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         found.append(_pairs_within(rows.where(F.col("size") <= LEAF), "node"))
         if rows.where(F.col("size") > LEAF).isEmpty():
             break
-    hot = rows.where(F.col("size") > LEAF)
-    # Nodes of about the same size cut the same classes into the same blocks.
-    blocks = F.pow(F.lit(2.0), F.round(F.log2(F.col("size") / LEAF))).cast("long")
-    found.append(_pairs_within(hot.withColumn("block", F.pmod(F.xxhash64("cls"), blocks)), "node", "block"))
-    pivots = materialise(hot.groupBy("node").agg(F.min(F.struct("cls", "n", "marks")).alias("x")), "pivots")
-    found.append(_kept_pairs(hot.select("node", F.struct("cls", "n", "marks").alias("y")).join(pivots, "node")))
+    members = clusters(rows.where(F.col("size") > LEAF))
+    sizes = materialise(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("cls", "n", "marks")).alias("x")), "clusters")
+    sized = members.join(sizes, "cluster")
+    blocks = F.greatest(F.lit(1), F.round(F.col("size") / LEAF)).cast("long")
+    found.append(_pairs_within(sized.withColumn("block", F.pmod(F.xxhash64("cls"), blocks)), "cluster", "block"))
+    found.append(_kept_pairs(sized.select("x", F.struct("cls", "n", "marks").alias("y"))))
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return materialise(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates"), hot
+    return materialise(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates"), members
+
+
+def clusters(hot: DataFrame) -> DataFrame:
+    """``cls, n, marks, cluster`` for the classes of large nodes; nodes that share a class are one cluster."""
+    first = materialise(hot.groupBy("node").agg(F.min("cls").alias("a")), "first-of-node")
+    labels = components(hot.join(first, "node").select("a", F.col("cls").alias("b")))
+    own = hot.select("cls", "n", "marks").dropDuplicates(["cls"])
+    return materialise(own.join(labels.select(F.col("id").alias("cls"), F.col("label").alias("cluster")), "cls"), "members")
 
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -235,9 +247,9 @@ def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     classes = materialise(sets.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("cls")), "classes")
     heads = sets.join(classes.withColumnRenamed("cls", "doc_id"), ["n", "k1", "k2", "doc_id"]).withColumnRenamed("doc_id", "cls")
     heads = materialise(heads.dropDuplicates(["n", "k1", "k2"]).select("cls", "n", "marks", "tokens"), "heads")
-    pairs, hot = chosen_paths(heads)
+    pairs, members = chosen_paths(heads)
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    wanted = materialise(wanted.unionByName(hot.select(F.col("cls").alias("doc_id"))).distinct(), "wanted")
+    wanted = materialise(wanted.unionByName(members.select(F.col("cls").alias("doc_id"))).distinct(), "wanted")
     texts = materialise(docs.join(small(wanted, 16 * wanted.count()), "doc_id"), "texts")
     # The likeliest partner of each class connects most of a group; the rest only matters across components.
     best = pairs.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("a"))).alias("top"))
@@ -245,8 +257,8 @@ def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     labels = components(links)
     links = links.unionByName(confirmed(_across(pairs, labels), texts, words))
     labels = components(links)
-    if not hot.isEmpty():
-        links = links.unionByName(confirmed(_rest_of(hot, labels), texts, words))
+    if not members.isEmpty():
+        links = links.unionByName(confirmed(_across_clusters(members, labels, texts, words), texts, words))
         labels = components(links)
     rows = signatures.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
     rows = rows.join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
@@ -256,14 +268,61 @@ def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
-def _rest_of(hot: DataFrame, labels: DataFrame) -> DataFrame:
-    """In hot nodes of several components: the pairs across components, each with one end outside the largest."""
-    member = F.struct("cls", "n", "marks")
-    rows = hot.select("node", "cls", "n", "marks").join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
-    rows = materialise(rows.select("node", F.coalesce("label", "cls").alias("label"), member.alias("x")), "labelled")
-    parts = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("size"))
-    main = parts.groupBy("node").agg(F.count(F.lit(1)).alias("parts"), F.max_by("label", F.struct("size", "label")).alias("main"))
-    main = materialise(main.where("parts > 1").select("node", "main"), "main")
-    rows = materialise(rows.join(main, "node"), "mixed")
-    outside = materialise(rows.where("label <> main").select("node", F.col("label").alias("_label"), F.col("x").alias("y")), "outside")
-    return _kept_pairs(rows.join(outside, "node").where("label <> _label").select("x", "y")).select("a", "b").distinct()
+def _similar(words: int):
+    """Links between two chunks of texts with different labels, from products of their shingle incidence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                left, right = row["left"], row["right"]
+                values, sizes = shingles(pa.array([m["text"] for m in right]), words)
+                order = np.argsort(values, kind="stable")
+                values, owner = values[order], np.repeat(np.arange(len(right)), sizes)[order]
+                labels = np.array([m["label"] for m in right])
+                found_a, found_b = [], []
+                for at in range(0, len(left), _LEFT_ROWS):
+                    some = left[at : at + _LEFT_ROWS]
+                    own, own_sizes = shingles(pa.array([m["text"] for m in some]), words)
+                    low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                    hits = owner[np.repeat(low, high - low) + ranges(high - low)]
+                    mine = np.repeat(np.repeat(np.arange(len(some)), own_sizes), high - low)
+                    both = np.bincount(mine * len(right) + hits, minlength=len(some) * len(right)).reshape(len(some), len(right))
+                    union = own_sizes[:, None] + sizes[None, :] - both
+                    other = np.array([m["label"] for m in some])[:, None] != labels[None, :]
+                    i, j = np.nonzero(other & (both > 0) & (100 * both >= PERCENT * union))
+                    found_a += [some[k]["cls"] for k in i]
+                    found_b += [right[k]["cls"] for k in j]
+                yield pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return run
+
+
+def _across_clusters(members: DataFrame, labels: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """In clusters of several components: the links between a member outside the largest one and any of another."""
+    spark = members.sparkSession
+    rows = members.select("cluster", "cls").join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
+    rows = materialise(rows.select("cluster", "cls", F.coalesce("label", "cls").alias("label")), "labelled")
+    parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
+    main = parts.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("top")
+    )
+    main = materialise(main.where("parts > 1").select("cluster", "size", (F.col("size") - F.col("top.size")).alias("outside"), F.col("top.label").alias("main")), "main")
+    whole = rows.join(main, "cluster").join(texts.select(F.col("doc_id").alias("cls"), "text"), "cls")
+
+    def chunked(some: DataFrame, count: str, name: str) -> DataFrame:
+        """Texts in chunks of about ``CHUNK``; a chunk is a row."""
+        chunk = F.pmod(F.xxhash64("cls"), F.ceil(F.col(count) / CHUNK))
+        grouped = some.groupBy("cluster", chunk.alias(f"{name}_chunk"))
+        return materialise(grouped.agg(F.collect_list(F.struct("cls", "label", "text")).alias(name)), name)
+
+    left = chunked(whole.where("label <> main"), "outside", "left")
+    right = chunked(whole, "size", "right")
+    jobs = left.select("cluster", "left_chunk").join(right.select("cluster", "right_chunk"), "cluster")
+    jobs = materialise(jobs, "jobs").repartition("cluster", "left_chunk", "right_chunk")
+    both = jobs.join(left, ["cluster", "left_chunk"]).join(right, ["cluster", "right_chunk"]).select("left", "right")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        return materialise(both.mapInArrow(_similar(words), "a long, b long").distinct(), "similar")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
