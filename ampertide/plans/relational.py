@@ -38,7 +38,6 @@ from ampertide.functions.parse import (
     price_lower_bound,
 )
 from ampertide.functions.text import after_first_word, blank_to_null, first_word, has_text, match_key
-from ampertide.operators.aggregates import highest
 from ampertide.operators.joining import best_match, with_scalars, without_match
 from ampertide.operators.merging import append_rows, backfill
 from ampertide.operators.numbering import ascending, first_per_key, number_rows
@@ -46,7 +45,6 @@ from ampertide.operators.reshaping import pair_rows, pivot_max
 from ampertide.operators.slicing import long_slice
 from ampertide.plans import decision as dec
 from ampertide.plans.dashboard import purchase_prices
-from ampertide.session import materialise
 from ampertide.sources.readers import literal_rows
 
 # Country names and fuel prices in EUR per litre.
@@ -218,7 +216,7 @@ def catalogue_vehicles(catalogue: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("vehicle_class"),
         price_lower_bound(F.col("price")).alias("price_usd"),
         leading_int(F.col("horsepower")).alias("horsepower"),
-        leading_int(F.col("seats")).alias("seats"),
+        first_number(F.trim(F.col("seats"))).try_cast("int").alias("seats"),
     )
 
 
@@ -257,22 +255,26 @@ def valid_specs(specs: DataFrame) -> DataFrame:
     return first_per_key(
         typed.withColumn("energy_consumption_kwh_100km", consumption),
         ["spec_key"],
-        ascending("car_model", "battery_capacity_kwh", "range_wltp_km", "release_year"),
+        ascending(
+            "car_model", "battery_capacity_kwh", "range_wltp_km", "release_year", "dc_charge_power_kw", "ac_charge_power_kw"
+        ),
     )
 
 
-_REGISTRY_ORDER = (
-    "make", "model", "fuel_type", "engine_size_l", "cylinders", "transmission", "fuel_consumption_city",
-    "fuel_consumption_hwy", "fuel_consumption_comb", "co2_emissions_gkm", "vehicle_class",
+# Ids follow the origin, then these columns; one that an origin lacks is NULL there.
+_VEHICLE_ORDER = (
+    "_origin", "spec_key", "make", "model", "fuel_type", "price_usd", "horsepower", "seats", "engine_size_l", "cylinders",
+    "transmission", "fuel_consumption_city", "fuel_consumption_hwy", "fuel_consumption_comb", "co2_emissions_gkm", "vehicle_class",
 )
+_CATALOGUE, _REGISTRY, _SHEET = range(3)
 
 
 def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFrame) -> dict[str, DataFrame]:
     """Three sources to vehicle, ice_emission and ev_spec.
 
-    Ids follow the source order catalogue, registry, spec sheet. A registry row
-    keeps its id from the numbering on, so its emission record needs no second
-    matching by rank.
+    Ids follow the source order catalogue, registry, spec sheet, from one ordering of
+    all rows. A registry row keeps its id from the numbering on, so its emission record
+    needs no second matching by rank.
     """
     cars = backfill(
         catalogue_vehicles(catalogue),
@@ -282,29 +284,18 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
         match_upper("make", "model"),
         F.col("vehicle_class"),
     )
-    cars = number_rows(
-        cars, ascending("make", "model", "fuel_type", "price_usd", "horsepower", "seats"), "vehicle_id"
-    )
-    registered = number_rows(
-        registry_rows(registry), ascending(*_REGISTRY_ORDER), "vehicle_id", after=highest(cars, "vehicle_id")
-    )
-    known = append_rows(cars, registered.select("vehicle_id", "make", "model", "fuel_type", "vehicle_class"))
-
-    sheet = materialise(valid_specs(specs), "specs")
-    electric = known.where(F.col("fuel_type") == "Electric")
-    missing = without_match(
-        sheet, F.col("spec_key"), electric, match_key(F.col("make"), F.col("model"))
-    ).select(
+    registered = registry_rows(registry)
+    sheet = valid_specs(specs)
+    known = append_rows(cars.withColumn("_origin", F.lit(_CATALOGUE)), registered.withColumn("_origin", F.lit(_REGISTRY)))
+    electric = known.where(F.col("fuel_type") == "Electric").select("make", "model")
+    missing = without_match(sheet, F.col("spec_key"), electric, match_key(F.col("make"), F.col("model"))).select(
         first_word(F.col("car_model")).alias("make"),
         after_first_word(F.col("car_model")).alias("model"),
         F.lit("Electric").alias("fuel_type"),
         "spec_key",
+        F.lit(_SHEET).alias("_origin"),
     )
-    added = number_rows(
-        missing, ascending("spec_key"), "vehicle_id", after=highest(known, "vehicle_id")
-    ).drop("spec_key")
-    vehicle = append_rows(known, added)
-
+    vehicle = number_rows(append_rows(known, missing), ascending(*_VEHICLE_ORDER), "vehicle_id")
     matched = best_match(
         sheet,
         F.col("spec_key"),
@@ -314,8 +305,9 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
     )
     return {
         "vehicle": conform(vehicle, "vehicle"),
-        "ice_emission": conform(_with_row_id(registered, "ice_emission_id"), "ice_emission"),
-        "ev_spec": conform(with_id(matched, "ev_spec_id", ("vehicle_id",)), "ev_spec"),
+        "ice_emission": conform(_with_row_id(vehicle.where(F.col("_origin") == _REGISTRY), "ice_emission_id"), "ice_emission"),
+        # A vehicle has one key, hence one sheet row.
+        "ev_spec": conform(number_rows(matched, ascending("vehicle_id"), "ev_spec_id", unique=True), "ev_spec"),
     }
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,11 +66,32 @@ def drop_at_exit(spark: SparkSession, path: str) -> str:
     return path
 
 
+# Paths that open ``scratch`` blocks will delete, innermost last.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialise`` stores inside the block when it is left.
+
+    For long sessions: results that read those tables must be stored before.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a reader of the stored rows."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(drop_at_exit(spark, path))
 
 

@@ -15,7 +15,7 @@ from ampertide.operators.aggregates import at_least, mean_over_join
 from ampertide.operators.joining import left_chain, with_scalars
 from ampertide.operators.merging import append_rows
 from ampertide.operators.reshaping import embed, nest, unnest
-from ampertide.operators.slicing import in_year
+from ampertide.operators.slicing import in_year, optional_filter
 from ampertide.plans import dashboard, documents, relational
 from ampertide.plans import decision as dec
 from ampertide.session import materialise
@@ -232,16 +232,18 @@ _YEARLY_SQL = f"""
 """
 
 
-def _sales(t: Tables) -> DataFrame:
-    """Orders summed per nation name, year, status and priority.
+def _sales(t: Tables, nation: str | None = None, year: int | None = None) -> DataFrame:
+    """Orders summed per nation name, year, status and priority, of all or one nation and year.
 
     Stored, as one scan of the orders serves every yearly frame.
     """
-    per_customer = t.orders.groupBy(
+    orders = t.orders if year is None else t.orders.where(in_year(F.col("o_orderdate"), year))
+    nations = optional_filter(t.nation, "n_name", nation)
+    per_customer = orders.groupBy(
         F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
     ).agg(F.sum(scaled(F.col("o_totalprice"), CENTS)).alias("amount"), F.count(F.lit(1)).alias("n"))
-    names = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_code"))
+    names = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_code"))
     places = t.customer.select("c_custkey", "c_nationkey").join(names, "c_nationkey").select("c_custkey", "country_code")
     summed = per_customer.join(places, "c_custkey").groupBy("country_code", "year", "status", "priority").agg(
         F.sum(F.col("amount").cast("decimal(20,0)")).alias("amount"), F.sum("n").alias("n")
@@ -265,8 +267,8 @@ def _yearly_price(sales: DataFrame) -> DataFrame:
     return _yearly_average(sales, "status <> 'P'", 70.0, "electricity_price_eur_per_kwh")
 
 
-def _country_year(t: Tables) -> DataFrame:
-    sales = _sales(t)
+def _country_year(t: Tables, nation: str | None = None, year: int | None = None) -> DataFrame:
+    sales = _sales(t, nation, year)
     twh = unscaled(F.sum("amount"), CENTS) / F.lit(1000000.0)
     mix = nest(sales.withColumnRenamed("status", "source"), _YEAR_KEYS, ["source"], {"generation_twh": twh}, "grid_mix", ("F", "O", "P"))
 
@@ -336,7 +338,7 @@ def decision_interactive(t: Tables) -> DataFrame:
         F.col("nation_name").alias("country_code"), "petrol_price_eur_per_l", "diesel_price_eur_per_l",
         embed("charging_summary", station_count=F.col("station_count")),
     )
-    row = dashboard.interactive_decision(countries, _country_year(t), [_fleets(t)], _INTERACTIVE_NATION, REFERENCE_YEAR)
+    row = dashboard.interactive_decision(countries, _country_year(t, _INTERACTIVE_NATION, REFERENCE_YEAR), [_fleets(t)], _INTERACTIVE_NATION, REFERENCE_YEAR)
     return unnest(row.select("*", "ev_adoption.*", "charging.station_count").drop("ev_adoption", "charging"), "grid_mix")
 
 
@@ -430,7 +432,7 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.concat(F.lit("AC "), F.col("s_nationkey").cast("string"), F.lit(".5 kW")).alias("ac_charge_power"),
         F.lit("empty").alias("release_year"),
     )
-    return catalogue, materialise(registry, "registry"), materialise(specs, "sheet")
+    return catalogue, materialise(registry, "registry"), specs
 
 
 @proof(
@@ -443,7 +445,7 @@ def _staging(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
                   'Hybrid': 'Hybrid', 'gasoline': 'Petrol'}[fuel_type] AS fuel_type,
              CAST(REGEXP_EXTRACT(REGEXP_REPLACE(price, '[$,]', '', 'g'), '[0-9]+') AS DOUBLE) AS price_usd,
              CAST(REGEXP_EXTRACT(horsepower, '[0-9]+') AS INTEGER) AS horsepower,
-             CAST(NULLIF(REGEXP_EXTRACT(seats, '[0-9]+'), '') AS INTEGER) AS seats
+             CAST(NULLIF(REGEXP_EXTRACT(TRIM(seats), '[0-9]+'), '') AS INTEGER) AS seats
       FROM catalogue),
     numbered_cars AS (
       SELECT ROW_NUMBER() OVER (ORDER BY c.make, c.model, fuel_type, price_usd, horsepower, seats NULLS FIRST) AS vehicle_id,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import statistics
 
@@ -16,7 +17,7 @@ from ampertide.operators.numbering import ascending, first_per_key, number_in_gr
 from ampertide.operators.reshaping import nest, only, pair_rows, sum_entries, unnest
 from ampertide.operators.slicing import last_rows, optional_filter
 from ampertide.sources import readers, sinks
-from ampertide.session import fresh_path, materialise, with_row_tie
+from ampertide.session import fresh_path, materialise, scratch, with_row_tie
 
 
 DOMAIN = [None, *range(20)]
@@ -297,6 +298,14 @@ def test_malformed_csv_rows(spark, tmp_path):
     assert values(good) == [(1, "a", 5)] and sorted(r["_malformed"] for r in bad.collect()) == ["2,b,6,7", "3,c", "x,d,9"]
 
 
+def test_scratch_tables_can_be_dropped_early(spark):
+    with scratch(spark):
+        kept = materialise(spark.range(3), "scratch")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3 and os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 def test_clustered_can_be_rebuilt(spark):
     path = fresh_path(spark, "rebuilt")
     rows = spark.range(10).selectExpr("id", "id % 2 AS p")
