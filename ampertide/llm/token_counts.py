@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, slices
+from ampertide.llm.common import Words, by_value, slices, worker_kept
 
 SPACE = "▁"
 _BATCH_BYTES = 16 << 20
+#: Words whose counts a Python worker remembers.
+_CACHE_WORDS = 600_000
 
 by_value(__name__)
 
@@ -56,6 +58,15 @@ class PieceTrie:
             self.score[at] = value
         #: Worse than any piece, per byte.
         self.byte_score = min(scores.values(), default=0.0) - 10.0
+        self.known: dict[str, int] = {}
+
+    def sizes(self, words: list[str]) -> np.ndarray:
+        """Pieces of each of the distinct ``words``; only those not met lately enter the trie."""
+        if len(self.known) + len(words) > _CACHE_WORDS:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, self.counts(new).tolist()))
+        return np.array([self.known[w] for w in words], np.int64)
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Pieces of each of the distinct ``words``.
@@ -106,11 +117,10 @@ def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = None
+        trie = worker_kept(f"piece trie {hash(frozenset(scores.items()))}", lambda: PieceTrie(scores))
         for batch in slices(batches, _BATCH_BYTES):
-            trie = trie or PieceTrie(scores)
             words = Words(batch.column("text"), lower=False)
-            sizes = trie.counts([SPACE + w for w in words.table.to_pylist()])
+            sizes = trie.sizes([SPACE + w for w in words.table.to_pylist()])
             sums = np.concatenate([[0], np.cumsum(sizes[words.codes])])[words.starts]
             columns = [batch.column("doc_id"), pa.array(words.counts, pa.int64()), pa.array(np.diff(sums), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_tokens"])
