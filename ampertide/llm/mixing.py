@@ -4,7 +4,9 @@
 2. Documents fall into blocks of a source by a hash; a block is a unit of work of
    bounded size. Whole passes over a source take all its blocks, the rest of its
    target takes blocks in permuted order, and of the one block that would
-   overshoot those documents that still fit.
+   overshoot documents in a seeded order until one does not fit, then the largest
+   ones that still fit, down to the smallest; of a block that is mostly taken, the
+   documents to leave out are found in this way.
 3. The number of blocks each source gives is split among the output shards by
    halving the shards again and again: the left half draws its blocks from the
    sources' quotas without replacement, a multivariate hypergeometric draw. Quotas
@@ -29,7 +31,7 @@ MOST = 2  # times its size that a source gives at most
 BLOCK_WORDS = 50_000
 SHARDS = 16
 #: Times that the documents of an overshooting block are gone through for ones that still fit.
-FIT_PASSES = 6
+FIT_PASSES = 9
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -80,24 +82,30 @@ def blocks_of(rows: DataFrame, goals: DataFrame, seed: int, block_words: int) ->
 def _taken_rows(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
     """Rows with ``_taken``, the copies of each that the mix takes in whole passes and the last, partial one."""
     plan = blocks.select(
-        F.col("source").alias("_s"), F.col("_block").alias("_b"), "_passes", "_whole", "_gap"
+        F.col("source").alias("_s"), F.col("_block").alias("_b"), "_passes", "_whole", "_gap", "_words"
     )
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
     inside = rows.where("_gap is not null and _size > 0")
     outside = rows.where("_gap is null or _size = 0").withColumn("_more", F.when(F.col("_whole"), 1).otherwise(0))
     # At most one block of a source is cut, and a block is small.
-    order = Window.partitionBy("source", "_block").orderBy(F.xxhash64(F.lit(seed + 1), "_key"), "_row")
+    seeded = [F.xxhash64(F.lit(seed + 1), "_key"), F.col("_row")]
     group = Window.partitionBy("source", "_block")
-    inside = inside.withColumn("_more", F.lit(0)).withColumn("_room", F.col("_gap"))
-    for _ in range(FIT_PASSES):
-        waiting = F.when((F.col("_more") == 0) & (F.col("_size") <= F.col("_room")), F.col("_size"))
+    # Whichever is less is chosen: the documents to take, or those to leave out.
+    leave = F.col("_gap") * 2 > F.col("_words")
+    room = F.when(leave, F.col("_words") - F.col("_gap")).otherwise(F.col("_gap"))
+    inside = inside.withColumn("_more", F.lit(0)).withColumn("_room", room)
+    for k in range(FIT_PASSES):
+        # The first pass takes what comes before the first document that does not fit, the others skip what does not.
+        fits = F.lit(True) if k == 0 else F.col("_size") <= F.col("_room")
+        waiting = F.when((F.col("_more") == 0) & fits, F.col("_size"))
+        order = Window.partitionBy("source", "_block").orderBy(*([] if k == 0 else [F.col("_size").desc()]), *seeded)
         inside = (
             inside.withColumn("_sum", F.sum(waiting).over(order.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("_new", F.coalesce(waiting.isNotNull() & (F.col("_sum") <= F.col("_room")), F.lit(False)))
             .withColumn("_more", F.when(F.col("_new"), 1).otherwise(F.col("_more")))
             .withColumn("_room", F.col("_room") - F.coalesce(F.sum(F.when(F.col("_new"), F.col("_size"))).over(group), F.lit(0)))
         )
-    inside = inside.drop("_room", "_sum", "_new")
+    inside = inside.withColumn("_more", F.when(leave, 1 - F.col("_more")).otherwise(F.col("_more"))).drop("_room", "_sum", "_new")
     return outside.unionByName(inside).withColumn("_taken", F.col("_passes") + F.col("_more"))
 
 
