@@ -159,12 +159,14 @@ def chosen_paths(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     start = classes.select("cls", "n", "marks", "tokens", trees)
     nodes = start.select("cls", "n", "marks", "tree", F.explode(_children(F.col("tree"), 0, F.col("tree"))).alias("node"))
+    nodes = nodes.withColumn("parent", F.col("node"))
     tokens = classes.select("cls", "tokens")
     found, rows = [], None
     for level in range(LEVELS):
         if level:
             large = rows.where(F.col("size") > LEAF).join(tokens, "cls")
-            nodes = large.select("cls", "n", "marks", "tree", F.explode(_children(F.col("tree"), level, F.col("node"))).alias("node"))
+            branches = F.explode(_children(F.col("tree"), level, F.col("node"))).alias("node")
+            nodes = large.select("cls", "n", "marks", "tree", F.col("node").alias("parent"), branches)
             nodes = materialise(nodes, "nodes")
         sizes = materialise(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         rows = materialise(nodes.join(sizes, "node"), "rows")
@@ -183,8 +185,10 @@ def chosen_paths(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialise(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates"), members
 
 
-def clusters(hot: DataFrame) -> DataFrame:
-    """``cls, n, marks, cluster`` for the classes of large nodes; nodes that share a class are one cluster."""
+def clusters(large: DataFrame) -> DataFrame:
+    """``cls, n, marks, cluster`` for the classes of large nodes; nodes that share a class or their parent are one cluster."""
+    hot = large.select(F.col("parent").alias("node"), "cls", "n", "marks").dropDuplicates(["node", "cls"])
+    hot = materialise(hot, "hot")
     first = materialise(hot.groupBy("node").agg(F.min("cls").alias("a")), "first-of-node")
     labels = components(hot.join(first, "node").select("a", F.col("cls").alias("b")))
     own = hot.select("cls", "n", "marks").dropDuplicates(["cls"])
