@@ -216,7 +216,7 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the ids of ``docs`` in ascending ``doc_id`` order; returns the manifest.
 
     The manifest has a row per file: ``part, path, n_docs, n_ids, start``. A null id is
-    first; rows that share an id are ordered by text. Null and empty texts are one end
+    first; rows that share an id are ordered by a hash of their text. Null and empty texts are one end
     id. An empty table gives no file.
     """
     spark = docs.sparkSession
@@ -242,8 +242,9 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
             row = {"part": [part], "path": [f"{folder}/{name}"], "n_docs": [len(writer.doc_ids)], "n_ids": [writer.total]}
             yield pa.RecordBatch.from_pydict(row)
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    # The hash, not the text, is in the order: range bounds and their sample reach the driver.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     files = materialise(ordered.mapInArrow(run, "part long, path string, n_docs long, n_ids long"), "manifest")
     # One row per file.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
