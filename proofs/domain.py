@@ -21,7 +21,7 @@ from ampertide.plans import decision as dec
 from ampertide.session import materialise
 from ampertide.sources.sinks import view
 from proofs.basics import REFERENCE_YEAR
-from proofs.registry import CENTS, MONEY, Tables, mean, proof, sql_half_up, sql_mean
+from proofs.registry import CENTS, MONEY, Tables, mean, proof, sql_half_up, sql_half_up_written, sql_mean
 
 EXACT = "decimal(18,8)"
 
@@ -354,8 +354,8 @@ _YEARS_AHEAD = 20
                           MEDIAN(p_retailprice) FILTER (p_type IN ('PROMO', 'LARGE')) AS ev FROM part),
       years AS (SELECT CAST(yr AS INTEGER) AS yr FROM RANGE(1, {_YEARS_AHEAD + 1}) AS r(yr))
     SELECT k.nation_key AS country, y.yr AS year,
-           {sql_half_up('b.ice + CAST(15000 AS DOUBLE) * y.yr * k.ice_cost', 2)} AS ice_total,
-           {sql_half_up('b.ev + CAST(15000 AS DOUBLE) * y.yr * k.ev_cost', 2)} AS ev_total
+           {sql_half_up_written('b.ice + CAST(15000 AS DOUBLE) * y.yr * k.ice_cost', 2)} AS ice_total,
+           {sql_half_up_written('b.ev + CAST(15000 AS DOUBLE) * y.yr * k.ev_cost', 2)} AS ev_total
     FROM kpi k CROSS JOIN purchase b CROSS JOIN years y
     ORDER BY country, year
     """

@@ -61,5 +61,10 @@ def sql_mean(expr: str, dtype: str = MONEY) -> str:
 
 
 def sql_half_up(expr: str, digits: int) -> str:
-    """SQL text of half-up rounding of a double as it is written in decimals."""
+    """SQL text of decimal half-up rounding of a double."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
+
+
+def sql_half_up_written(expr: str, digits: int) -> str:
+    """The same for large doubles, taken as they are written in decimals."""
     return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
