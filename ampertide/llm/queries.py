@@ -12,7 +12,7 @@ from ampertide.llm.decontaminate import contamination
 from ampertide.llm.exact_dedup import exact_dedup
 from ampertide.llm.html_text import labelled_sample, learn, main_text
 from ampertide.llm.language_id import fit, held_out, identify
-from ampertide.llm.line_dedup import line_dedup
+from ampertide.llm.line_dedup import line_dedup, passage_array
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
 from ampertide.llm.sharding import shard_documents
@@ -99,7 +99,7 @@ def op7_token_counts(table):
 
 @query()
 def op8_line_dedup(table):
-    return line_dedup(table("documents"))
+    return line_dedup(table("documents"), passage_array)
 
 
 @query()
