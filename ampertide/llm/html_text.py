@@ -240,7 +240,7 @@ def extract(page: str | None, weights: tuple[dict, dict]) -> str:
 
 
 def _whole_article(sequence: list, first: int, last: int) -> tuple[int, int]:
-    """The run, grown to the ends of the marked element that most of its words are in, and cut to it."""
+    """The run, grown to the ends of the marked element that most of its words are in; nothing is cut away."""
     inside = outside = 0
     for x in sequence[first:last]:
         if isinstance(x, Piece) and not x.noise:
@@ -256,7 +256,7 @@ def _whole_article(sequence: list, first: int, last: int) -> tuple[int, int]:
         low -= 1
     while high + 1 < len(sequence) and (high + 1 in where or gap(high + 1)):
         high += 1
-    return low, high + 1
+    return min(first, low), max(last, high + 1)
 
 
 def labelled_sample(pages: DataFrame, most: int = SAMPLE_PAGES) -> list[str]:

@@ -75,6 +75,16 @@ def test_scan_finds_the_best_run():
     assert ht.extract(page, NONE) == " ".join(x.text.strip() for x in sequence[i:j] if isinstance(x, ht.Piece))
 
 
+@pytest.mark.parametrize("opened, closed", [("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")])
+def test_text_goes_on_outside_the_marked_element(opened, closed):
+    """The run grows to the ends of a marked element and keeps what it holds outside; without one the scan decides."""
+    inside, outside = " ".join(["inside"] * 60), " ".join(["outside"] * 40)
+    page = f"<nav>a b c</nav>{opened}<p>{inside}</p>{closed}<p>{outside}</p><footer>f</footer>"
+    assert ht.extract(page, NONE) == f"{inside} {outside}"
+    page = f"<nav>a b c</nav><p>{outside}</p>{opened}<p>{inside}</p>{closed}<ul><li><a>x y z</a></ul><footer>f</footer>"
+    assert ht.extract(page, NONE) == f"{outside} {inside}"
+
+
 def test_odd_rows(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "x", "y"), (None, "u", "<p>a b c d", "x", "y"), (None, "u", "<p>a b c d", "x", "y")]
