@@ -10,7 +10,8 @@ of link words in its block and the length of the block.
 
 What is never main text (scripts, styles, forms, menus, asides, notices, adverts,
 comments) is recognised by element, role or the words of class and id, and left out of
-the run even if the run goes on behind it.
+the run even if the run goes on behind it. A form, or an element that only a word of its
+class or id calls noise, is none if it stands around the whole page.
 """
 
 from __future__ import annotations
@@ -50,6 +51,12 @@ NOISE = frozenset(
     "subscribe subscription signup login sidebar aside rail widget widgets related recommended recommendations nav navbar navigation "
     "menu menus breadcrumb breadcrumbs pagination pager footer masthead topbar share sharing social skip toolbar".split()
 )
+#: Noise by a word of class or id and forms may stand around a whole page, other noise may not.
+HARD, SOFT = "hard", "soft"
+#: A block of so many words outside links is text.
+TEXT_WORDS = 20
+#: Elements of the head; any other one closes it.
+HEAD = frozenset("base link meta noscript script style template title".split())
 #: Elements that close an open one of the same kind, or of the kinds named.
 CLOSES = {"li": "li", "p": "p", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th"}
 
@@ -61,32 +68,34 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _noise(tag: str, attributes: str) -> bool:
-    """Whether an element never holds main text, by its name or attributes."""
-    if tag in OUTSIDE:
-        return True
+def _noise(tag: str, attributes: str) -> str:
+    """Whether an element never holds main text, by its name or attributes: HARD, SOFT or empty."""
+    if tag in OUTSIDE and tag != "form":
+        return HARD
+    found = SOFT if tag == "form" else ""
     if not attributes or attributes.isspace():
-        return False
+        return found
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return HARD
         if name == "role" and value.lower() in ROLES:
-            return True
+            return HARD
         if name in ("class", "id") and any(p.lower() in NOISE for p in _PARTS.findall(value)):
-            return True
+            found = SOFT
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return HARD
+    return found
 
 
 class Piece:
     """A block's text, or a part of it between tags, with what surrounds it."""
 
-    __slots__ = ("text", "block", "noise", "linked", "marked")
+    __slots__ = ("text", "block", "noise", "linked", "marked", "within")
 
-    def __init__(self, text: str, block: int, noise: bool, linked: bool, marked: bool):
-        self.text, self.block, self.noise, self.linked, self.marked = text, block, noise, linked, marked
+    def __init__(self, text: str, block: int, noise: bool, linked: bool, marked: bool, within: tuple = ()):
+        """``within``: numbers of the open elements of soft noise, outermost first."""
+        self.text, self.block, self.noise, self.linked, self.marked, self.within = text, block, noise, linked, marked, within
 
 
 def tokens(page: str) -> list:
@@ -94,26 +103,32 @@ def tokens(page: str) -> list:
     out, stack, at, block = [], [], 0, 0
     noise = linked = marked = raw = 0
     size, until = len(page), None
+    within, softs = (), 0
 
     def text(upto: int) -> None:
         if upto > at and not raw:
             part = page[at:upto]
             if not part.isspace():
-                out.append(Piece(html.unescape(part), block, noise > 0, linked > 0, marked > 0))
+                out.append(Piece(html.unescape(part), block, noise > 0, linked > 0, marked > 0, within))
             elif out and isinstance(out[-1], Piece) and out[-1].block == block:
                 out[-1].text += " "
 
-    def pop() -> None:
-        nonlocal noise, linked, marked, raw
-        tag, flags = stack.pop()
+    def pop() -> str:
+        nonlocal noise, linked, marked, raw, within
+        tag, flags, within = stack.pop()
         noise, linked, marked, raw = (x - y for x, y in zip((noise, linked, marked, raw), flags))
+        return tag
 
     def push(tag: str, attributes: str) -> None:
-        nonlocal noise, linked, marked, raw
+        nonlocal noise, linked, marked, raw, within, softs
         # The heading of an article belongs to it, a page header does not.
-        bad = _noise(tag, attributes) and not (tag == "header" and marked) and tag not in ("html", "body", "article", "main")
-        flags = (int(bad), int(tag == "a"), int(tag in ("article", "main")), int(tag in RAW))
-        stack.append((tag, flags))
+        exempt = (tag == "header" and marked) or tag in ("html", "body", "article", "main")
+        bad = "" if exempt else _noise(tag, attributes)
+        flags = (int(bad == HARD), int(tag == "a"), int(tag in ("article", "main")), int(tag in RAW))
+        stack.append((tag, flags, within))
+        if bad == SOFT:
+            softs += 1
+            within = (*within, softs)
         noise, linked, marked, raw = (x + y for x, y in zip((noise, linked, marked, raw), flags))
 
     place = 0
@@ -135,11 +150,16 @@ def tokens(page: str) -> list:
             block += 1
         out.append(("/" if found[1] else "") + tag)
         if found[1]:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, *_ in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
-        elif tag not in VOID and not (found[3] or "").rstrip().endswith("/"):
+            continue
+        # The end tag of the head may be left out.
+        if stack and (stack[-1][0] == "head" and tag not in HEAD or tag == "body" and any(t == "head" for t, *_ in stack)):
+            while pop() != "head":
+                pass
+        if tag not in VOID and not (found[3] or "").rstrip().endswith("/"):
             if tag in CLOSES:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] in (tag, CLOSES[tag]):
@@ -151,9 +171,43 @@ def tokens(page: str) -> list:
             push(tag, found[3] or "")
             if tag in ("script", "style", "textarea", "title", "noscript", "iframe"):
                 until = tag
+    if softs:
+        _settle([x for x in out if isinstance(x, Piece)])
     return out
 
 
+def _settle(pieces: list[Piece]) -> None:
+    """Call pieces within soft noise noise, but for elements that stand around the whole page.
+
+    Such an element holds most words and text of its own. If it holds marked text, all
+    marked text is in it, else no block of text is outside. Outer elements come first.
+    """
+    sizes = [len(x.text.split()) for x in pieces]
+    words: Counter = Counter()
+    blocks: Counter = Counter()
+    for x, n in zip(pieces, sizes):
+        if not x.noise:
+            blocks[x.block] += n * (not x.linked)
+            for k in x.within:
+                words[k] += n
+    total = sum(n for x, n in zip(pieces, sizes) if not x.noise)
+    around: set[int] = set()
+    for k in sorted(k for k in words if 2 * words[k] > total):
+        # Text that nothing else makes noise, inside or outside.
+        clean = [x for x in pieces if not x.noise and all(j == k or j in around for j in x.within if j <= k)]
+        inside = [x for x in clean if k in x.within]
+        outside = [x for x in clean if k not in x.within and all(j in around for j in x.within)]
+        if any(x.marked for x in inside):
+            whole = not any(x.marked for x in outside)
+        else:
+            is_text = lambda x: x.marked or (not x.linked and blocks[x.block] >= TEXT_WORDS)
+            whole = any(map(is_text, inside)) and not any(map(is_text, outside))
+        if whole:
+            around.add(k)
+    for x in pieces:
+        x.noise = x.noise or any(k not in around for k in x.within)
+
+
 def _blocks(sequence: list) -> dict[int, tuple[int, int]]:
     """Words and link words of each block."""
     counts: dict[int, list[int]] = {}

@@ -85,6 +85,27 @@ def test_text_goes_on_outside_the_marked_element(opened, closed):
     assert ht.extract(page, NONE) == f"{outside} {inside}"
 
 
+TEXT = " ".join(["word"] * 30)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='layout has-sidebar'><article><p>{TEXT}</article><div class=sidebar>s s s</div></div>", TEXT),
+        (f"<nav>a b</nav><div class='layout has-sidebar'><p>{TEXT}</p><div class=sidebar>s s s</div></div>", TEXT),
+        (f"<form action=x><div id=share-page><main><p>{TEXT}</main></div><div class=related>r r r</div></form>", TEXT),
+        (f"<form><p>{TEXT}</p><div class=comments><p>{TEXT} {TEXT}</p></div></form>", TEXT),
+        (f"<p>{TEXT}</p><div class=comments><p>{TEXT} {TEXT}</p></div>", TEXT),
+        (f"<article><p>{TEXT}</article><div class=comments><article><p>{TEXT} {TEXT}</article></div>", TEXT),
+        (f"<div hidden class=widget><p>{TEXT}</p></div>", ""),
+        (f"<html><head><title>t</title><meta charset=x><body><p>{TEXT}", TEXT),
+        (f"<html><head><title>t</title><link rel=x><div><p>{TEXT}</div>", TEXT),
+    ],
+)
+def test_noise_around_the_whole_page(page, text):
+    assert ht.extract(page, NONE) == text
+
+
 def test_odd_rows(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "x", "y"), (None, "u", "<p>a b c d", "x", "y"), (None, "u", "<p>a b c d", "x", "y")]
