@@ -33,8 +33,8 @@ CHECK_LETTERS = 30_000
 #: At most so many languages are told apart; more raise an error.
 MOST_LANGUAGES = 100
 PIECE = 2048
-#: Letters beyond the most frequent ones of the sample count as one.
-ALPHABET = 64
+#: A language of more distinct letters has a list of transitions instead of a full table.
+DENSE_LETTERS = 128
 _BATCH_BYTES = 8 << 20
 _LETTER = r"\p{L}"
 
@@ -47,18 +47,18 @@ def letters_only(texts: pa.Array) -> pa.Array:
     return pc.utf8_trim(pc.replace_substring_regex(lower, r"\P{L}+", " "), " ")
 
 
-def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions (state, letter) of the suffix automaton of a text; -1 where there is none."""
+def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of a text: per state, the next state by letter."""
     size = 2 * len(codes) + 2
-    step = [[-1] * alphabet]
+    step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
         new = len(step)
-        step.append([-1] * alphabet)
+        step.append({})
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and step[p][c] < 0:
+        while p >= 0 and c not in step[p]:
             step[p][c] = new
             p = link[p]
         if p >= 0:
@@ -67,20 +67,62 @@ def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
                 link[new] = q
             else:
                 twin = len(step)
-                step.append(step[q][:])
+                step.append(dict(step[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and step[p][c] == q:
+                while p >= 0 and step[p].get(c) == q:
                     step[p][c] = twin
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
     assert len(step) <= size
-    return np.array(step, np.int32)
+    return step
+
+
+class Parser:
+    """Parsing steps of one language; a state is twice its number, odd if a phrase ended there."""
+
+    def __init__(self, codes: np.ndarray, letters: int):
+        """``codes``: the learned text in a common alphabet of ``letters``."""
+        held = np.unique(codes)
+        #: Common codes to own ones; 0 is any letter that the language does not hold.
+        self.own = np.zeros(letters + 1, np.int32)
+        self.own[held] = np.arange(1, len(held) + 1)
+        self.width = len(held) + 1
+        step = suffix_automaton(self.own[codes])
+        # Without a transition the phrase ends and the letter starts the next one at the root.
+        self.root = np.array([2 * step[0].get(c, 0) + 1 for c in range(self.width)], np.int32)
+        at = np.array([s * self.width + c for s, edges in enumerate(step) for c in edges], np.int64)
+        to = np.array([2 * t for edges in step for t in edges.values()], np.int32)
+        self.dense = self.width <= DENSE_LETTERS
+        if self.dense:
+            self.to = np.tile(self.root, len(step))
+            self.to[at] = to
+        else:
+            order = np.argsort(at)
+            self.at, self.to = at[order], to[order]
+
+    def move(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        key = (state >> 1) * self.width + codes
+        if self.dense:
+            return self.to[key]
+        place = np.minimum(np.searchsorted(self.at, key), len(self.at) - 1)
+        return np.where(self.at[place] == key, self.to[place], self.root[codes])
+
+
+def equal_shares(texts: list[str], most: int) -> str:
+    """The texts joined by blanks, up to ``most`` letters, for which the longest ones are cut to one length."""
+    left = most
+    for k, n in enumerate(sorted(len(t) + 1 for t in texts)):
+        share = left // (len(texts) - k)
+        if n > share:
+            return " ".join(t[: max(1, share - 1)] for t in texts)[:most]
+        left -= n
+    return " ".join(texts)[:most]
 
 
 class Languages:
-    """One parsing table per language over a shared alphabet."""
+    """One parser per language, which knows every letter of the text it learned."""
 
     def __init__(self, sample: pd.DataFrame):
         """``sample``: columns ``lang, text``; texts of a language in a fixed order."""
@@ -90,32 +132,21 @@ class Languages:
         }
         own = {lang: texts for lang, texts in own.items() if texts}
         self.names = sorted(own)
-        seen = pd.Series(list("".join(" ".join(t) for t in own.values()))).value_counts()
-        frequent = sorted(seen.sort_index().sort_values(ascending=False, kind="stable").index[: ALPHABET - 1])
-        self.codes = {c: i + 1 for i, c in enumerate(frequent)}
-        self.tables, self.base = [], []
-        texts_of = {}
-        for lang in self.names:
-            # Every other document is held in to see what the language's own text needs.
-            learned = " ".join(own[lang][::2])[:TEXT_LETTERS]
-            texts_of[lang] = " ".join(own[lang][1::2] or own[lang])[:CHECK_LETTERS]
-            step = suffix_automaton(self.encode(learned), len(self.codes) + 1)
-            # Without a transition the phrase ends and the letter starts the next one at the root.
-            root = np.maximum(step[0], 0)
-            self.tables.append(np.where(step >= 0, step * 2, root[None, :] * 2 + 1).astype(np.int32))
+        # Every other document is held in to see what the language's own text needs.
+        learned = {lang: equal_shares(own[lang][::2], TEXT_LETTERS) for lang in self.names}
+        self.known = np.array(sorted(map(ord, set().union(*learned.values()))), np.uint32)
+        self.parsers = [Parser(self.encode(learned[lang]), len(self.known)) for lang in self.names]
+        self.base = []
         for k, lang in enumerate(self.names):
-            phrases = self.phrases([texts_of[lang]])[0, k]
-            self.base.append(max(phrases / max(1, len(texts_of[lang])), 1e-6))
+            text = equal_shares(own[lang][1::2] or own[lang], CHECK_LETTERS)
+            self.base.append(max(self.phrases([text])[0, k] / max(1, len(text)), 1e-6))
         self.base = np.array(self.base)
 
     def encode(self, text: str) -> np.ndarray:
+        """Letters as numbers of all learned ones, from 1; 0 is a letter that no language holds."""
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        return self._lookup(points)
-
-    def _lookup(self, points: np.ndarray) -> np.ndarray:
-        known = np.array(sorted(ord(c) for c in self.codes), np.uint32)
-        code = np.array([self.codes[chr(c)] for c in known], np.uint8)
-        low = np.zeros(1 << 13, np.uint8)
+        known, code = self.known, np.arange(1, len(self.known) + 1, dtype=np.int32)
+        low = np.zeros(1 << 13, np.int32)
         low[known[known < len(low)]] = code[known < len(low)]
         out = low[np.minimum(points, len(low) - 1)]
         far = points >= len(low) - 1
@@ -137,14 +168,13 @@ class Languages:
         owner, start, length = owner[order], start[order], length[order]
         active = np.searchsorted(-length, -np.arange(PIECE), side="left")  # pieces longer than i
         out = np.zeros((len(texts), len(self.names)), np.int64)
-        for k, table in enumerate(self.tables):
-            width = table.shape[1]
-            flat = table.ravel()
+        for k, parser in enumerate(self.parsers):
+            own = parser.own[codes]
             state = np.zeros(len(owner), np.int64)
             count = np.ones(len(owner), np.int64)
             for i in range(int(length[0]) if len(length) else 0):
                 n = active[i]
-                moved = flat[(state[:n] >> 1) * width + codes[start[:n] + i]]
+                moved = parser.move(state[:n], own[start[:n] + i])
                 state[:n] = moved
                 count[:n] += moved & 1
             out[:, k] = np.bincount(owner, count, len(texts)).astype(np.int64)
