@@ -16,11 +16,13 @@ from ampertide.llm.line_dedup import line_dedup, passage_array
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
 from ampertide.llm.sharding import shard_documents
+from ampertide.llm.token_alignment import align, with_pair_counts
 from ampertide.llm.token_counts import piece_scores, token_counts
 from ampertide.llm.token_files import read_tokens, write_tokens
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +122,10 @@ def op9_mix_sources(table):
 @query()
 def op10_near_dup(table):
     return near_dup(table("documents"), words=2)
+
+
+@query()
+def op13_align_tokens(table):
+    aligned = align(table("documents"), vocabulary(BYTES), vocabulary(PIECES))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return with_pair_counts(aligned.withColumn("groups_sha256", digest).drop("groups"), 1 << 16)
