@@ -16,6 +16,7 @@ from ampertide.llm.line_dedup import line_dedup, passage_array
 from ampertide.llm.mixing import placements
 from ampertide.llm.near_dup import near_dup
 from ampertide.llm.sharding import shard_documents
+from ampertide.llm.source_divergence import source_divergence
 from ampertide.llm.token_alignment import align, with_pair_counts
 from ampertide.llm.token_counts import piece_scores, token_counts
 from ampertide.llm.token_files import read_tokens, write_tokens
@@ -124,6 +125,50 @@ def op10_near_dup(table):
     return near_dup(table("documents"), words=2)
 
 
+@query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+        FROM documents
+    ), w AS (
+        SELECT r, lang, source, unnest(regexp_extract_all(low, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+    ), kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+    cells AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+        FROM g JOIN kept k ON g.lang = k.lang
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), shares AS (
+        SELECT lang, source, term, n,
+            1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source))::HUGEINT AS p
+        FROM cells
+    ), whole AS (
+        SELECT lang, term, 1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::HUGEINT AS q
+        FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM cells GROUP BY lang, term)
+    ), sums AS (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+    ), vals AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT s.lang, s.source, 'term', s.term, (((s.p - t.q) * (s.p - t.q)) // t.q)::BIGINT
+        FROM shares s JOIN whole t ON s.lang = t.lang AND s.term = t.term
+        WHERE s.n > 0 AND s.p > t.q
+    )
+    SELECT lang, source, part, item, value, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM vals
+    ) WHERE part = 'pair' OR rank <= 200
+    """
+)
+def op12_source_divergence(table):
+    return source_divergence(table("documents"))
+
+
 @query()
 def op13_align_tokens(table):
     aligned = align(table("documents"), vocabulary(BYTES), vocabulary(PIECES))
