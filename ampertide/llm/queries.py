@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ampertide.llm.common import prepare
 from ampertide.llm.decontaminate import contamination
+from ampertide.llm.embedding_dedup import embedding_dedup
 from ampertide.llm.exact_dedup import exact_dedup
 from ampertide.llm.html_text import labelled_sample, learn, main_text
 from ampertide.llm.language_id import fit, held_out, identify
@@ -125,6 +126,11 @@ def op10_near_dup(table):
     return near_dup(table("documents"), words=2)
 
 
+@query()
+def op11_embedding_dedup(table):
+    return embedding_dedup(table("embeddings"))
+
+
 @query(
     r"""
     WITH d AS (

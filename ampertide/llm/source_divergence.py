@@ -252,7 +252,7 @@ class Divergences:
 
 
 def _diverge(ranks: int):
-    def run(key, some: pa.Table, groups: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], some: pa.Table, groups: pa.Table) -> pa.Table:
         sources = groups.column("source").combine_chunks()
         found = Divergences(sources.to_pylist(), np.asarray(groups.column("n")), groups["n_lang"][0].as_py(), groups["v"][0].as_py(), ranks)
         step = max(1, _CELLS // len(sources))

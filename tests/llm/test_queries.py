@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_line_dedup": ("documents", {"doc_id", "text"}),
     "op9_mix_sources": ("documents", {"doc_id", "size", "source_size", "target", "taken"}),
     "op10_near_dup": ("documents", {"doc_id", "n_shingles", "component_id", "kept"}),
+    "op11_embedding_dedup": ("embeddings", {"vec_id", "n_links", "component_id", "kept"}),
     "op12_source_divergence": (None, {"lang", "source", "part", "item", "value", "rank"}),
     "op13_align_tokens": ("documents", {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"}),
 }
