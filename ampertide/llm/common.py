@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -34,12 +36,39 @@ def by_value(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def _kept() -> dict:
+    return vars(sys.modules.setdefault("_ampertide_kept", types.ModuleType("_ampertide_kept"))).setdefault("objects", {})
+
+
 def worker_kept(key: str, make):
-    """An object that stays in the Python worker from task to task, made when first asked for."""
-    held = sys.modules.setdefault("_ampertide_kept", types.ModuleType("_ampertide_kept"))
-    if not hasattr(held, key):
-        setattr(held, key, make())
-    return getattr(held, key)
+    """An object that stays in the Python worker from task to task, made when first asked for; one at a time."""
+    kept = _kept()
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
+def lean(run, key: str | None = None):
+    """``run`` for tasks that leave a small worker behind.
+
+    What other functions have kept in the worker goes first, but for the object of
+    ``key``. When the batches are through, memory that they took goes back to the system.
+    """
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other in [k for k in _kept() if k != key]:
+            del _kept()[other]
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return outer
 
 
 def small(df: DataFrame, size: int) -> DataFrame:

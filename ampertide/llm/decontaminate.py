@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, slices, small
+from ampertide.llm.common import Words, by_value, lean, slices, small
 from ampertide.session import materialise, with_row_tie
 
 SEED = 5
@@ -172,9 +172,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
                 sizes = pa.array([len(block.items[h[1]]) for h in hits], pa.int64())
                 yield pa.RecordBatch.from_arrays([rows, ids, marked, sizes], names=["_row", "item_id", "covered", "n_words"])
 
-        rows = docs.select("_row", "text").mapInArrow(run, "_row long, item_id long, covered long, n_words long")
+        rows = docs.select("_row", "text").mapInArrow(lean(run), "_row long, item_id long, covered long, n_words long")
         found.append(materialise(rows, "leaks"))
-        shared.unpersist()
+        # The rows are stored, so no task will ask for the block again.
+        shared.destroy()
     if not found:
         return spark.createDataFrame([], "_row long, item_id long, covered long, n_words long")
     out = found[0]

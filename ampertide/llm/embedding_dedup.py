@@ -10,7 +10,7 @@ class with a weight, so a vector repeated by the million is one row from then on
    ``COSINE`` at least are no more than ``r = sqrt(2 - 2 COSINE)`` apart, so ``x`` has
    no partner at home in the cell of ``d`` if, for any centroid ``b``,
    ``x.b - x.d > r |b - d|``. ``NEAREST`` centroids take the place of ``b``. Cells are
-   split again while that makes less work; the sample tells.
+   split again while that leaves less work and few visitors; the sample tells.
 2. In each last cell the classes at home are compared with all that are there, in blocks
    of ``BLOCK`` by matrix products in double precision. So every link is found, from both
    of its ends, each once. A task gives out how many vectors each class is linked with,
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import by_value, unit
+from ampertide.llm.common import by_value, lean, unit
 from ampertide.llm.components import components
 from ampertide.session import materialise
 
@@ -46,9 +46,9 @@ SAMPLE = 4096
 PARTS = 64
 ROUNDS = 8
 NEAREST = 4
-#: A split must leave no more than this share of the products, and have no more copies of a class.
-WORTH = 0.85
-COPIES = 8.0
+#: A split must leave no more than this share of the products, and no more rows than so many for each class at home.
+WORTH = 0.9
+COPIES = 5.0
 #: Classes in one block of products.
 BLOCK = 4096
 #: Rows of a product at once.
@@ -64,28 +64,33 @@ _PLACED = "cell string, cls long, home boolean, weight long, vector binary"
 _COUNTED = "cls long, others long, root long"
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    """Unit vectors in double precision, a row each; all have one length."""
-    parts = [np.frombuffer(v, np.float64) for v in column.to_pylist()]
-    return np.stack(parts)
+def _units(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """Unit vectors in double precision, a row each, from the bytes of vectors of one length."""
+    return normalised(np.stack([np.frombuffer(v, kind) for v in column.to_pylist()]).astype(np.float64))
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Embeddings as bytes; null where a vector has no direction."""
-    for batch in batches:
-        lists = batch.column("embedding")
-        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)
-        flat = lists.flatten()
-        bad = ~np.asarray(pc.is_valid(flat))
-        values = np.asarray(pc.fill_null(flat, 0.0)).astype(np.float64) + 0.0  # no negative zeros
-        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        bad |= ~np.isfinite(values)
-        vectors = []
-        for start, size in zip(starts[:-1].tolist(), sizes.tolist()):
-            some = values[start : start + size]
-            vectors.append(None if not size or bad[start : start + size].any() or not some.any() else some.tobytes())
-        columns = [batch.column("vec_id"), batch.column("label"), pa.array(vectors, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "label", "vector"])
+def _read(kind: str):
+    """Embeddings as bytes of their own precision; null where a vector has no direction."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _bytes_of(batch, kind)
+
+    return run
+
+
+def _bytes_of(batch: pa.RecordBatch, kind: str) -> pa.RecordBatch:
+    lists = batch.column("embedding")
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)).tolist()
+    flat = lists.flatten()
+    values = np.asarray(pc.fill_null(flat, 0.0)).astype(kind) + np.array(0, kind)  # no negative zeros
+    bad = ~np.asarray(pc.is_valid(flat)).astype(bool) | ~np.isfinite(values)
+    vectors = []
+    for start, end in zip([0, *ends], ends):
+        some = values[start:end]
+        vectors.append(some.tobytes() if end > start and some.any() and not bad[start:end].any() else None)
+    columns = [batch.column("vec_id"), batch.column("label"), pa.array(vectors, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["vec_id", "label", "vector"])
 
 
 def normalised(vectors: np.ndarray) -> np.ndarray:
@@ -120,23 +125,26 @@ def placed(vectors: np.ndarray, centres: np.ndarray, cosine: float) -> tuple[np.
     return home, there
 
 
-def split(vectors: np.ndarray, size: int, cosine: float, cell: int) -> np.ndarray | None:
-    """Centroids for a cell of ``size`` classes, fitted on a sample of them; none if no split is worth it."""
-    vectors = np.unique(vectors, axis=0)
+def split(vectors: np.ndarray, homes: np.ndarray, size: int, cosine: float, cell: int) -> np.ndarray | None:
+    """Centroids for a cell of ``size`` classes, fitted on a sample of them; none if no split is worth it.
+
+    ``homes`` tells which of the sample are at home in the cell.
+    """
     parts = min(PARTS, -(-size // cell), len(vectors))
-    while parts > 1:
+    while parts > 1 and homes.any():
         centres = centroids(vectors, parts)
         home, there = placed(vectors, centres, cosine)
-        work = (np.bincount(home, minlength=len(centres)) * there.sum(axis=0)).sum() / len(vectors) ** 2
-        if work <= WORTH and there.sum() <= COPIES * len(vectors):
+        work = np.bincount(home[homes], minlength=len(centres)) @ there.sum(axis=0) / (homes.sum() * len(vectors))
+        if work <= WORTH and there.sum() <= COPIES * homes.sum():
             return centres
         parts //= 2
     return None
 
 
-def _fit(cosine: float, cell: int):
+def _fit(kind: str, cosine: float, cell: int):
     def run(key: tuple[pa.Scalar, ...], sample: pa.Table) -> pa.Table:
-        centres = split(_vectors(sample.column("vector")), sample.column("size")[0].as_py(), cosine, cell)
+        size = sample.column("size")[0].as_py()
+        centres = split(_units(sample.column("vector"), kind), np.asarray(sample.column("home")), size, cosine, cell)
         rows = {"cell": [], "parts": [], "centres": []}
         if centres is not None:
             rows = {"cell": [key[0].as_py()], "parts": [len(centres)], "centres": [centres.tobytes()]}
@@ -145,11 +153,14 @@ def _fit(cosine: float, cell: int):
     return run
 
 
-def _place(cosine: float):
-    """The classes of a chunk in the parts of their cell."""
+def _place(kind: str, cosine: float):
+    """The classes of a chunk in the parts of their cell; a chunk to which hashing gave no class has none."""
 
     def run(key: tuple[pa.Scalar, ...], some: pa.Table, fitted: pa.Table) -> pa.Table:
-        vectors = _vectors(some.column("vector"))
+        if not len(some):
+            kinds = {"cell": pa.string(), "cls": pa.int64(), "home": pa.bool_(), "weight": pa.int64(), "vector": pa.binary()}
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+        vectors = _units(some.column("vector"), kind)
         centres = np.frombuffer(fitted.column("centres")[0].as_py(), np.float64).reshape(fitted.column("parts")[0].as_py(), -1)
         home, there = placed(vectors, centres, cosine)
         row, part = np.nonzero(there)
@@ -187,13 +198,13 @@ def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = label[label]
 
 
-def _compare(cosine: float):
+def _compare(kind: str, cosine: float):
     """Of a block of classes at home against a block of all: linked vectors and the component of each class."""
 
     def run(key: tuple[pa.Scalar, ...], homes: pa.Table, there: pa.Table) -> pa.Table:
         if not len(homes) or not len(there):
             return pa.table({"cls": [], "others": [], "root": []}, schema=pa.schema([(n, pa.int64()) for n in ("cls", "others", "root")]))
-        left, right = _vectors(homes.column("vector")), _vectors(there.column("vector"))
+        left, right = _units(homes.column("vector"), kind), _units(there.column("vector"), kind)
         own, other = np.asarray(homes.column("cls")), np.asarray(there.column("cls"))
         names, place = np.unique(np.concatenate([own, other]), return_inverse=True)
         at_left, at_right = place[: len(own)], place[len(own) :]
@@ -217,7 +228,7 @@ def _chunks(size: str, of: int):
     return F.greatest(F.lit(1), F.ceil(F.col(size) / of)).cast("int")
 
 
-def cells(classes: DataFrame, cosine: float, cell: int) -> DataFrame:
+def cells(classes: DataFrame, kind: str, cosine: float, cell: int) -> DataFrame:
     """``cell, cls, home, weight, vector``: every class at home in one cell, and a visitor wherever a partner may be at home."""
     rows, done = classes, []
     while True:
@@ -227,8 +238,8 @@ def cells(classes: DataFrame, cosine: float, cell: int) -> DataFrame:
             done.append(rows)
             break
         large = rows.join(sizes, "cell")
-        sample = large.where(unit(F.col("cls"), "sample") < F.lit(SAMPLE) / F.col("size")).select("cell", "size", "vector")
-        fitted = sample.groupBy("cell").applyInArrow(_fit(cosine, cell), "cell string, parts long, centres binary")
+        sample = large.where(unit(F.col("cls"), "sample") < F.lit(SAMPLE) / F.col("size")).select("cell", "size", "home", "vector")
+        fitted = sample.groupBy("cell").applyInArrow(_fit(kind, cosine, cell), "cell string, parts long, centres binary")
         fitted = materialise(fitted, "centres")
         if fitted.isEmpty():
             done.append(rows)
@@ -238,7 +249,7 @@ def cells(classes: DataFrame, cosine: float, cell: int) -> DataFrame:
         # A chunk of classes meets one copy of its cell's centroids.
         jobs = materialise(fitted.join(sizes, "cell").select("cell", "parts", "centres", F.explode(F.sequence(F.lit(0), _chunks("size", BLOCK) - 1)).alias("chunk"), "size"), "jobs")
         spread = split_rows.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("cls"), _chunks("size", BLOCK)).cast("int"))
-        rows = spread.groupBy("cell", "chunk").cogroup(jobs.groupBy("cell", "chunk")).applyInArrow(_guarded(_place(cosine)), _PLACED)
+        rows = spread.groupBy("cell", "chunk").cogroup(jobs.groupBy("cell", "chunk")).applyInArrow(_place(kind, cosine), _PLACED)
         rows = materialise(rows, "placed")
     out = done[0]
     for more in done[1:]:
@@ -246,21 +257,12 @@ def cells(classes: DataFrame, cosine: float, cell: int) -> DataFrame:
     return out
 
 
-def _guarded(place):
-    """Chunks to which hashing gave no class have no result."""
+def links(classes: DataFrame, kind: str, cosine: float = COSINE, cell: int = CELL, block: int = BLOCK) -> DataFrame:
+    """``cls, others, root`` rows: vectors linked with a class, to be summed, and a class it hangs together with.
 
-    def run(key: tuple[pa.Scalar, ...], some: pa.Table, fitted: pa.Table) -> pa.Table:
-        if not len(some):
-            kinds = {"cell": pa.string(), "cls": pa.int64(), "home": pa.bool_(), "weight": pa.int64(), "vector": pa.binary()}
-            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
-        return place(key, some, fitted)
-
-    return run
-
-
-def links(classes: DataFrame, cosine: float = COSINE, cell: int = CELL, block: int = BLOCK) -> DataFrame:
-    """``cls, others, root`` rows: vectors linked with a class, to be summed, and a class it hangs together with."""
-    rows = materialise(cells(classes, cosine, cell), "cells")
+    ``classes``: ``cell, cls, home, weight, vector``, the vectors as bytes of ``kind``.
+    """
+    rows = materialise(cells(classes, kind, cosine, cell), "cells")
     sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.count_if("home").alias("homes"))
     sizes = materialise(sizes.where("homes > 0 and size > 1").withColumns({"left": _chunks("homes", block), "right": _chunks("size", block)}), "blocks")
     sized = rows.join(sizes, "cell")
@@ -273,7 +275,7 @@ def links(classes: DataFrame, cosine: float = COSINE, cell: int = CELL, block: i
     keys = ["cell", "left_block", "right_block"]
     # New column identities: both sides come from one table.
     right = right.toDF(*pick)
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(cosine), _COUNTED)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_compare(kind, cosine), _COUNTED)
     return materialise(found, "linked")
 
 
@@ -288,14 +290,15 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL
     others, has the id of its component, null if there is none, and is kept only then.
     Other columns are ignored.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = materialise(rows.mapInArrow(_read, "vec_id long, label string, vector binary"), "vectors")
+    kind = "float32" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "float64"
+    embedding = F.col("embedding").cast("array<float>" if kind == "float32" else "array<double>")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), embedding.alias("embedding"))
+    rows = materialise(rows.mapInArrow(lean(_read(kind)), "vec_id long, label string, vector binary"), "vectors")
     alike = rows.where("label is not null and vector is not null").groupBy("label", "vector").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"))
     # The number of a class is given before the table is written, so every reader sees the same.
     classes = materialise(alike.withColumn("cls", F.monotonically_increasing_id()), "classes")
     start = F.concat_ws(":", F.length("vector").cast("string"), "label")
-    directions = classes.select(start.alias("cell"), "cls", F.lit(True).alias("home"), "weight", "vector").mapInArrow(_directions, _PLACED)
-    found = links(materialise(directions, "directions"), cosine, cell, block)
+    found = links(classes.select(start.alias("cell"), "cls", F.lit(True).alias("home"), "weight", "vector"), kind, cosine, cell, block)
     others = found.groupBy("cls").agg(F.sum("others").alias("others"))
     labels = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     known = classes.join(others, "cls", "left").join(labels.select(F.col("id").alias("cls"), "label").withColumnRenamed("label", "root"), "cls", "left")
@@ -307,11 +310,3 @@ def embedding_dedup(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id")).withColumn(
         "kept", F.col("vec_id").eqNullSafe(F.col("component_id"))
     )
-
-
-def _directions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors of length one in place of the vectors."""
-    for batch in batches:
-        units = [normalised(np.frombuffer(v, np.float64)[None, :]).tobytes() for v in batch.column("vector").to_pylist()]
-        columns = {name: batch.column(name) for name in batch.schema.names}
-        yield pa.RecordBatch.from_pydict(columns | {"vector": pa.array(units, pa.binary())})

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import by_value, slices, unit
+from ampertide.llm.common import by_value, lean, slices, unit
 
 #: Bound of the labelled sample: pages that the weights are learned from.
 SAMPLE_PAGES = 400
@@ -334,4 +334,4 @@ def main_text(pages: DataFrame, weights: tuple[dict, dict]) -> DataFrame:
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(lean(run), "page_id long, url string, text string, n_chars long")

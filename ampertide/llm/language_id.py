@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampertide.llm.common import by_value, slices, unit
+from ampertide.llm.common import by_value, lean, slices, unit
 
 UNKNOWN = "und"
 #: Bounds of the learning sample: documents per language, and letters of automaton text and of held-in text per language.
@@ -239,7 +239,7 @@ def identify(docs: DataFrame, model: Languages) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, *added]))
 
 
 def fit(docs: DataFrame) -> Languages:

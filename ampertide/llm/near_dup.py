@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import WORD, Words, by_value, ranges, slices, small
+from ampertide.llm.common import WORD, Words, by_value, lean, ranges, slices, small
 from ampertide.llm.components import components
 from ampertide.session import materialise
 
@@ -224,7 +224,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return materialise(both.mapInArrow(_confirm(words), "a long, b long"), "links")
+    return materialise(both.mapInArrow(lean(_confirm(words)), "a long, b long"), "links")
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,7 +246,7 @@ def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, n long, k1 long, k2 long, marks array<short>, tokens array<long>"
-    signatures = materialise(docs.mapInArrow(_signatures(words), schema), "signatures")
+    signatures = materialise(docs.mapInArrow(lean(_signatures(words)), schema), "signatures")
     sets = signatures.where("n > 0 and doc_id is not null")
     classes = materialise(sets.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("cls")), "classes")
     heads = sets.join(classes.withColumnRenamed("cls", "doc_id"), ["n", "k1", "k2", "doc_id"]).withColumnRenamed("doc_id", "cls")
@@ -327,6 +327,6 @@ def _across_clusters(members: DataFrame, labels: DataFrame, texts: DataFrame, wo
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     try:
-        return materialise(both.mapInArrow(_similar(words), "a long, b long").distinct(), "similar")
+        return materialise(both.mapInArrow(lean(_similar(words)), "a long, b long").distinct(), "similar")
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)

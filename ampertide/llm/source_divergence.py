@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, slices
+from ampertide.llm.common import Words, by_value, lean, slices
 from ampertide.session import materialise
 
 LEAST_DOCUMENTS = 3
@@ -184,9 +184,9 @@ def _merge(least: int):
 def stripes(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``lang, term, df, sources, counts`` of every term in at least ``least`` documents of a language."""
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    partial = docs.select(*columns).mapInArrow(_fold, _STRIPES)
+    partial = docs.select(*columns).mapInArrow(lean(_fold), _STRIPES)
     ordered = partial.repartition("lang", "term").sortWithinPartitions("lang", "term")
-    return materialise(ordered.mapInArrow(_merge(least), _STRIPES), "stripes")
+    return materialise(ordered.mapInArrow(lean(_merge(least)), _STRIPES), "stripes")
 
 
 def _shares(counts: np.ndarray, n: np.ndarray, v: int) -> np.ndarray:

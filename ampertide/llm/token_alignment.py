@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import by_value, ranges, slices, small, worker_kept
+from ampertide.llm.common import by_value, lean, ranges, slices, small, worker_kept
 from ampertide.session import materialise
 
 #: Pairs whose counts every task gets, about 20 bytes each.
@@ -221,8 +221,10 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     have a result, a null ``doc_id`` is kept, other columns are ignored.
     """
 
+    key = f"aligner {byte_path} {piece_path}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = worker_kept(f"aligner {byte_path} {piece_path}", lambda: Aligner(byte_path, piece_path))
+        aligner = worker_kept(key, lambda: Aligner(byte_path, piece_path))
         for batch in slices(batches, _BATCH_BYTES):
             for start in range(0, batch.num_rows, _ROWS - 1):
                 some = batch.slice(start, _ROWS - 1)
@@ -237,7 +239,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run, key), schema)
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +272,7 @@ def pair_counts(aligned: DataFrame, vocabulary: int) -> DataFrame:
 
     ``vocabulary`` is the number of A ids, which bounds the table of their highest counts.
     """
-    counts = aligned.select("pairs").mapInArrow(_folded, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = aligned.select("pairs").mapInArrow(lean(_folded), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = materialise(counts.withColumn("a", F.shiftright("pair", 32)), "pairs")
     top = counts.groupBy("a").agg(F.max("n").alias("top"))
     return counts.join(small(top, 24 * vocabulary), "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
@@ -326,7 +328,7 @@ def with_pair_counts(aligned: DataFrame, vocabulary: int, hot_pairs: int = HOT_P
     shared = spark.sparkContext.broadcast(tuple(hot[c].to_numpy() for c in ("pair", "n", "best")))
     kept = [f for f in stored.schema.fields if f.name not in ("pairs", "times")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_best long, count_sum long, pairs array<long>, times array<long>"])
-    found = stored.mapInArrow(_lookup(shared), schema)
+    found = stored.mapInArrow(lean(_lookup(shared)), schema)
     if total > hot_pairs:
         found = materialise(found, "looked-up")
         rare = pairs.where(F.col("digits") < least).select("pair", "n", "best")

@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, slices, worker_kept
+from ampertide.llm.common import Words, by_value, lean, slices, worker_kept
 
 SPACE = "▁"
 _BATCH_BYTES = 16 << 20
-#: Words whose counts a Python worker remembers.
-_CACHE_WORDS = 600_000
+#: Words whose counts a Python worker remembers, and the most letters of one; together some 60 MB.
+_CACHE_WORDS = 400_000
+_CACHE_LENGTH = 64
+#: Longer words are no part of the trie: their path would be held letter by letter.
+_SHARED_LENGTH = 1000
 
 by_value(__name__)
 
@@ -61,12 +64,14 @@ class PieceTrie:
         self.known: dict[str, int] = {}
 
     def sizes(self, words: list[str]) -> np.ndarray:
-        """Pieces of each of the distinct ``words``; only those not met lately enter the trie."""
+        """Pieces of each of the distinct ``words``; only those not met lately enter the trie, long ones are not remembered."""
         if len(self.known) + len(words) > _CACHE_WORDS:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.counts(new).tolist()))
-        return np.array([self.known[w] for w in words], np.int64)
+        found = dict(zip(new, self.counts(new).tolist()))
+        out = np.array([found[w] if w in found else self.known[w] for w in words], np.int64)
+        self.known.update((w, n) for w, n in found.items() if len(w) <= _CACHE_LENGTH)
+        return out
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Pieces of each of the distinct ``words``.
@@ -76,8 +81,14 @@ class PieceTrie:
         piece-trie nodes of the pieces that may go on.
         """
         nodes, score, byte_score = self.nodes, self.score, self.byte_score
-        order = sorted(range(len(words)), key=words.__getitem__)
         out = np.zeros(len(words), np.int64)
+        order = []
+        for w, word in enumerate(words):
+            if len(word) > _SHARED_LENGTH:
+                out[w] = self.alone(word)
+            else:
+                order.append(w)
+        order.sort(key=words.__getitem__)
         best, pieces, running = [0.0], [0], [[(0, 0)]]
         path = ""
         for w in order:
@@ -108,6 +119,28 @@ class PieceTrie:
             out[w] = pieces[len(word)]
         return out
 
+    def alone(self, word: str) -> int:
+        """Pieces of a word by the same scores, holding no more than the longest piece reaches back."""
+        nodes, score, byte_score = self.nodes, self.score, self.byte_score
+        # (best score up to its start, pieces up to it, piece-trie node) of each piece that may go on.
+        running, best, pieces = [(0.0, 0, 0)], 0.0, 0
+        for c in word:
+            size = len(c.encode("utf-8", "surrogatepass"))
+            top, count = best + size * byte_score, pieces + size
+            going = []
+            for before, n, node in running:
+                node = nodes[node].get(c)
+                if node is None:
+                    continue
+                going.append((before, n, node))
+                value = score[node]
+                if value is not None and before + value > top:
+                    top, count = before + value, n + 1
+            best, pieces = top, count
+            going.append((best, pieces, 0))
+            running = going
+        return pieces
+
 
 def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     """Per row: ``doc_id, n_words, n_tokens``.
@@ -116,8 +149,10 @@ def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     columns are ignored.
     """
 
+    key = f"piece trie {hash(frozenset(scores.items()))}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = worker_kept(f"piece trie {hash(frozenset(scores.items()))}", lambda: PieceTrie(scores))
+        trie = worker_kept(key, lambda: PieceTrie(scores))
         for batch in slices(batches, _BATCH_BYTES):
             words = Words(batch.column("text"), lower=False)
             sizes = trie.sizes([SPACE + w for w in words.table.to_pylist()])
@@ -125,4 +160,4 @@ def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(words.counts, pa.int64()), pa.array(np.diff(sums), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_tokens"])
 
-    return docs.select("doc_id", F.col("text")).mapInArrow(run, "doc_id long, n_words long, n_tokens long")
+    return docs.select("doc_id", F.col("text")).mapInArrow(lean(run, key), "doc_id long, n_words long, n_tokens long")

@@ -19,6 +19,7 @@ folder is reached through ``pyarrow.fs``, whatever store it is in.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from array import array
@@ -33,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import Words, by_value, ranges, slices, worker_kept
+from ampertide.llm.common import Words, by_value, lean, ranges, slices, worker_kept
 from ampertide.session import drop_at_exit, fresh_path, materialise
 
 BLOCK = 1 << 16
@@ -43,8 +44,10 @@ _BATCH_BYTES = 2 << 20
 _LEVEL = 1
 _PLANES = 4
 _TRAILER = 4 * 8 + len(MAGIC)
-#: Words whose ids a Python worker remembers, and words encoded in one call.
-_CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers, the most bytes of one (longer ones are encoded where
+#: they stand), and words encoded in one call. Together some 50 MB.
+_CACHE_WORDS = 250_000
+_CACHE_LENGTH = 64
 _TOGETHER = 200
 #: Stands between words that are encoded in one call.
 _MARK = "\x01"
@@ -52,18 +55,43 @@ _MARK = "\x01"
 by_value(__name__)
 
 
+#: What a tokenizer file must say for words to be encoded one by one.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPECIAL = "<|"
+
+
+def _word_by_word(path: str) -> bool:
+    """Whether the file drops white space, lowers case, ends a word between a letter and a stop, and marks special tokens."""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    normalizer, cut = whole["normalizer"] or {}, whole["pre_tokenizer"] or {}
+    steps = cut.get("pretokenizers") or [{}]
+    rule = {"type": "Split", "pattern": {"Regex": _WORD_RULE}, "behavior": "Removed", "invert": True}
+    return (
+        normalizer.get("normalizers") == _NORMALIZERS
+        and steps[0] == rule
+        and [x["type"] for x in steps[1:]] == ["ByteLevel"]
+        and not steps[1]["add_prefix_space"]
+        and all(t["content"].startswith(_SPECIAL) for t in whole["added_tokens"])
+    )
+
+
 class Encoder:
     """Ids of texts, each distinct word encoded once.
 
-    The tokenizer drops white space and splits at it, so the ids of a text are those of
+    Where the tokenizer drops white space and splits at it, the ids of a text are those of
     its words. The ends of sentences are split off first, as the tokenizer does, which
-    leaves fewer distinct words. Texts with the start of a special token are encoded whole.
+    leaves fewer distinct words. Texts with the start of a special token are encoded whole,
+    and all texts where the tokenizer's file states other rules. Words of more than
+    ``_CACHE_LENGTH`` bytes, as in text without blanks, are encoded and forgotten.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = _word_by_word(path)
         marks = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = marks[0] if len(marks) == 1 else None
         self._clear()
@@ -95,21 +123,33 @@ class Encoder:
         self.offsets.frombytes((ends + base).astype(np.int64).tobytes())
         self.known.update(zip(words, range(first, first + len(words))))
 
+    def _entries(self, table: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words of ``table`` in one array, where each word's begin, and their number."""
+        long = np.asarray(pc.greater(pc.binary_length(table), _CACHE_LENGTH)).astype(bool)
+        short = table.filter(pa.array(~long)).to_pylist()
+        if len(self.known) + len(short) > _CACHE_WORDS:
+            self._clear()
+        self._learn([w for w in short if w not in self.known])
+        number = np.array([self.known[w] for w in short], np.int64)
+        flat, offsets = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.offsets, np.int64)
+        starts, sizes = np.zeros(len(table), np.int64), np.zeros(len(table), np.int64)
+        starts[~long], sizes[~long] = offsets[number], offsets[number + 1] - offsets[number]
+        if long.any():
+            own = [np.array(ids, np.uint32) for ids in self._whole(table.filter(pa.array(long)).to_pylist())]
+            sizes[long] = [len(ids) for ids in own]
+            starts[long] = len(flat) + np.cumsum(sizes[long]) - sizes[long]
+            flat = np.concatenate([flat, *own])
+        return flat, starts, sizes
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with ``END_ID`` after each, and the number per text."""
         texts = pc.fill_null(texts, "").cast(pa.string())
-        special = np.asarray(pc.match_substring(texts, "<|"))
+        special = np.asarray(pc.match_substring(texts, _SPECIAL)) if self.by_words else np.ones(len(texts), bool)
         ordinary = pc.if_else(pa.array(special), "", texts)
         words = Words(pc.replace_substring_regex(pc.ascii_lower(ordinary), "([a-z])([.,])", r"\1 \2"), lower=False)
-        table = words.table.to_pylist()
-        if len(self.known) + len(table) > _CACHE_WORDS:
-            self._clear()
-        self._learn([w for w in table if w not in self.known])
-        number = np.array([self.known[w] for w in table], np.int64)
-        flat, offsets = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.offsets, np.int64)
-        entry = number[words.codes]
-        sizes = offsets[entry + 1] - offsets[entry]
-        ids = flat[np.repeat(offsets[entry], sizes) + ranges(sizes)]
+        flat, starts, lengths = self._entries(words.table)
+        sizes = lengths[words.codes]
+        ids = flat[np.repeat(starts[words.codes], sizes) + ranges(sizes)]
         before = np.concatenate([[0], np.cumsum(sizes)])[words.starts]
         counts = np.diff(before) + 1
         out = np.insert(ids, before[1:], END_ID).astype(np.uint32)
@@ -225,6 +265,8 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     store.create_dir(place, recursive=True)
     drop_at_exit(spark, folder)
 
+    key = f"encoder {tokenizer}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, stream, encoder = None, None, None
         part = TaskContext.get().partitionId()
@@ -233,7 +275,7 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
             if writer is None:
                 store, place = fs.FileSystem.from_uri(folder)
                 stream = store.open_output_stream(f"{place}/{name}")
-                writer, encoder = Writer(stream), worker_kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
+                writer, encoder = Writer(stream), worker_kept(key, lambda: Encoder(tokenizer))
             ids, counts = encoder.encode(batch.column("text"))
             writer.add(batch.column("doc_id").to_pylist(), ids, counts)
         if writer is not None:
@@ -245,7 +287,7 @@ def write_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     # The hash, not the text, is in the order: range bounds and their sample reach the driver.
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    files = materialise(ordered.mapInArrow(run, "part long, path string, n_docs long, n_ids long"), "manifest")
+    files = materialise(ordered.mapInArrow(lean(run, key), "part long, path string, n_docs long, n_ids long"), "manifest")
     # One row per file.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
@@ -272,4 +314,4 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
     stored = materialise(manifest, "files")
     spread = stored.repartition(max(1, stored.count()), "part").select("path", "start")
-    return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")

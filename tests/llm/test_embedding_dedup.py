@@ -116,7 +116,7 @@ def test_every_vector_has_one_home_and_all_partners_beside_it(spark):
     middle = normalised(rng.normal(size=(30, 16)))
     vectors = normalised(middle[rng.integers(0, 30, 1500)] + 0.05 * rng.normal(size=(1500, 16)))
     rows = [("1", k, True, 1, bytearray(v.tobytes())) for k, v in enumerate(vectors)]
-    placed_rows = cells(spark.createDataFrame(rows, "cell string, cls long, home boolean, weight long, vector binary"), 0.98, 100).collect()
+    placed_rows = cells(spark.createDataFrame(rows, "cell string, cls long, home boolean, weight long, vector binary"), "float64", 0.98, 100).collect()
     home = {r.cls: r.cell for r in placed_rows if r.home}
     assert len(home) == 1500 == sum(r.home for r in placed_rows)
     assert len(set(home.values())) > 10
@@ -129,9 +129,9 @@ def test_every_vector_has_one_home_and_all_partners_beside_it(spark):
 def test_split_is_left_out_where_it_saves_nothing():
     rng = np.random.default_rng(6)
     one_group = normalised(np.ones(32) + 0.01 * rng.normal(size=(500, 32)))
-    assert split(one_group, 500, 0.98, 50) is None
+    assert split(one_group, np.ones(500, bool), 500, 0.98, 50) is None
     apart = normalised(np.repeat(np.eye(32), 20, axis=0) + 0.01 * rng.normal(size=(640, 32)))
-    centres = split(apart, 640, 0.98, 50)
+    centres = split(apart, np.ones(640, bool), 640, 0.98, 50)
     home, there = placed(apart, centres, 0.98)
     assert len(centres) > 4 and there.sum() < 1.5 * len(apart)
 
@@ -154,3 +154,12 @@ def test_query_on_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     result = QUERIES["op11_embedding_dedup"](spark, folder).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in result), key=str) == brute(rows)
+
+
+def test_double_precision_is_kept(spark):
+    """Vectors that differ only beyond single precision are classes of their own, with the exact threshold between them."""
+    prepare(spark)
+    step = 1e-12
+    rows = [(k, [0.98 + k * step, math.sqrt(1 - (0.98 + k * step) ** 2)], 1) for k in (-2, -1, 1, 2)] + [(9, [1.0, 0.0], 1)]
+    result = embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.n_links for r in result} == {-2: 3, -1: 3, 1: 4, 2: 4, 9: 2}

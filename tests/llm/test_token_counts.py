@@ -42,3 +42,29 @@ def test_documents(spark):
     wanted += [(5, 100_000, 100_000 * count("the")), (5, 1, count("x"))]
     assert [tuple(r) for r in result] == wanted
     assert tc.token_counts(spark.createDataFrame([], "doc_id long, text string"), SCORES).collect() == []
+
+
+def test_long_words_alone():
+    rng = random.Random(4)
+    trie = tc.PieceTrie(SCORES)
+    words = ["".join(rng.choice("the inationalsé語") for _ in range(n)) for n in (1, 30, 999, 1001, 3000)]
+    assert [trie.alone(w) for w in words] == trie.counts(words).tolist() == [alone(w, SCORES) for w in words]
+
+
+def test_text_without_blanks_is_not_remembered():
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x4E00, 0x5200)]
+    trie = tc.PieceTrie(SCORES)
+    trie.sizes(["".join(rng.choices(letters, k=2000)) for _ in range(50)] + ["short"])
+    assert list(trie.known) == ["short"]
+
+
+def test_word_of_a_million_letters_holds_little():
+    import tracemalloc
+
+    trie, word = tc.PieceTrie(SCORES), "international" * 40_000
+    tracemalloc.start()
+    found = trie.counts([word])
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+    assert found[0] > 0

@@ -78,3 +78,24 @@ def test_files_of_documents(spark):
         start += len(ids)
     assert sorted(map(tuple, result), key=lambda r: r[1]) == expected
     assert tf.read_tokens(tf.write_tokens(spark.createDataFrame([], schema), PATH)).collect() == []
+
+
+def test_text_without_blanks_is_not_remembered():
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(0x4E00, 0x6000)]
+    texts = ["".join(rng.choices(letters, k=3000)) + " and words" for _ in range(40)] + ["x" * 100_000]
+    encoder = tf.Encoder(PATH)
+    ids, counts = encoder.encode(pa.array(texts))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert all(part.tolist() == wanted(text) for text, part in zip(texts, parts))
+    assert set(encoder.known) == {"and", "words"}
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = tf.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words and tf.Encoder(PATH).by_words
+    texts = ["Two  Words, here.", "", "a<|endoftext|>b"]
+    ids, counts = encoder.encode(pa.array(texts))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [p.tolist() for p in parts] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
