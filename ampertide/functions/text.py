@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ampertide.functions.collation import collated
+
 
 def blank_to_null(col: Column) -> Column:
     """Trimmed text, NULL when nothing is left."""
@@ -30,9 +32,9 @@ def strip_symbols(col: Column, symbols: Iterable[str]) -> Column:
     return col
 
 
-def match_key(*cols: Column) -> Column:
-    """Case- and blank-free key; NULL parts are skipped."""
-    return F.replace(F.upper(F.concat_ws(" ", *cols)), F.lit(" "), F.lit(""))
+def match_key(*cols: Column, collation: str | None = None) -> Column:
+    """Case- and blank-free key; NULL parts are skipped. Under ``NAMES`` accents do not count either."""
+    return collated(F.replace(F.upper(F.concat_ws(" ", *cols)), F.lit(" "), F.lit("")), collation)
 
 
 def first_word(col: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ampertide.functions.collation import NAMES, collated
 from ampertide.functions.numbers import scaled, unscaled
 from ampertide.operators.numbering import running_total
 
@@ -48,6 +49,16 @@ def mean_over_join(
     return joined.groupBy(*by, *fact_by).agg(*out)
 
 
+def grouped_by_name(
+    df: DataFrame, keys: Sequence[str], *measures: Column, collation: str | None = NAMES
+) -> DataFrame:
+    """Groups whose text keys compare under a collation; each is shown by its least spelling."""
+    texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    by = [collated(F.col(k), collation if k in texts else None).alias(f"_group_{k}") for k in keys]
+    shown = [F.min(k).alias(k) for k in keys]
+    return df.groupBy(*by).agg(*shown, *measures).drop(*(f"_group_{k}" for k in keys))
+
+
 def at_least(df: DataFrame, count_column: str, minimum: int) -> DataFrame:
     """HAVING on a count: a group, or the one global row, below ``minimum`` vanishes."""
     return df.where(F.col(count_column) >= F.lit(minimum))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ampertide.functions.collation import collated
 from ampertide.operators.numbering import first_per_key, number_in_groups
 from ampertide.operators.reshaping import nest
 
@@ -77,16 +78,26 @@ def match_rows(
     return left_rows(left, number_in_groups(right, on, order, rank), on)
 
 
-def without_match(df: DataFrame, key: Column, other: DataFrame, other_key: Column) -> DataFrame:
-    """Rows whose computed key has no partner (NOT EXISTS)."""
+def without_match(
+    df: DataFrame, key: Column, other: DataFrame, other_key: Column, collation: str | None = None
+) -> DataFrame:
+    """Rows whose computed key has no partner (NOT EXISTS). ``collation``: how text keys compare, see ``collated``."""
+    key, other_key = collated(key, collation), collated(other_key, collation)
     keys = other.select(other_key.alias("_other")).where(F.col("_other").isNotNull()).distinct()
     return df.withColumn("_key", key).join(keys, F.col("_key") == F.col("_other"), "left_anti").drop("_key")
 
 
-def on_key(left: DataFrame, left_key: Column, right: DataFrame, right_key: Column, how: str = "inner") -> DataFrame:
-    """Equi-join on computed keys."""
-    a = left.withColumn("_left_key", left_key)
-    b = right.withColumn("_right_key", right_key)
+def on_key(
+    left: DataFrame,
+    left_key: Column,
+    right: DataFrame,
+    right_key: Column,
+    how: str = "inner",
+    collation: str | None = None,
+) -> DataFrame:
+    """Equi-join on computed keys. ``collation``: how text keys compare, see ``collated``."""
+    a = left.withColumn("_left_key", collated(left_key, collation))
+    b = right.withColumn("_right_key", collated(right_key, collation))
     return a.join(b, F.col("_left_key") == F.col("_right_key"), how).drop("_left_key", "_right_key")
 
 
@@ -109,11 +120,16 @@ def rank_aligned(
 
 
 def best_match(
-    left: DataFrame, left_key: Column, right: DataFrame, right_key: Column, order: Sequence[Column]
+    left: DataFrame,
+    left_key: Column,
+    right: DataFrame,
+    right_key: Column,
+    order: Sequence[Column],
+    collation: str | None = None,
 ) -> DataFrame:
     """Each left row with the first right row of its key, in ``order``.
 
     The right side is reduced to one row per key before the join.
     """
-    best = first_per_key(right.withColumn("_best_key", right_key), ["_best_key"], order)
-    return on_key(left, left_key, best, F.col("_best_key")).drop("_best_key")
+    best = first_per_key(right.withColumn("_best_key", collated(right_key, collation)), ["_best_key"], order)
+    return on_key(left, collated(left_key, collation), best, F.col("_best_key")).drop("_best_key")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ampertide.functions.collation import collated
 from ampertide.operators.joining import on_key
 from ampertide.operators.quality import duplicates
 
@@ -45,9 +46,16 @@ def merge_replace(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def backfill(
-    target: DataFrame, target_key: Column, column: str, source: DataFrame, source_key: Column, value: Column
+    target: DataFrame,
+    target_key: Column,
+    column: str,
+    source: DataFrame,
+    source_key: Column,
+    value: Column,
+    collation: str | None = None,
 ) -> DataFrame:
-    """Fill NULLs of a column by the lowest source value with the same key."""
+    """Fill NULLs of a column by the lowest source value with the same key. ``collation``: how text keys compare."""
+    target_key, source_key = collated(target_key, collation), collated(source_key, collation)
     lookup = source.groupBy(source_key.alias("_k")).agg(F.min(value).alias("_fill"))
     filled = on_key(target, target_key, lookup, F.col("_k"), "left")
     columns = [

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampertide.functions.collation import collated
 from ampertide.session import materialise, with_row_tie
 
 _SLOT_BITS = 33
@@ -91,21 +92,38 @@ def running_total(
     )
 
 
+def _group_keys(df: DataFrame, keys: Sequence[str], collation: str | None) -> tuple[DataFrame, list[str]]:
+    """``df`` with the columns to group by, which are ``keys`` themselves unless texts compare under a collation."""
+    texts = [k for k in keys if collation is not None and df.schema[k].dataType.typeName() == "string"]
+    grouped = df.withColumns({f"_group_{k}": collated(F.col(k), collation) for k in texts})
+    return grouped, [f"_group_{k}" if k in texts else k for k in keys]
+
+
 def number_in_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn", unique: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    name: str = "rn",
+    unique: bool = False,
+    collation: str | None = None,
 ) -> DataFrame:
     """Row number inside each group, as BIGINT, however large the group is.
 
     ``unique``: no two rows agree in keys and order, so nothing is needed to tell them apart.
+    ``collation``: how text keys compare, see ``collated``.
     """
-    return running_total(df, keys, order, F.lit(1), name, unique)
+    grouped, by = _group_keys(df, keys, collation)
+    return running_total(grouped, by, order, F.lit(1), name, unique).select(*df.columns, name)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], collation: str | None = None
+) -> DataFrame:
     """First row of each group.
 
     The filter on the row number lets every task drop all but one row per key
-    before the shuffle.
+    before the shuffle. ``collation``: how text keys compare, see ``collated``.
     """
-    first = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+    grouped, by = _group_keys(df, keys, collation)
+    first = Window.partitionBy(*by).orderBy(*order)
+    return grouped.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*df.columns)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampertide.catalog import conform, renamed
+from ampertide.functions.collation import NAMES, fold
 from ampertide.functions.codes import (
     COUNTRY_CODES,
     FUEL_CODES,
@@ -258,6 +259,7 @@ def valid_specs(specs: DataFrame) -> DataFrame:
         ascending(
             "car_model", "battery_capacity_kwh", "range_wltp_km", "release_year", "dc_charge_power_kw", "ac_charge_power_kw"
         ),
+        NAMES,
     )
 
 
@@ -288,7 +290,7 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
     sheet = valid_specs(specs)
     known = append_rows(cars.withColumn("_origin", F.lit(_CATALOGUE)), registered.withColumn("_origin", F.lit(_REGISTRY)))
     electric = known.where(F.col("fuel_type") == "Electric").select("make", "model")
-    missing = without_match(sheet, F.col("spec_key"), electric, match_key(F.col("make"), F.col("model"))).select(
+    missing = without_match(sheet, F.col("spec_key"), electric, match_key(F.col("make"), F.col("model")), NAMES).select(
         first_word(F.col("car_model")).alias("make"),
         after_first_word(F.col("car_model")).alias("model"),
         F.lit("Electric").alias("fuel_type"),
@@ -302,6 +304,7 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
         vehicle.where(F.col("fuel_type") == "Electric").select("vehicle_id", "make", "model"),
         match_key(F.col("make"), F.col("model")),
         ascending("vehicle_id"),
+        NAMES,
     )
     return {
         "vehicle": conform(vehicle, "vehicle"),
@@ -312,8 +315,8 @@ def integrate_vehicles(catalogue: DataFrame, registry: DataFrame, specs: DataFra
 
 
 def match_upper(*names: str):
-    """Trimmed upper-case parts as one key."""
-    return F.concat_ws("\u0001", *(F.upper(F.trim(F.col(name))) for name in names))
+    """Trimmed parts as one key, in which neither case nor accents count."""
+    return F.concat_ws("\u0001", *(fold(F.trim(F.col(name))) for name in names))
 
 
 def _with_row_id(registered: DataFrame, name: str) -> DataFrame:
