@@ -118,5 +118,7 @@ def point(longitude: Column, latitude: Column) -> Column:
 
 
 def years_ahead(df: DataFrame, n: int, name: str = "year") -> DataFrame:
-    """Each row once per year 1..n."""
-    return df.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias(name))
+    """Each row once per year 1..n; none for 0 years."""
+    if n < 0:
+        raise ValueError(f"{n} years")
+    return df.select("*", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))).alias(name)).where(F.col(name) <= n)
