@@ -10,52 +10,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampertide import catalog
+from ampertide.sources.records import read_records
 
 
 MALFORMED = "_malformed"
 
+# The usual dialect: a quote inside a quoted value is doubled. A cell with nothing in it is NULL, a quoted empty text is "".
+_DIALECT = {
+    "escape": '"',
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\u0001",
+    "emptyValue": "",
+    "columnNameOfCorruptRecord": MALFORMED,
+}
 
-def _csv(spark: SparkSession, schema: T.StructType, multi_line: bool):
-    """Header CSV in the usual dialect: a quote inside a quoted value is doubled.
 
-    A cell with nothing in it is NULL, a quoted empty text is "".
-    """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("nullValue", "\u0001")
-        .option("emptyValue", "")
-    )
+def _whole_rows(rows: DataFrame) -> DataFrame:
+    """The same rows, whose cells are all read whatever columns are asked for; else a malformed cell may stay unseen."""
+    return rows.where(F.hash(*(F.col(f"`{c}`") for c in rows.columns)) >= F.lit(-(1 << 31)))
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """All rows of header CSV; a malformed one has its text as ``MALFORMED`` and what could be read of it."""
+    wide = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    if not multi_line:
+        reader = spark.read.schema(wide).options(**_DIALECT).option("header", True).option("enforceSchema", False)
+        return _whole_rows(reader.option("columnPruning", False).csv(path))
+    records = read_records(spark, path)
+    names = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    headers = records.where("record = 0").select("line").distinct().limit(2)
+    for row in headers.select(F.from_csv("line", F.lit(_ddl(names)), _DIALECT).alias("cells")).select("cells.*").collect():
+        if list(row) != schema.names:
+            raise ValueError(f"header {list(row)} in place of {schema.names}")
+    # No order of conditions is certain, so a header has no cells that could be malformed.
+    cells = F.when(F.col("record") > 0, F.from_csv("line", F.lit(_ddl(wide)), {**_DIALECT, "mode": "PERMISSIVE"}))
+    return _whole_rows(records.where("record > 0").select(cells.alias("cells")).select("cells.*"))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Read header CSV with a declared schema; no pass over the data to infer one.
 
     A row with too many or too few cells, or a cell that is no value of its column, fails
-    the query; ``read_csv_checked`` gives such rows apart. ``multi_line`` allows line
-    breaks inside quotes, at the price that a file is read by one task.
+    the query whatever columns it asks for; ``read_csv_checked`` gives such rows apart.
+    ``multi_line`` allows line breaks inside quotes, at the price of a second pass.
     """
-    reader = _csv(spark, _struct(schema), multi_line).option("mode", "FAILFAST").option("enforceSchema", False)
-    return reader.csv(path)
+    rows = _parsed(spark, path, _struct(schema), multi_line)
+    failed = F.raise_error(F.concat(F.lit("malformed row: "), F.col(MALFORMED))).cast("boolean")
+    return rows.where(F.when(F.col(MALFORMED).isNull(), True).otherwise(failed)).drop(MALFORMED)
 
 
 def read_csv_checked(
     spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The well-formed rows, and the malformed ones: what could be read of them, and their text as ``_malformed``."""
-    struct = _struct(schema)
-    wide = T.StructType([*struct.fields, T.StructField(MALFORMED, T.StringType())])
-    rows = (
-        _csv(spark, wide, multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .csv(path)
-    )
-    good = rows.where(F.col(MALFORMED).isNull()).select(*(F.col(f"`{name}`") for name in struct.names))
-    return good, rows.where(F.col(MALFORMED).isNotNull())
+    rows = _parsed(spark, path, _struct(schema), multi_line)
+    return rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED), rows.where(F.col(MALFORMED).isNotNull())
 
 
 def _struct(schema: T.StructType | str) -> T.StructType:
