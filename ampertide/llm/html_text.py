@@ -103,15 +103,18 @@ def tokens(page: str) -> list:
     out, stack, at, block = [], [], 0, 0
     noise = linked = marked = raw = 0
     size, until = len(page), None
-    within, softs = (), 0
+    within, softs, begun = (), 0, -1
 
     def text(upto: int) -> None:
+        nonlocal begun
         if upto > at and not raw:
             part = page[at:upto]
+            # White space parts words whatever tags stand around it; only before a block's first text it is none.
             if not part.isspace():
                 out.append(Piece(html.unescape(part), block, noise > 0, linked > 0, marked > 0, within))
-            elif out and isinstance(out[-1], Piece) and out[-1].block == block:
-                out[-1].text += " "
+                begun = block
+            elif begun == block:
+                out.append(Piece(" ", block, noise > 0, linked > 0, marked > 0, within))
 
     def pop() -> str:
         nonlocal noise, linked, marked, raw, within
@@ -133,14 +136,15 @@ def tokens(page: str) -> list:
 
     place = 0
     while True:
+        if until:
+            # Raw text goes to its end tag, whatever looks like a tag before.
+            end = re.compile(rf"</{until}(?=[\s/>]|\Z)", re.I).search(page, place)
+            place = end.start() if end else size
         found = _TOKEN.search(page, place)
         if not found:
             text(size)
             break
         tag = (found[2] or "").lower()
-        if until and not (found[1] and tag == until):
-            place = found.start() + 1
-            continue
         text(found.start())
         at = place = found.end()
         until = None

@@ -114,3 +114,25 @@ def test_odd_rows(spark):
     result = [(r.page_id, r.text, r.n_chars) for r in ht.main_text(pages, weights).collect()]
     assert sorted(result, key=str) == [(1, "", 0), (None, "a b c d", 7), (None, "a b c d", 7)]
     assert ht.main_text(pages.limit(0), weights).collect() == []
+
+
+def test_blanks_between_inline_elements():
+    inline = sorted(ht.INLINE - ht.VOID)
+    for a in inline:
+        for b in ("b", "a", "span"):
+            page = f"<article><p>one <{a}>Hello</{a}> <{b}>world</{b}> two <{a}>x</{a}><{b}>y</{b}>\n</p><p> <i>next</i> </p></article>"
+            assert ht.extract(page, ht.learn([])) == "one Hello world two xy next"
+    page = "<article><p><a>the first</a> <a>second</a> and some more words</p></article>"
+    assert ht.extract(page, ht.learn([])) == "the first second and some more words"
+    page = '<article><p><b>left</b><span class="ad">gone</span> <i>right</i> with some more words</p></article>'
+    assert ht.extract(page, ht.learn([])) == "left right with some more words"
+
+
+def test_script_heavy_page_in_linear_time():
+    import time
+
+    page = "<article><script>" + "<a " * 200_000 + "</script><p>the text of this page</p><style>" + "</a" * 50_000 + "</style></article>"
+    start = time.process_time()
+    assert ht.extract(page, ht.learn([])) == "the text of this page"
+    assert time.process_time() - start < 5
+    assert ht.extract("<p>some words before an open script</p><script>" + "<b>" * 50_000, ht.learn([])) == "some words before an open script"
