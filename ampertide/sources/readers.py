@@ -59,7 +59,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_l
     ``multi_line`` allows line breaks inside quotes, at the price of a second pass.
     """
     rows = _parsed(spark, path, _struct(schema), multi_line)
-    failed = F.raise_error(F.concat(F.lit("malformed row: "), F.col(MALFORMED))).cast("boolean")
+    failed = F.raise_error(F.concat(F.lit("Malformed row: "), F.col(MALFORMED))).cast("boolean")
     return rows.where(F.when(F.col(MALFORMED).isNull(), True).otherwise(failed)).drop(MALFORMED)
 
 

@@ -22,11 +22,11 @@ def file(folder, text, name="f.csv"):
 @pytest.mark.parametrize("multi_line", [False, True])
 @pytest.mark.parametrize("ask", [lambda d: d.select("a").collect(), lambda d: d.select("b").collect(), lambda d: d.count(), lambda d: d.collect(), lambda d: d.agg(F.max("c")).collect()])
 def test_malformed_rows_fail_whatever_is_asked_for(spark, tmp_path, multi_line, ask):
-    with pytest.raises(Exception, match="malformed row"):
+    with pytest.raises(Exception, match="Malformed row"):
         ask(read_csv(spark, file(tmp_path, BAD), SCHEMA, multi_line))
     for line in ("2,y", "3,z,4,5", "7,q,oops"):
         (tmp_path / "one").mkdir(exist_ok=True)
-        with pytest.raises(Exception, match="malformed row"):
+        with pytest.raises(Exception, match="Malformed row"):
             ask(read_csv(spark, file(tmp_path / "one", f"a,b,c\n1,x,2\n{line}\n"), SCHEMA, multi_line))
 
 
