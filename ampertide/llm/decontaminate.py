@@ -7,7 +7,9 @@ and a frequent passage meets no hot key. In a pass
 1. rolling Karp-Rabin hashes of every ``SEED`` words of a document are looked up among
    those of the block: shared seeds name the candidate pairs of document and item;
 2. seeds on one diagonal join to matches, and the longest match whose words are still
-   unmarked on both sides is marked, again and again, until none of ``SEED`` words is left;
+   unmarked on both sides is marked, again and again, until none of ``SEED`` words is left
+   (where words repeat so often that pairs of equal seeds are too many, the greatest length
+   of a match is searched by hashes of whole windows instead, with the same tiles);
 3. an item of which at least ``COVERAGE`` of the words are marked has leaked, in
    whatever order its passages stand.
 """
@@ -33,6 +35,8 @@ BLOCK_WORDS = 2_000_000
 _BATCH_BYTES = 8 << 20
 _BITS = 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Pairs of equal seeds of a text and the items that are held at once.
+_PAIRS = 1 << 20
 
 by_value(__name__)
 
@@ -97,6 +101,9 @@ class Block:
 
     def _tiled(self, t, tokens, at, low, high, item, place, length):
         each = high - low
+        if each.sum() > _PAIRS:
+            yield from self._tiled_by_length(t, tokens, at, low, high, item, place, length)
+            return
         hits = np.repeat(low, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         where, which, there = np.repeat(at, each), item[hits], place[hits]
         order = np.lexsort((there, where - there, which))
@@ -110,6 +117,101 @@ class Block:
             if marked >= COVERAGE * len(words):
                 yield t, int(i), marked
 
+    def _tiled_by_length(self, t, tokens, at, low, high, item, place, length):
+        """The same without pairs: each distinct seed of the text names the items that hold it."""
+        first, kind = np.unique(low, return_inverse=True)
+        sizes = np.zeros(len(first), np.int64)
+        sizes[kind] = high - low
+        hits = np.repeat(first, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        seed, which, there = np.repeat(np.arange(len(first)), sizes), item[hits], place[hits]
+        order = np.argsort(which, kind="stable")
+        seed, which, there = seed[order], which[order], there[order]
+        for i in np.unique(which):
+            own = slice(*np.searchsorted(which, [i, i + 1]))
+            words = self.items[i]
+            if len(there[own]) * length < COVERAGE * len(words):
+                continue  # not even all its seeds side by side would do
+            shared = np.zeros(len(first), bool)
+            shared[seed[own]] = True
+            where = at[shared[kind]]
+            begin = int(where[0])
+            text = tokens[begin : int(where[-1]) + length]
+            marked = tiling_by_length(text, where - begin, words, there[own], length)
+            if marked >= COVERAGE * len(words):
+                yield t, int(i), marked
+
+
+def _windows(sums: np.ndarray, powers: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows of ``length`` words from each place of ``at`` on."""
+    return sums[at + length] - sums[at] * powers[length]
+
+
+def _places(free: np.ndarray, length: int) -> np.ndarray:
+    """Where windows of ``length`` free words begin."""
+    if length > len(free):
+        return np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(free)])
+    return np.flatnonzero(total[length:] - total[:-length] == length)
+
+
+def tiling_by_length(text: np.ndarray, where: np.ndarray, item: np.ndarray, there: np.ndarray, length: int) -> int:
+    """Words marked by greedy string tiling, from the longest matches to those of ``length`` words.
+
+    ``where, there``: places of seeds of ``length`` words that both have. The greatest
+    length with a common window of free words is found by halving, then all its matches
+    are marked in order of text and item. Windows of equal hashes are compared word by word.
+    """
+    most = max(len(text), len(item)) + 1
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(most, _BASE)]), dtype=np.uint64)
+    sides = []
+    for words, seeds in ((text, where), (item, there)):
+        sums = np.zeros(len(words) + 1, np.uint64)
+        # h(i + 1) = h(i) * base + word, as a sum of words over falling powers would run over just the same.
+        value = np.uint64(0)
+        with np.errstate(over="ignore"):
+            for i, word in enumerate(words):
+                value = value * _BASE + word
+                sums[i + 1] = value
+        free = np.zeros(len(words) + 1, np.int64)
+        np.add.at(free, seeds, 1)
+        np.add.at(free, seeds + length, -1)
+        sides.append((sums, np.cumsum(free)[:-1] > 0))
+    (text_sums, text_free), (item_sums, item_free) = sides
+    marked = 0
+
+    def common(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        at, to = _places(text_free, size), _places(item_free, size)
+        left, right = _windows(text_sums, powers, at, size), _windows(item_sums, powers, to, size)
+        hit = np.isin(left, right)
+        return (at[hit], left[hit], to, right) if hit.any() else None
+
+    top = min(len(text), len(item))
+    while True:
+        # Windows of a common window are common: the greatest length is between these two.
+        low, high = length - 1, top
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if common(middle) else (low, middle - 1)
+        if low < length:
+            return marked
+        at, left, to, right = common(low)
+        order = np.argsort(right, kind="stable")
+        to, right = to[order], right[order]
+        start = dict(zip(left.tolist(), np.searchsorted(right, left).tolist()))
+        for p, key in zip(at.tolist(), left.tolist()):
+            if not (text_free[p] and text_free[p + low - 1]):
+                continue
+            k = start[key]
+            # Marked windows stay marked, so the search goes on where the last one ended.
+            while k < len(right) and int(right[k]) == key and not (item_free[to[k]] and item_free[to[k] + low - 1]):
+                k += 1
+            start[key] = k
+            if k < len(right) and int(right[k]) == key and np.array_equal(text[p : p + low], item[to[k] : to[k] + low]):
+                text_free[p : p + low] = False
+                item_free[to[k] : to[k] + low] = False
+                marked += low
+        top = low - 1
+
 
 def tiling(where: np.ndarray, there: np.ndarray, length: int) -> int:
     """Words marked by greedy string tiling.

@@ -18,6 +18,7 @@ arrays; links of rarer pairs, which no single pair holds many of, are looked up
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,8 @@ class ByteSide:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark deals out the cores; threads of the library's own would each hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:

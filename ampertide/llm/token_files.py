@@ -20,6 +20,7 @@ folder is reached through ``pyarrow.fs``, whatever store it is in.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from array import array
@@ -90,6 +91,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark deals out the cores; threads of the library's own would each hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = _word_by_word(path)
         marks = self.tokenizer.encode(_MARK, add_special_tokens=False).ids

@@ -77,3 +77,65 @@ def test_empty_tables(spark):
     assert dc.decontaminate(frame, none).count() == 1
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert dc.decontaminate(frame.limit(0), bench).count() == 0 and dc.decontaminate(frame, bench).count() == 0
+
+
+def _both_tilings(text, item, length=5):
+    import numpy as np
+
+    text, item = np.array(text, np.uint64), np.array(item, np.uint64)
+    pairs = [(p, q) for p in range(len(text) - length + 1) for q in range(len(item) - length + 1) if (text[p : p + length] == item[q : q + length]).all()]
+    if not pairs:
+        return None
+    pairs.sort(key=lambda x: (x[0] - x[1], x[1]))
+    where, there = (np.array(x, np.int64) for x in zip(*pairs))
+    by_pairs = dc.tiling(where, there, length)
+    return by_pairs, dc.tiling_by_length(text, np.unique(where), item, np.unique(there), length)
+
+
+def test_tiling_by_length_marks_the_same_words():
+    import random
+
+    rng = random.Random(9)
+    compared = 0
+    for _ in range(400):
+        kinds = rng.choice([1, 2, 3, 6])
+        piece = [rng.randint(1, kinds) for _ in range(rng.randint(5, 30))]
+        item = piece + [rng.randint(1, kinds) for _ in range(rng.randint(0, 20))]
+        text = [rng.randint(1, kinds) for _ in range(rng.randint(0, 30))] + piece[rng.randint(0, 3) :] + piece[: rng.randint(0, 12)]
+        found = _both_tilings(text, item)
+        if found:
+            compared += 1
+            assert found[0] == found[1], (text, item)
+    assert compared > 200
+
+
+def test_text_of_one_word_again_and_again(spark):
+    import time
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    block = dc.Block([1, 2], ["a " * 4_000, "b c d e f g h i j k"])
+    tokens, words = dc._tokens(pa.array(["a " * 200_000]))
+    tracemalloc.start()
+    start = time.process_time()
+    assert list(block.leaks(tokens, words.starts)) == [(0, 0, 4_000)]
+    assert time.process_time() - start < 10 and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_too_many_pairs_give_the_same_rows(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    prose = lambda n: " ".join(rng.choice(["the", "of", "cat", "sat", "mat"]) for _ in range(n))
+    items = [prose(40) for _ in range(8)]
+    texts = pa.array([prose(100) + " " + " ".join(items[k % 8].split()[5:35]) + " " + prose(20) for k in range(12)])
+    block = dc.Block(list(range(8)), items)
+    tokens, words = dc._tokens(texts)
+    usual = list(block.leaks(tokens, words.starts))
+    monkeypatch.setattr(dc, "_PAIRS", 0)
+    assert usual and list(block.leaks(tokens, words.starts)) == usual
