@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Settings a session should carry; all of them can be changed at run time.
@@ -101,6 +101,34 @@ def _is_parquet_scan(df: DataFrame) -> bool:
     return hidden.size() == 1 and "row_index" in hidden.apply(0).dataType().catalogString()
 
 
+_ROW_BITS = 40
+
+
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """Add a number that no other row has: the number of the row's Parquet file, then its place in the file.
+
+    A re-run task finds the same number. A frame that is no plain scan is stored first.
+    ``name`` must not be a column of ``df``.
+    """
+    if name in df.columns:
+        raise ValueError(f"{name} is a column already")
+    scan = df if _is_parquet_scan(df) else materialise(df, "rows")
+    path, place = free_name(df, "_file"), free_name(df, "_place")
+    # One row per file; the list is written once, so that every reader of it counts alike.
+    files = scan.select(F.col("_metadata.file_path").alias(path)).distinct()
+    files = materialise(files.withColumn(name, F.row_number().over(Window.orderBy(path)).cast("long")), "files")
+    rows = scan.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+    number = F.shiftleft(F.col(name), _ROW_BITS).bitwiseOR(F.col(place))
+    return rows.join(files, path).select(*(F.col(f"`{c}`") for c in df.columns), number.alias(name))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many ``_`` before it as no column of ``df`` has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def with_row_tie(df: DataFrame, name: str = "_tie") -> DataFrame:
     """Add a number that tells copies of a row apart.
 
