@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.llm.common import Words, by_value, lean, slices, small
-from ampertide.session import materialise, with_row_tie
+from ampertide.session import free_name, materialise, with_row_id
 
 SEED = 5
 COVERAGE = 0.5
@@ -292,14 +292,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A null or blank text holds none; a null or blank item is held by none. Repeated
     items count once more, repeated rows stay or go together.
     """
-    rows = with_row_tie(docs, "_row")
-    gone = materialise(leaks(rows, benchmark).select("_row").distinct(), "leaked")
-    return rows.join(small(gone, 16 * gone.count()), "_row", "left_anti").select(*docs.columns)
+    name = free_name(docs, "_row")
+    rows = with_row_id(docs, name)
+    leaked = leaks(rows.select(F.col(name).alias("_row"), "text"), benchmark)
+    gone = materialise(leaked.select(F.col("_row").alias(name)).distinct(), "leaked")
+    return rows.join(small(gone, 16 * gone.count()), name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row: ``doc_id, contaminated, n_items, item_id, coverage``; the last two of the item covered most, null if none."""
-    rows = with_row_tie(docs.select("doc_id", "text"), "_row")
+    rows = with_row_id(docs.select("doc_id", "text"), "_row")
     best = F.max(F.struct((F.col("covered") / F.col("n_words")).alias("coverage"), (-F.col("item_id")).alias("item")))
     found = materialise(leaks(rows, benchmark).groupBy("_row").agg(F.count(F.lit(1)).alias("n_items"), best.alias("best")), "by-row")
     return rows.select("doc_id", "_row").join(small(found, 64 * found.count()), "_row", "left").select(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampertide.llm.common import WORD, small
-from ampertide.session import materialise, with_row_tie
+from ampertide.session import materialise, with_row_id
 
 #: Lines that the rolling hash sees; one in ``DIVISOR`` lines ends a chunk.
 WINDOW = 2
@@ -124,7 +124,7 @@ def line_dedup(docs: DataFrame, cut: Callable[[Column], Column] = chunk_array) -
     overlap. A null text stays null with no lines; a text of which everything goes is
     empty. Other columns are ignored.
     """
-    rows = with_row_tie(docs.select("doc_id", "text"), "_row")
+    rows = with_row_id(docs.select("doc_id", "text"), "_row")
     hashes = _passages(rows, cut).select("doc_id", "_row", "at", F.xxhash64("body").alias("hash"))
     hashes = materialise(hashes, "piece-hashes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "at"))

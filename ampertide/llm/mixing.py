@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampertide.llm.common import WORD, small, unit
-from ampertide.session import materialise, with_row_tie
+from ampertide.session import free_name, materialise, with_row_id
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -224,7 +224,8 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     ``shard_order`` a shard is shuffled.
     """
     own = [c for c in docs.columns if c not in ("shard", "shard_order")]
-    stored = with_row_tie(docs.select(*own), "_row")
-    _, placed = placements(stored, **settings)
-    placed = materialise(placed, "placed")
-    return stored.join(small(placed, 24 * placed.count()), "_row").drop("_row")
+    name = free_name(docs, "_row")
+    stored = with_row_id(docs.select(*own), name)
+    _, placed = placements(stored.select("doc_id", "source", "text", F.col(name).alias("_row")), **settings)
+    placed = materialise(placed.withColumnRenamed("_row", name), "placed")
+    return stored.join(small(placed, 24 * placed.count()), name).drop(name)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ampertide.llm.common import WORD, Words, by_value, lean, ranges, slices, small
 from ampertide.llm.components import components
-from ampertide.session import materialise
+from ampertide.session import free_name, materialise, with_row_id
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -46,6 +46,7 @@ LEAF = 16
 AGREE = 6
 #: Texts of a cluster that are compared with as many others in one go, and rows of these at a time.
 CHUNK = 256
+CHUNK_BYTES = 4 << 20
 _LEFT_ROWS = 32
 _BATCH_BYTES = 8 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -106,7 +107,7 @@ def _signatures(words: int):
             values, counts = shingles(batch.column("text"), words)
             have = np.flatnonzero(counts)
             rows = len(counts)
-            columns = {"doc_id": batch.column("doc_id"), "n": pa.array(counts.astype(np.int64))}
+            columns = {"_row": batch.column("_row"), "doc_id": batch.column("doc_id"), "n": pa.array(counts.astype(np.int64))}
             k1, k2 = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
             tokens = np.zeros((rows, TREES * LEVELS * PICKS), np.uint64)
             if len(have):
@@ -221,8 +222,8 @@ def _confirm(words: int):
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """The pairs whose whole shingle sets are similar enough."""
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
     return materialise(both.mapInArrow(lean(_confirm(words)), "a long, b long"), "links")
 
@@ -234,27 +235,23 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
-def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, kept``.
+def _grouped(rows: DataFrame, words: int) -> DataFrame:
+    """``_row, doc_id, n, root`` for every row of ``_row, doc_id, text``; rows of one ``root`` hang together, it is null for rows without links.
 
-    Words are runs of non-blanks with A-Z lowered, a set holds the distinct shingles of
-    ``words`` words, a shorter text is one shingle. Sets with 100 * intersection >=
-    ``PERCENT`` * union are linked, equal sets included. A null or blank text has an
-    empty set and no link. ``component_id`` is the smallest ``doc_id`` reachable. Rows
-    that share a ``doc_id`` each follow their own text; a row without ``doc_id`` stands
-    alone, with a null ``component_id``, and is kept. Other columns are ignored.
+    A class of equal sets goes by the smallest ``_row`` that has it, so texts that share a
+    ``doc_id`` are as far apart as any others.
     """
-    docs = docs.select("doc_id", "text")
-    schema = "doc_id long, n long, k1 long, k2 long, marks array<short>, tokens array<long>"
-    signatures = materialise(docs.mapInArrow(lean(_signatures(words)), schema), "signatures")
+    schema = "_row long, doc_id long, n long, k1 long, k2 long, marks array<short>, tokens array<long>"
+    signatures = materialise(rows.mapInArrow(lean(_signatures(words)), schema), "signatures")
     sets = signatures.where("n > 0 and doc_id is not null")
-    classes = materialise(sets.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("cls")), "classes")
-    heads = sets.join(classes.withColumnRenamed("cls", "doc_id"), ["n", "k1", "k2", "doc_id"]).withColumnRenamed("doc_id", "cls")
-    heads = materialise(heads.dropDuplicates(["n", "k1", "k2"]).select("cls", "n", "marks", "tokens"), "heads")
+    classes = materialise(sets.groupBy("n", "k1", "k2").agg(F.min("_row").alias("cls")), "classes")
+    heads = sets.join(classes.select("cls"), F.col("_row") == F.col("cls"))
+    heads = materialise(heads.select("cls", "n", "marks", "tokens"), "heads")
     pairs, members = chosen_paths(heads)
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    wanted = materialise(wanted.unionByName(members.select(F.col("cls").alias("doc_id"))).distinct(), "wanted")
-    texts = materialise(docs.join(small(wanted, 16 * wanted.count()), "doc_id"), "texts")
+    wanted = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row")))
+    wanted = materialise(wanted.unionByName(members.select(F.col("cls").alias("_row"))).distinct(), "wanted")
+    texts = rows.join(small(wanted, 16 * wanted.count()), "_row").select(F.col("_row").alias("cls"), "text")
+    texts = materialise(texts, "texts")
     # The likeliest partner of each class connects most of a group; the rest only matters across components.
     best = pairs.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("a"))).alias("top"))
     links = confirmed(best.select((-F.col("top.a")).alias("a"), "b"), texts, words)
@@ -264,14 +261,45 @@ def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     if not members.isEmpty():
         links = links.unionByName(confirmed(_across_clusters(members, labels, texts, words), texts, words))
         labels = components(links)
-    rows = signatures.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
-    rows = rows.join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "cls", "doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    found = signatures.select("_row", "doc_id", "n", "k1", "k2")
+    found = found.join(classes, ["n", "k1", "k2"], "left").withColumn("cls", F.when(F.col("doc_id").isNotNull(), F.col("cls")))
+    found = found.join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
+    return found.select("_row", "doc_id", "n", F.coalesce("label", "cls").alias("root"))
+
+
+def near_dup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id, kept``.
+
+    Words are runs of non-blanks with A-Z lowered, a set holds the distinct shingles of
+    ``words`` words, a shorter text is one shingle. Sets with 100 * intersection >=
+    ``PERCENT`` * union are linked, equal sets included. A null or blank text has an
+    empty set and no link. ``component_id`` is the smallest ``doc_id`` reachable. Rows
+    that share a ``doc_id`` each follow their own text; a row without ``doc_id`` stands
+    alone, with a null ``component_id``, and is kept. Other columns are ignored.
+    """
+    rows = materialise(_grouped(with_row_id(docs.select("doc_id", "text"), "_row"), words), "grouped")
+    firsts = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("first"))
+    found = rows.join(firsts, "root", "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
+def distinct_documents(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` but all but one of each group of near copies, in their own columns.
+
+    The row with the smallest ``doc_id`` stays, of rows that share it the first one in
+    the input. Rows without text or ``doc_id`` stay.
+    """
+    name = free_name(docs, "_row")
+    rows = with_row_id(docs, name)
+    found = materialise(_grouped(rows.select(F.col(name).alias("_row"), "doc_id", "text"), words), "grouped")
+    firsts = found.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    gone = found.join(firsts, "root").where(F.col("_row") != F.col("first._row")).select(F.col("_row").alias(name))
+    gone = materialise(gone, "near-copies")
+    return rows.join(small(gone, 16 * gone.count()), name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def _similar(words: int):
     """Links between two chunks of texts with different labels, from products of their shingle incidence."""
 
@@ -306,16 +334,28 @@ def _across_clusters(members: DataFrame, labels: DataFrame, texts: DataFrame, wo
     spark = members.sparkSession
     rows = members.select("cluster", "cls").join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
     rows = materialise(rows.select("cluster", "cls", F.coalesce("label", "cls").alias("label")), "labelled")
-    parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
+    rows = rows.join(texts.select("cls", F.octet_length("text").alias("bytes")), "cls")
+    parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes"))
     main = parts.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("top")
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("size").alias("size"),
+        F.sum("bytes").alias("all_bytes"),
+        F.max(F.struct("size", "label", "bytes")).alias("top"),
+    )
+    # A chunk is cut by the number of its texts and by their bytes.
+    chunks = lambda size, total: F.greatest(F.ceil(size / CHUNK), F.ceil(total / CHUNK_BYTES), F.lit(1)).cast("long")
+    main = main.where("parts > 1").select(
+        "cluster",
+        chunks(F.col("size"), F.col("all_bytes")).alias("size"),
+        chunks(F.col("size") - F.col("top.size"), F.col("all_bytes") - F.col("top.bytes")).alias("outside"),
+        F.col("top.label").alias("main"),
     )
-    main = materialise(main.where("parts > 1").select("cluster", "size", (F.col("size") - F.col("top.size")).alias("outside"), F.col("top.label").alias("main")), "main")
-    whole = rows.join(main, "cluster").join(texts.select(F.col("doc_id").alias("cls"), "text"), "cls")
+    main = materialise(main, "main")
+    whole = rows.drop("bytes").join(main, "cluster").join(texts, "cls")
 
     def chunked(some: DataFrame, count: str, name: str) -> DataFrame:
-        """Texts in chunks of about ``CHUNK``; a chunk is a row."""
-        chunk = F.pmod(F.xxhash64("cls"), F.ceil(F.col(count) / CHUNK))
+        """Texts in chunks; a chunk is a row."""
+        chunk = F.pmod(F.xxhash64("cls"), F.col(count))
         grouped = some.groupBy("cluster", chunk.alias(f"{name}_chunk"))
         return materialise(grouped.agg(F.collect_list(F.struct("cls", "label", "text")).alias(name)), name)
 

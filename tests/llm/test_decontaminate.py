@@ -139,3 +139,11 @@ def test_too_many_pairs_give_the_same_rows(monkeypatch):
     usual = list(block.leaks(tokens, words.starts))
     monkeypatch.setattr(dc, "_PAIRS", 0)
     assert usual and list(block.leaks(tokens, words.starts)) == usual
+
+
+def test_clashing_names(spark):
+    schema = "doc_id long, text string, _row int, _file string, _place long, item_id long"
+    docs = spark.createDataFrame([(1, "one two three four five six", 3, "f", 4, 5), (2, "other words altogether in this text", 3, "f", 4, 5)], schema)
+    items = spark.createDataFrame([(9, "one two three four five six")], "item_id long, text string")
+    kept = dc.decontaminate(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]

@@ -94,3 +94,11 @@ def test_empty_table_and_no_words(spark):
     assert mixing.mix(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None, 1, None), (2, " ", "a", 1, None)], SCHEMA)
     assert all(r.target == 0 for r in mixing.placements(blank)[0].collect())
+
+
+def test_clashing_names(spark):
+    schema = "doc_id long, text string, source string, _row int, _size int, _key string, _file string, _place int, _s int"
+    rows = [(i, "some words here", f"s{i % 3}", 1, 2, "k", "f", 3, 4) for i in range(30)]
+    result = mixing.mix(spark.createDataFrame(rows, schema))
+    assert set(schema.replace(",", "").split()[::2]) < set(result.columns)
+    assert result.count() > 20

@@ -81,3 +81,33 @@ def test_components_of_chain_star_and_ring(spark):
         x, y = sorted((top(a), top(b)))
         root[y] = x
     assert found == {i: top(i) for i in {x for a, b in links if a != b for x in (a, b)}}
+
+
+def test_two_texts_under_one_id(spark):
+    """Texts that share an id are nodes of their own: a link of one is none of the other."""
+    words = lambda seed, n=40: " ".join(f"{seed}{i}" for i in range(n))
+    rows = [(1, words("a")), (1, words("b")), (3, words("a")), (5, words("b")), (7, words("c")), (9, words("b") + " more")]
+    result = nd.near_dup(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    found = {(r.doc_id, r.component_id) for r in result}
+    assert found == {(1, 1), (3, 1), (5, 1), (7, 7), (9, 1)} and len(result) == 6
+    # Component 1 of "a" and component 1 of "b" are two groups: each keeps one row.
+    schema = "doc_id long, text string, _row int, cls string, root long"
+    kept = nd.distinct_documents(spark.createDataFrame([(*r, 1, "x", 2) for r in rows], schema), words=2)
+    assert kept.columns == ["doc_id", "text", "_row", "cls", "root"]
+    assert sorted((r.doc_id, r.text[0]) for r in kept.collect()) == [(1, "a"), (1, "b"), (7, "c")]
+
+
+def test_distinct_documents_keep_rows_without_text_or_id(spark):
+    rows = [(1, None), (1, None), (2, ""), (None, "x y z"), (None, "x y z"), (4, "x y z"), (4, "x y z"), (5, "X y  z")]
+    kept = nd.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "1", "2", "4", "None", "None"]
+
+
+def test_chunks_of_a_cluster_are_cut_by_bytes(spark, monkeypatch):
+    """A dense group of long texts with members just apart: the result does not depend on where chunks are cut."""
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(300)]
+    rows = [(i, " ".join(f"z{rng.randint(0, 900)}" if rng.random() < 0.05 else w for w in base)) for i in range(60)]
+    monkeypatch.setattr(nd, "CHUNK_BYTES", 5_000)
+    result = nd.near_dup(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in result} == brute(rows, 2)
