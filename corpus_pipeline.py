@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampertide.llm.common import prepare, small
+from ampertide.llm.common import prepare
 from ampertide.llm.decontaminate import decontaminate
 from ampertide.llm.language_id import UNKNOWN, fit, identify
 from ampertide.llm.mixing import mix
-from ampertide.llm.near_dup import near_dup
+from ampertide.llm.near_dup import distinct_documents
 from ampertide.llm.queries import vocabulary
 from ampertide.llm.token_files import read_tokens, write_tokens
 from ampertide.session import materialise
@@ -28,8 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest ``doc_id``. Rows without id stay."""
     prepare(spark)
-    gone = materialise(near_dup(docs).where("not kept").select("doc_id").distinct(), "near-copies")
-    return docs.join(small(gone, 16 * gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    return distinct_documents(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
