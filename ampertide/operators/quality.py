@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampertide.session import materialise
+
 
 def _long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value) rows, values as text."""
@@ -125,11 +127,34 @@ def type_mismatches(df: DataFrame, expected: Mapping[str, str]) -> list[tuple[st
     return [(c, t, found.get(c, "absent")) for c, t in expected.items() if found.get(c, "absent") != t]
 
 
-def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key is set and has no parent."""
-    return child.where(F.col(foreign_key).isNotNull()).join(
-        parent.select(F.col(key).alias(foreign_key)), foreign_key, "left_anti"
-    ).select(*child.columns)
+#: Parent keys go to all tasks as bits if they take no more bytes than this.
+BITMAP_BYTES = 64 << 20
+_WORD = 6
+
+
+def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str, most: int = BITMAP_BYTES) -> DataFrame:
+    """Child rows whose key is set and has no parent.
+
+    The children are not shuffled. Whole-number keys of the parents become a bitmap, 64
+    keys a row, that every task looks its children up in. Other keys, or a bitmap of more
+    than ``most`` bytes: the distinct keys of the children, one row per key and task, are
+    held against the parents, and the children against the keys that have none.
+    """
+    set_rows = child.where(F.col(foreign_key).isNotNull())
+    kinds = {df.schema[c].dataType.typeName() for df, c in ((child, foreign_key), (parent, key))}
+    if kinds <= {"byte", "short", "integer", "long"}:
+        place = F.col(key).cast("long")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit((1 << _WORD) - 1)).cast("int"))
+        words = parent.where(F.col(key).isNotNull()).groupBy(F.shiftright(place, _WORD).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+        words = materialise(words, "parent-bits")
+        if 16 * words.count() <= most:
+            own = F.col(foreign_key).cast("long")
+            found = set_rows.join(F.broadcast(words), F.shiftright(own, _WORD) == F.col("_word"), "left")
+            set_bit = F.call_function("shiftright", F.col("_bits"), own.bitwiseAND(F.lit((1 << _WORD) - 1)).cast("int")).bitwiseAND(F.lit(1))
+            return found.where(F.coalesce(set_bit, F.lit(0)) == 0).select(*child.columns)
+    keys = set_rows.select(F.col(foreign_key).alias("_key")).distinct()
+    without = keys.join(parent.select(F.col(key).alias("_parent")), F.col("_key") == F.col("_parent"), "left_anti")
+    return set_rows.join(without, F.col(foreign_key) == F.col("_key"), "left_semi").select(*child.columns)
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -138,13 +163,57 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+#: Levels of the tree of checksums, in bits of the key's hash; the last one has the leaves.
+TREE_BITS = (0, 8, 16)
+
+
+def _checksums(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Per leaf: rows, and two sums of the hashes of whole rows."""
+    leaf = F.pmod(F.xxhash64(*keys), F.lit(1 << TREE_BITS[-1])).cast("int").alias("_leaf")
+    row = F.xxhash64(*keys, *measures, *(F.col(m).isNull() for m in measures)).alias("_hash")
+    sums = (F.count(F.lit(1)).alias("_n"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("_sum"), F.bit_xor("_hash").alias("_xor"))
+    return materialise(df.select(leaf, row).groupBy("_leaf").agg(*sums), "checksums")
+
+
+def _differing(left: DataFrame, right: DataFrame) -> list[int]:
+    """Leaves whose checksums differ, found from the root down: only below nodes that differ are sums compared."""
+    nodes: list[int] = [0]
+    for upper, bits in zip((0, *TREE_BITS), TREE_BITS):
+        def level(sums: DataFrame) -> DataFrame:
+            below = sums.where(F.shiftright("_leaf", TREE_BITS[-1] - upper).isin(nodes))
+            node = F.shiftright("_leaf", TREE_BITS[-1] - bits).alias("_node")
+            return below.groupBy(node).agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.bit_xor("_xor").alias("_xor"))
+
+        a, b = level(left), level(right)
+        both = a.toDF("_node", "_n", "_sum", "_xor").join(b.toDF("_other", "_m", "_sum2", "_xor2"), F.col("_node") == F.col("_other"), "full")
+        same = F.col("_n").eqNullSafe(F.col("_m")) & F.col("_sum").eqNullSafe(F.col("_sum2")) & F.col("_xor").eqNullSafe(F.col("_xor2"))
+        nodes = [row[0] for row in both.where(~same).select(F.coalesce("_node", "_other")).collect()]
+        if not nodes:
+            break
+    return nodes
+
+
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Sequence[str], tolerance: float) -> DataFrame:
-    """Rows of two results that differ by more than a tolerance or lack a partner."""
-    left = a.select(*keys, *(F.col(m).alias(f"a_{m}") for m in measures), F.lit(True).alias("_a"))
-    right = b.select(*keys, *(F.col(m).alias(f"b_{m}") for m in measures), F.lit(True).alias("_b"))
-    both = left.join(right, list(keys), "full")
+    """Rows of two results that differ by more than a tolerance or lack a partner.
+
+    Both sides are summed up into a tree of checksums first. Rows are joined only from
+    leaves whose checksums differ, none if the results are equal; both inputs are read
+    twice, so store what is dear to compute. A NULL key equals a NULL key.
+    """
+    # The hash of a key depends on its type.
+    b = b.withColumns({k: F.col(k).cast(a.schema[k].dataType) for k in keys})
+    leaves = _differing(_checksums(a, keys, measures), _checksums(b, keys, measures))
+    near = F.pmod(F.xxhash64(*keys), F.lit(1 << TREE_BITS[-1])).cast("int").isin(leaves) if leaves else F.lit(False)
+    left = a.where(near).select(*keys, *(F.col(m).alias(f"a_{m}") for m in measures), F.lit(True).alias("_a"))
+    right = b.where(near).select(
+        *(F.col(k).alias(f"_b_{k}") for k in keys), *(F.col(m).alias(f"b_{m}") for m in measures), F.lit(True).alias("_b")
+    )
+    same_key = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys))
+    both = left.join(right, same_key, "full")
     differs = F.col("_a").isNull() | F.col("_b").isNull()
     for m in measures:
         x, y = F.col(f"a_{m}"), F.col(f"b_{m}")
         differs = differs | (x.isNull() != y.isNull()) | F.coalesce(F.abs(x - y) > tolerance, F.lit(False))
-    return both.where(differs).drop("_a", "_b")
+    shown = [F.when(F.col("_a").isNull(), F.col(f"_b_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
+    figures = [f"{side}_{m}" for side in "ab" for m in measures]
+    return both.where(differs).select(*shown, *figures)

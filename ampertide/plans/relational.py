@@ -47,6 +47,7 @@ from ampertide.operators.slicing import long_slice
 from ampertide.plans import decision as dec
 from ampertide.plans.dashboard import purchase_prices
 from ampertide.sources.readers import literal_rows
+from ampertide.sources.sinks import table_function
 
 # Country names and fuel prices in EUR per litre.
 COUNTRY_ROWS = (
@@ -430,3 +431,59 @@ def create_views(tables: Mapping[str, DataFrame], electricity_long: DataFrame) -
     decision = dec.decide(kpis(tables, *inputs), "country_code").drop("segment")
     decision.createOrReplaceTempView("analytics_view")
     cost_base(tables, decision).createOrReplaceTempView("v_ev_tco_base")
+
+
+def yearly_decision(tables: Mapping[str, DataFrame], electricity_long: DataFrame) -> DataFrame:
+    """The recommendation per country and year; a filter on either reaches the prices and the grid values."""
+    place = F.struct("country_code", "year").alias("_place")
+    price = dec.yearly_price(tables["electricity_price"])
+    price = price.select(place, "price_eur_per_kwh")
+    intensity = grid_intensity(electricity_long, None).select(place, "co2_g_per_kwh")
+    focus = tables["country"].where(F.col("country_code").isin(*COUNTRY_CODES.values()))
+    countries = focus.join(price.select(F.col("_place.country_code").alias("country_code"), F.col("_place.year").alias("year")), "country_code")
+    kpis = dec.fleet_kpis(countries.withColumn("_place", place), fleets(tables), price, intensity, key="_place")
+    return dec.decide(kpis, "country_code", "country_name", "year")
+
+
+def create_functions(tables: Mapping[str, DataFrame], electricity_long: DataFrame) -> None:
+    """Table functions for SQL users; a parameter that is left out, or NULL, asks for all.
+
+    ``ev_decision(country, year)``: the recommendation, by default of the reference year.
+    ``charging_stations(country, power_class)`` and ``electricity_prices(country, first_year, last_year)``.
+    """
+    spark = electricity_long.sparkSession
+    sources = {
+        "_yearly_decision": yearly_decision(tables, electricity_long),
+        "_charging_station": tables["charging_station"],
+        "_electricity_price": tables["electricity_price"],
+    }
+    for name, df in sources.items():
+        df.createOrReplaceTempView(name)
+
+    def wanted(function: str, column: str, parameter: str, compare: str = "=") -> str:
+        return f"({function}.{parameter} IS NULL OR {column} {compare} {function}.{parameter})"
+
+    table_function(
+        spark,
+        "ev_decision",
+        {"country": ("STRING", "NULL"), "year": ("INT", str(dec.REFERENCE_YEAR))},
+        f"""SELECT * FROM _yearly_decision AS d
+            WHERE {wanted("ev_decision", "d.country_code", "country")} AND {wanted("ev_decision", "d.year", "year")}""",
+    )
+    table_function(
+        spark,
+        "charging_stations",
+        {"country": ("STRING", "NULL"), "power_class": ("STRING", "NULL")},
+        f"""SELECT * FROM _charging_station AS s
+            WHERE {wanted("charging_stations", "s.country_code", "country")}
+              AND {wanted("charging_stations", "s.power_class", "power_class")}""",
+    )
+    table_function(
+        spark,
+        "electricity_prices",
+        {"country": ("STRING", "NULL"), "first_year": ("INT", "NULL"), "last_year": ("INT", "NULL")},
+        f"""SELECT * FROM _electricity_price AS p
+            WHERE {wanted("electricity_prices", "p.country_code", "country")}
+              AND {wanted("electricity_prices", "p.year", "first_year", ">=")}
+              AND {wanted("electricity_prices", "p.year", "last_year", "<=")}""",
+    )

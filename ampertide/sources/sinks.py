@@ -5,9 +5,9 @@ Every sink returns a reader of what it stored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampertide.session import with_row_tie
@@ -66,3 +66,15 @@ def view(df: DataFrame, name: str) -> DataFrame:
     """Register a virtual view and return it."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def table_function(spark: SparkSession, name: str, parameters: Mapping[str, tuple[str, str]], query: str) -> str:
+    """Register a view with parameters for SQL users: ``SELECT * FROM name(parameter => value)``.
+
+    ``parameters``: name to (SQL type, SQL text of the default). In ``query`` a parameter
+    is ``name.parameter``. A call is unfolded into the query, so its values reach the scan
+    like literals. Lasts as long as the session.
+    """
+    declared = ", ".join(f"{parameter} {kind} DEFAULT {default}" for parameter, (kind, default) in parameters.items())
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({declared}) RETURNS TABLE RETURN {query}")
+    return name

@@ -16,7 +16,7 @@ _PROFILED = {
     },
     "orders": {
         "o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice",
-        "o_orderdate": "CAST(o_orderdate AS DATE)", "o_orderpriority": "o_orderpriority",
+        "o_orderdate": "o_orderdate", "o_orderpriority": "o_orderpriority",
         "priority_number": "SUBSTRING(o_orderpriority, 1, 1)",
     },
 }
@@ -110,6 +110,37 @@ def check_orphans(t: Tables) -> DataFrame:
     return quality.orphans(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", parents, "n_nationkey")
 
 
+@proof(
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_type <> 'PROMO')
+    """
+)
+def check_orphans_of_facts(t: Tables) -> DataFrame:
+    """Facts without a parent, found from a bitmap of the parents' keys."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return quality.orphans(rows, "l_partkey", t.part.where("p_type <> 'PROMO'"), "p_partkey")
+
+
+@proof(
+    """
+    SELECT c_custkey, c_name FROM customer c
+    WHERE NOT EXISTS (SELECT 1 FROM customer o WHERE o.c_name = c.c_name AND o.c_acctbal > 0)
+    """
+)
+def check_orphans_by_name(t: Tables) -> DataFrame:
+    """Keys that are no numbers: the distinct ones are held against the parents."""
+    return quality.orphans(t.customer.select("c_custkey", "c_name"), "c_name", t.customer.where("c_acctbal > 0"), "c_name")
+
+
+@proof("SELECT o_orderkey, o_totalprice AS a_o_totalprice, o_totalprice + 1 AS b_o_totalprice FROM orders WHERE o_custkey = 7")
+def reconcile_few_changes(t: Tables) -> DataFrame:
+    """Two versions of a table that differ in a few rows: only the leaves around these are joined."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    changed = rows.withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_custkey") == 7, 1.0).otherwise(0.0))
+    return quality.reconcile(rows, changed, ["o_orderkey"], ["o_totalprice"], 1e-6)
+
+
 @proof("SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1")
 def check_unique(t: Tables) -> DataFrame:
     return quality.duplicates(t.lineitem, ["l_orderkey", "l_linenumber"])

@@ -279,7 +279,7 @@ def product_countries(t: Tables) -> DataFrame:
     SELECT p_brand, p_name, CASE p_type WHEN 'SMALL' THEN 'Diesel' WHEN 'LARGE' THEN 'Premium Petrol' ELSE 'Unknown' END, p_type, NULL, NULL, 100 + p_size, NULL FROM part
     UNION ALL
     SELECT s_name, 'model ' || CAST(s_nationkey AS VARCHAR), 'Electric', CASE WHEN s_nationkey = 3 THEN NULL ELSE 'suv' END,
-           CAST(s_nationkey * 1000 AS DOUBLE), NULL, NULL, 200 + s_nationkey FROM supplier WHERE s_nationkey > 0
+           CAST((s_nationkey + 1) * 1000 AS DOUBLE), NULL, NULL, 200 + s_nationkey FROM supplier
     """
 )
 def product_vehicles(t: Tables) -> DataFrame:
@@ -291,9 +291,9 @@ def product_vehicles(t: Tables) -> DataFrame:
         F.lit("8").alias("Fuel Consumption Comb (L/100 km)"), (size + 100).cast("string").alias("CO2 Emissions(g/km)"),
     )
     nation = F.col("s_nationkey")
-    specs = t.supplier.where("s_nationkey > 0").select(
+    specs = t.supplier.select(
         F.concat("s_name", F.lit(" model "), nation.cast("string")).alias("Car model"), F.lit("60").alias("Battery_Capacity_kWh"),
-        (nation + 200).cast("string").alias("Autonomy_WLTP_Km"), nation.cast("string").alias("Approx_Release_price_order_in_K$"),
+        (nation + 200).cast("string").alias("Autonomy_WLTP_Km"), (nation + 1).cast("string").alias("Approx_Release_price_order_in_K$"),
         F.when(nation == 3, "empty").otherwise("suv").alias("Car_type"), F.lit("50").alias("DC_nominal_charge_power_KW"),
         F.lit("11").alias("AC_nominal_charging"), F.lit("2020").alias("year"),
     )
