@@ -249,6 +249,20 @@ def test_sql_views(spark, tables, sources):
     assert [tuple(r) for r in projection.collect()] == [("CH", 1, 14610.0, 60562.5), ("CH", 2, 17220.0, 61125.0)]
 
 
+def test_sql_functions(spark, tables, sources):
+    relational.create_functions(tables, relational.staging(sources)["electricity_long"])
+    assert result(spark.sql("SELECT * FROM ev_decision()")) == GOLDEN
+    one = spark.sql("SELECT country_code, year FROM ev_decision(year => 2022, country => 'CH')").collect()
+    assert [tuple(r) for r in one] == [("CH", 2022)]
+    years = {r.year for r in spark.sql("SELECT * FROM ev_decision(year => NULL)").collect()}
+    assert 2022 in years
+    assert spark.sql("SELECT * FROM charging_stations()").count() == tables["charging_station"].count()
+    classes = spark.sql("SELECT DISTINCT country_code FROM charging_stations(country => 'DE')").collect()
+    assert [r[0] for r in classes] in (["DE"], [])
+    prices = spark.sql("SELECT * FROM electricity_prices(first_year => 2022, last_year => 2022)").collect()
+    assert prices and {r.year for r in prices} == {2022}
+
+
 def test_decision_from_stored_inputs(spark, tables, sources):
     inputs = relational.decision_inputs(tables, relational.staging(sources)["electricity_long"])
     price, intensity = storage.store(dict(zip(("price", "intensity"), inputs)), fresh_path(spark, "inputs")).values()
