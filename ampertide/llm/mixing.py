@@ -1,7 +1,9 @@
 """Mixing sources to target weights by a splitting tree over block quotas.
 
 1. ``targets``: words each source gives to the mix.
-2. Documents fall into blocks of a source by a hash; a block is a unit of work of
+2. Documents longer than a block are blocks of their own, taken at the rate of their
+   source; the other documents make good what rounding misses. They
+   fall into blocks of a source by a hash; a block is a unit of work of
    bounded size. Whole passes over a source take all its blocks, the rest of its
    target takes blocks in permuted order, and of the one block that would
    overshoot documents in a seeded order until one does not fit, then the largest
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampertide.llm.common import WORD, small, unit
+from ampertide.operators.numbering import number_in_groups
 from ampertide.session import free_name, materialise, with_row_id
 
 WEIGHTS = (3, 1, 2)
@@ -32,6 +35,8 @@ BLOCK_WORDS = 50_000
 SHARDS = 16
 #: Times that the documents of an overshooting block are gone through for ones that still fit.
 FIT_PASSES = 9
+#: Documents longer than a block that are weighed one after another, per source.
+HEAD = 1000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -132,6 +137,45 @@ def block_plan(rows: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def long_documents(long: DataFrame) -> DataFrame:
+    """Documents longer than a block, each a block of its own, with ``_taken``, the copies that the mix takes.
+
+    From the longest on, each of the first ``HEAD`` of a source is taken as often as comes
+    nearest to the source's rate over those up to it. The others, none of which is more than a
+    thousandth of the source, are taken by rank at that rate. What both miss the short
+    documents make good.
+    """
+    rate = F.col("target") / F.col("source_size")
+    order = [F.col("_size").desc(), F.col("_row").asc()]
+    ranked = materialise(number_in_groups(long, ["source"], order, "_at", unique=True), "ranked")
+    # No more than HEAD entries a source.
+    head = ranked.where(F.col("_at") <= HEAD).groupBy("source", "source_size", "target")
+    head = head.agg(F.sort_array(F.collect_list(F.struct("_at", "_size"))).alias("_head")).withColumn("_rate", rate)
+    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("got"), F.array().cast("array<bigint>").alias("n"))
+
+    def step(s: Column, x: Column) -> Column:
+        upto = s["upto"] + x["_size"]
+        near = F.round((F.col("_rate") * upto - s["got"]) / x["_size"]).cast("long")
+        n = F.greatest(F.lit(0).cast("long"), F.least(F.lit(MOST).cast("long"), near))
+        return F.struct(upto.alias("upto"), (s["got"] + n * x["_size"]).alias("got"), F.concat(s["n"], F.array(n)).alias("n"))
+
+    chosen = head.select(F.col("source").alias("_s"), F.posexplode(F.aggregate("_head", start, step, lambda s: s["n"])).alias("_p", "_n"))
+    found = ranked.join(chosen, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_at") == F.col("_p") + 1), "left")
+    by_rank = F.floor(rate * F.col("_at") + F.lit(0.5)) - F.floor(rate * (F.col("_at") - 1) + F.lit(0.5))
+    taken = F.coalesce("_n", by_rank).cast("long")
+    return found.withColumns({"_taken": taken, "_block": -F.col("_at")}).drop("_s", "_p", "_n")
+
+
+def _goals_of_rest(goals: DataFrame, long: DataFrame) -> DataFrame:
+    """Size and target of each source without its long documents; the target as far as it can be reached."""
+    of = long.groupBy(F.col("source").alias("_s")).agg(F.sum("_size").alias("_long"), F.sum(F.col("_size") * F.col("_taken")).alias("_got"))
+    both = goals.join(of, F.col("_source").eqNullSafe(F.col("_s")), "left")
+    size = F.col("source_size") - F.coalesce("_long", F.lit(0))
+    left = F.col("target") - F.coalesce("_got", F.lit(0))
+    target = F.greatest(F.lit(0.0), F.least(left, F.lit(float(MOST)) * size))
+    return both.select("_source", size.alias("source_size"), target.alias("target"))
+
+
 def _draws(taken: Column, all_left: Column, own: Column, *key: Column) -> Column:
     """How many of ``own`` blocks are among ``taken`` drawn from ``all_left``: a hypergeometric draw, block by block."""
     state = F.struct(taken.alias("want"), all_left.alias("left"), F.lit(0).cast("long").alias("got"))
@@ -193,11 +237,16 @@ def placements(
     rows = materialise(sized(docs), "sized")
     goals = materialise(targets(rows, weights, share), "targets")
     goals = goals.select(F.col("source").alias("_source"), "source_size", "target")
-    rows = materialise(blocks_of(rows, goals, seed, block_words).drop("_source"), "blocked")
-    plan = materialise(block_plan(rows, seed), "blocks")
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    long = materialise(long_documents(rows.where(F.col("_size") > block_words).join(goals, same).drop("_source")), "long")
+    rest = rows.where(F.col("_size") <= block_words)
+    blocked = materialise(blocks_of(rest, _goals_of_rest(goals, long), seed, block_words).drop("_source"), "blocked")
+    plan = materialise(block_plan(blocked, seed), "blocks")
     passes = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_taken") - 1)).alias("_pass")
-    copies = _taken_rows(rows, plan, seed).where("_taken > 0").select("source", "_block", "_row", "_key", passes)
-    copies = materialise(copies, "copies")
+    unit_rows = ["source", "_block", "_row", "_key", passes]
+    copies = _taken_rows(blocked, plan, seed).where("_taken > 0").select(*unit_rows)
+    copies = materialise(copies.unionByName(long.where("_taken > 0").select(*unit_rows)), "copies")
+    rows = rows.join(goals, same).drop("_source")
     # One pass over one block is what the tree splits and deals.
     units = copies.groupBy("source", "_pass", "_block").agg(F.count(F.lit(1)).alias("_n"))
     units = materialise(units, "units")

@@ -102,3 +102,18 @@ def test_clashing_names(spark):
     result = mixing.mix(spark.createDataFrame(rows, schema))
     assert set(schema.replace(",", "").split()[::2]) < set(result.columns)
     assert result.count() > 20
+
+
+@pytest.mark.parametrize("lengths", [[60_000] + [100] * 200, [55_000, 70_000, 300_000] + [400] * 300, [90_000] * 7 + [50] * 2000])
+def test_long_documents_do_not_miss_the_target(spark, lengths):
+    """A document of more than a block is rounded, the short ones make good for it."""
+    rows = [(i, " ".join(["w"] * n), "a") for i, n in enumerate(lengths)]
+    rows += [(10_000 + i, "x " * 500, s) for s in "bc" for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found, placed = mixing.placements(docs)
+    copies = placed.groupBy("_row").agg(F.count(F.lit(1)).alias("n"))
+    by_source = found.join(copies, "_row", "left").groupBy("source").agg(
+        F.first("target").alias("target"), F.sum(F.col("_size") * F.coalesce("n", F.lit(0))).alias("taken"), F.max("n").alias("most")
+    )
+    for r in by_source.collect():
+        assert abs(r.taken - r.target) <= 0.005 * r.target + 100 and r.most <= 2, r
