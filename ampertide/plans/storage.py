@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ampertide.sources.readers import read_table
-from ampertide.sources.sinks import clustered, overwrite
+from ampertide.sources.sinks import clustered, interleaved, overwrite
 
 # Columns that a slice of the long-form electricity table fixes.
 SLICE_COLUMNS = ("area", "category", "subcategory", "variable", "unit")
@@ -25,3 +25,8 @@ def stored(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str,
 def store_electricity_long(electricity_long: DataFrame, path: str) -> DataFrame:
     """One folder per year, sorted by the columns that slices fix."""
     return clustered(electricity_long, path, ["year"], SLICE_COLUMNS)
+
+
+def store_electricity_any(electricity_long: DataFrame, path: str) -> DataFrame:
+    """Laid out for slices on any of year, area, variable and unit, with or without the others."""
+    return interleaved(electricity_long, path, ("year", "area", "variable", "unit"))

@@ -6,11 +6,13 @@ Every sink returns a reader of what it stored.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ampertide.session import with_row_tie
+from ampertide.session import free_name, with_row_tie
 
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
@@ -62,6 +64,62 @@ def clustered(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Cells per column of an interleaved layout, as a power of two.
+CELL_BITS = 4
+
+
+def _cell(df: DataFrame, column: str, bits: int, cuts: Sequence | None) -> Column:
+    """Which of 2^bits stretches of its column a value falls in: by rank for numbers and times, by hash for the rest."""
+    if cuts is None:
+        return F.pmod(F.xxhash64(column), F.lit(1 << bits)).cast("int")
+    value = _measure(df, column)
+    return reduce(lambda a, b: a + b, (F.when(value > F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+
+
+def _measure(df: DataFrame, column: str) -> Column:
+    """A number in the order of the column."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        return F.unix_seconds(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
+def interleaved(df: DataFrame, path: str, columns: Sequence[str], bits: int = CELL_BITS) -> DataFrame:
+    """Store for slices on any subset of ``columns``, whichever comes first.
+
+    Every column is cut into 2^bits cells, numbers and times at their quantiles, other
+    values by hash. The bits of the cells, one of each column in turn, are the order of
+    rows, so that rows of one cell of any column stand in few stretches, whose files and row
+    groups the others' statistics, dictionaries and Bloom filters leave out.
+    """
+    ranked = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    numbers = [c for c in columns if isinstance(df.schema[c].dataType, ranked)]
+    share = [k / (1 << bits) for k in range(1, 1 << bits)]
+    # No more than 2^bits cuts a column.
+    cuts = df.agg(*(F.percentile_approx(_measure(df, c), share).alias(c) for c in numbers)).first().asDict() if numbers else {}
+    cells = [_cell(df, c, bits, (cuts[c] or []) if c in numbers else None) for c in columns]
+    parts = [
+        F.shiftleft(F.shiftright(cell, b).bitwiseAND(F.lit(1)).cast("long"), b * len(cells) + k)
+        for b in range(bits)
+        for k, cell in enumerate(cells)
+    ]
+    place = free_name(df, "_place")
+    tie = free_name(df, "_tie")
+    order = [place, *columns, tie]
+    writer = (
+        with_row_tie(df, tie)
+        .withColumn(place, reduce(lambda a, b: a.bitwiseOR(b), parts))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop(place, tie)
+        .write.mode("overwrite")
+    )
+    for column in set(columns) - set(numbers):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def view(df: DataFrame, name: str) -> DataFrame:
     """Register a virtual view and return it."""
     df.createOrReplaceTempView(name)

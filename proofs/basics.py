@@ -17,7 +17,7 @@ from ampertide.operators import slicing
 from ampertide.operators.slicing import all_equal, in_year, last_rows, long_slice, optional_filter
 from ampertide.session import drop_at_exit, fresh_path
 from ampertide.sources.readers import literal_rows, read_csv
-from ampertide.sources.sinks import append, clustered, overwrite, truncate, write_csv
+from ampertide.sources.sinks import append, clustered, interleaved, overwrite, truncate, write_csv
 from proofs.registry import CENTS, Tables, proof, sql_mean
 
 REFERENCE_YEAR = 2000
@@ -188,6 +188,29 @@ def layout_slice_lookup(t: Tables) -> DataFrame:
     return stored.where(all_equal(wanted)).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
 
 
+@proof(
+    f"""
+    SELECT 'flag' AS slice, l_returnflag AS flag, COUNT(*) AS n, CAST(SUM(l_partkey) AS BIGINT) AS parts FROM lineitem WHERE l_returnflag = 'R' GROUP BY 2
+    UNION ALL SELECT 'part', l_returnflag, COUNT(*), CAST(SUM(l_partkey) AS BIGINT) FROM lineitem WHERE l_partkey BETWEEN 5 AND 20 GROUP BY 2
+    UNION ALL SELECT 'year', l_returnflag, COUNT(*), CAST(SUM(l_partkey) AS BIGINT) FROM lineitem WHERE YEAR(l_shipdate) = {REFERENCE_YEAR} GROUP BY 2
+    """
+)
+def layout_any_column(t: Tables) -> DataFrame:
+    """Slices on one column each of a layout that none of them leads."""
+    rows = t.lineitem.select("l_returnflag", "l_partkey", F.year("l_shipdate").alias("ship_year"), "l_orderkey")
+    path = fresh_path(t.spark, "interleaved")
+    stored = interleaved(rows, path, ["ship_year", "l_partkey", "l_returnflag"])
+    drop_at_exit(t.spark, path)
+    slices = {"flag": F.col("l_returnflag") == "R", "part": F.col("l_partkey").between(5, 20), "year": F.col("ship_year") == REFERENCE_YEAR}
+    counts = [
+        stored.where(test).groupBy(F.lit(name).alias("slice"), F.col("l_returnflag").alias("flag")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("parts")
+        )
+        for name, test in slices.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 _STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 

@@ -60,7 +60,7 @@ def norm_key(t: Tables) -> DataFrame:
     """
     WITH raw AS (SELECT p_partkey, TRIM(' ' || p_brand || ' ' || p_name || ' ') AS full_name FROM part)
     SELECT p_partkey, SPLIT_PART(full_name, ' ', 1) AS make,
-           TRIM(SUBSTRING(full_name, LENGTH(SPLIT_PART(full_name, ' ', 1)) + 2)) AS model
+           TRIM(REGEXP_REPLACE(full_name, '^[^ ]+', '')) AS model
     FROM raw
     """
 )
