@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ampertide.operators import quality
 from ampertide.operators.aggregates import mean_over_join
+from ampertide.session import materialise
 from proofs.registry import CENTS, Tables, proof
 
 _PROFILED = {
@@ -67,6 +68,36 @@ def quick_profile_columns(t: Tables) -> DataFrame:
     )
 
 
+def _merged_sql(column: str, expr: str, number: bool) -> str:
+    middle = "MEDIAN(TRY_CAST(v AS DOUBLE)) IS NOT NULL" if number else "FALSE"
+    return f"""
+    SELECT '{column}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT(v) AS n_nulls,
+           CASE WHEN COUNT(v) = 0 THEN 'TEXT' WHEN BOOL_AND(REGEXP_FULL_MATCH(v, '[+-]?[0-9]+')) THEN 'INTEGER'
+                WHEN COUNT(TRY_CAST(v AS DOUBLE)) = COUNT(v) THEN 'FLOAT' ELSE 'TEXT' END AS type_class,
+           MIN(v) AS least_value, MAX(v) AS greatest_value, TRUE AS distinct_near, {middle} AS middle_near
+    FROM (SELECT NULLIF(TRIM(CAST({expr} AS VARCHAR)), '') AS v FROM customer)
+    """
+
+
+_NUMBERS = ("c_custkey", "c_nationkey", "c_acctbal")
+
+
+@proof(" UNION ALL ".join(_merged_sql(c, e, c in _NUMBERS) for c, e in _PROFILED["customer"].items()))
+def profile_merged(t: Tables) -> DataFrame:
+    """Stored sketches of two halves, merged: counts as of the whole, distinct values and middles within their error."""
+    rows = t.customer.selectExpr(*(f"{expr} AS {name}" for name, expr in _PROFILED["customer"].items()))
+    halves = [materialise(quality.sketch(rows.where(half)), "sketch") for half in ("c_nationkey < 12", "c_nationkey >= 12")]
+    whole = quality.read_sketch(quality.merge_sketches(*halves))
+    exact = quality.profile(rows).select("column_name", F.col("n_distinct").alias("exact"))
+    around = [rows.agg(F.percentile(F.col(c).cast("double"), [0.45, 0.55]).alias("around")).select(F.lit(c).alias("column_name"), "around") for c in _NUMBERS]
+    around = around[0].unionByName(around[1]).unionByName(around[2])
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(2.0), F.col("exact") * 0.05)
+    middle = F.coalesce(F.col("quantiles")[1].between(F.col("around")[0], F.col("around")[1]), F.lit(False))
+    return whole.join(exact, "column_name").join(around, "column_name", "left").select(
+        "column_name", "n_rows", "n_nulls", "type_class", "least_value", "greatest_value", near.alias("distinct_near"), middle.alias("middle_near")
+    )
+
+
 @proof(
     """
     WITH raw AS (SELECT CASE WHEN p_size > 40 THEN 'empty' WHEN p_size < 5 THEN 'NA' WHEN p_size = 7 THEN ' ' ELSE CAST(p_size AS VARCHAR) END AS size,

@@ -79,3 +79,17 @@ def test_fields_of_unlike_kinds(spark):
         ("number", 7.5, True, False, True), ("missing", None, False, False, True), ("missing", None, False, False, True), ("boolean", None, False, False, True),
         ("object", None, False, False, True), ("array", None, False, False, True), ("number", 1e300, True, False, True),
     ]
+
+
+def test_merged_sketches_tell_the_whole(spark):
+    rows = spark.range(6000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, "often").otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("t"), F.lit(None).cast("string").alias("none"))
+    parts = [quality.sketch(rows.where(c)) for c in ("id < 1000", "id between 1000 and 4999", "id > 4999", "id < 0")]
+    found = {r.column_name: r for r in quality.read_sketch(quality.merge_sketches(*parts)).collect()}
+    whole = {r.column_name: r for r in quality.quick_profile(rows).collect()}
+    for name, r in found.items():
+        w = whole[name]
+        assert (r.n_rows, r.n_nulls, r.null_pct, r.type_class, r.least_value, r.greatest_value) == (w.n_rows, w.n_nulls, w.null_pct, w.type_class, w.least_value, w.greatest_value)
+    assert abs(found["n"].n_distinct - 6000) < 300 and abs(found["t"].n_distinct - 4001) < 200 and found["none"].n_distinct == 0
+    assert abs(found["n"].quantiles[1] - 3000) < 120 and found["none"].quantiles is None
+    assert tuple(found["t"].frequent[0]) == ("often", 2000)
+    assert quality.read_sketch(quality.merge_sketches(quality.sketch(rows.limit(0)))).collect() == []
