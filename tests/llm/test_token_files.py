@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 import xxhash
@@ -91,6 +92,31 @@ def test_text_without_blanks_is_not_remembered():
     assert set(encoder.known) == {"and", "words"}
 
 
+def test_plain_words_need_no_mark_between_them():
+    encoder, seen = tf.Encoder(PATH), []
+    whole = encoder._whole
+    encoder._whole = lambda texts: seen.extend(texts) or whole(texts)
+    texts = ["Né. It's a dog's (3rd) día, 42 x-ray... мир.", "naïve\u00a0word e\u0301. 日本 \u0915\u093c."]
+    ids, counts = encoder.encode(pa.array(texts))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [wanted(t) for t in texts]
+    marked = {w for t in seen if tf._MARK in t for w in t.split(f" {tf._MARK} ")}
+    assert marked == {"naïve\u00a0word", "e\u0301.", "日本", "\u0915\u093c."}
+    # Sentences end behind accented letters, too.
+    assert {"né", "día", "мир"} <= set(encoder.known) and not {"né.", "día,", "мир."} & set(encoder.known)
+
+
+def test_every_plain_letter_keeps_its_place():
+    letters = [c for c in map(chr, range(0x21, 0x530)) if pc.match_substring_regex(pa.array([c]), tf._PLAIN)[0].as_py()]
+    assert "\u0130" not in letters and {"é", "Я", "~"} <= set(letters) and len(letters) > 500
+    rng = random.Random(4)
+    texts = [f"{c} {c}. {c},{c} a{c}'s '{c} 1{c}{c}2" for c in letters]
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(30)) for _ in range(300)]
+    encoder = tf.Encoder(PATH)
+    ids, counts = encoder.encode(pa.array(texts))
+    for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert part.tolist() == wanted(text), repr(text)
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, tokenizer = tf.Encoder(path), Tokenizer.from_file(path)
