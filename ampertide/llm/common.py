@@ -126,3 +126,16 @@ def slices(frames: Iterator[pa.RecordBatch], most: int, column: str = "text") ->
             total += n
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def joined(frames: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: neighbours are put together up to ``most`` bytes, none is cut."""
+    held, total = [], 0
+    for batch in frames:
+        if held and total + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)

@@ -15,6 +15,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from ampertide.llm import token_files as tf
+from ampertide.llm.common import joined
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -117,6 +118,38 @@ def test_every_plain_letter_keeps_its_place():
         assert part.tolist() == wanted(text), repr(text)
 
 
+def test_words_of_letters_pass_by_the_normaliser():
+    encoder, seen = tf.Encoder(PATH), []
+    whole = encoder._whole
+    encoder._whole = lambda texts: seen.extend(texts) or whole(texts)
+    texts = ["the día: naïve! мир; (über) it's", "É día x2 the; e\u0301 the", "straße ÿ ı ſ ǆ ҁ"]
+    ids, counts = encoder.encode(pa.array(texts))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [wanted(t) for t in texts]
+    assert not {"the", "día", "naïve", "мир", "it", "straße"} & {w for t in seen for w in t.split(" ")}
+    # What is behind a letter is a word of its own.
+    assert {"día", "naïve", "мир", "it", "'s", "!"} <= set(encoder.known) and not {"día:", "naïve!", "it's"} & set(encoder.known)
+
+
+def test_words_at_hand_stay_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tf, "_CACHE_WORDS", 6)
+    encoder, learned = tf.Encoder(PATH), []
+    learn = encoder._learn
+    encoder._learn = lambda words: learned.append(pa.array(words).to_pylist()) or learn(words)
+    for text in ["one two 3rd 日本 -- five", "日本 six -- two", "seven two " + "x" * 100, "one two six seven nine ten 8 -- é"]:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == wanted(text)
+    assert [sorted(words) for words in learned] == [["--", "3rd", "five", "one", "two", "日本"], ["six"], ["seven"], ["8", "nine", "one", "ten", "é"]]
+
+
+def test_short_batches_are_joined():
+    rows = [{"doc_id": [i], "text": [t]} for i, t in enumerate(["ab", None, "", "c" * 500, "d", "ef", "g" * 60, "h"])]
+    batches = [pa.RecordBatch.from_pydict(r, pa.schema({"doc_id": pa.int64(), "text": pa.string()})) for r in rows]
+    out = list(joined(iter(batches), 100))
+    assert [r for b in out for r in b.to_pylist()] == [r for b in batches for r in b.to_pylist()]
+    assert len(out) == 4 and all(b.nbytes <= 100 or b.num_rows == 1 for b in out)
+    assert list(joined(iter([]), 100)) == []
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, tokenizer = tf.Encoder(path), Tokenizer.from_file(path)
