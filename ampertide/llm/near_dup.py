@@ -10,8 +10,11 @@ high chance at every level:
 * after ``LEVELS`` levels a large node holds a group of near copies (or sets that
   differ too little to be told apart). Large nodes that share members form a cluster.
   Its members are compared with one pivot and inside random blocks, which connects
-  near copies with few comparisons. Then every member outside the cluster's largest
-  component is compared with all members of other components, chunk by chunk inside
+  near copies with few comparisons. A wide cluster may be of texts that share a passage
+  and little else: there, members of different components are compared if they share one
+  of their rarest tokens, as similar sets must, and members that share such a token with
+  many others form the clusters that are left. Then every member outside a cluster's
+  largest component is compared with all members of other components, chunk by chunk inside
   tasks, so no link between components is lost and no pair without a link leaves a task.
 
 Two sets of similarity 0.8 miss each other at one level with probability 0.024, hence
@@ -47,6 +50,10 @@ AGREE = 6
 #: Texts of a cluster that are compared with as many others in one go, and rows of these at a time.
 CHUNK = 256
 CHUNK_BYTES = 4 << 20
+#: Texts that may share one of their rarest tokens and still be compared pair by pair.
+SHARED = 64
+#: Tokens that the order of rarity tells apart, the commonest ones; any order finds all pairs.
+COMMON = 1 << 20
 _LEFT_ROWS = 32
 _BATCH_BYTES = 8 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -175,25 +182,34 @@ def chosen_paths(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         if rows.where(F.col("size") > LEAF).isEmpty():
             break
     members = clusters(rows.where(F.col("size") > LEAF))
+    pairs = _first_round(members)
+    for more in found:
+        pairs = pairs.unionByName(more)
+    return materialise(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates"), members
+
+
+def _first_round(members: DataFrame) -> DataFrame:
+    """Candidate pairs of each cluster's members with its pivot and inside random blocks."""
     sizes = materialise(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("cls", "n", "marks")).alias("x")), "clusters")
     sized = members.join(sizes, "cluster")
     blocks = F.greatest(F.lit(1), F.round(F.col("size") / LEAF)).cast("long")
-    found.append(_pairs_within(sized.withColumn("block", F.pmod(F.xxhash64("cls"), blocks)), "cluster", "block"))
-    found.append(_kept_pairs(sized.select("x", F.struct("cls", "n", "marks").alias("y"))))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return materialise(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates"), members
+    within = _pairs_within(sized.withColumn("block", F.pmod(F.xxhash64("cls"), blocks)), "cluster", "block")
+    return within.unionByName(_kept_pairs(sized.select("x", F.struct("cls", "n", "marks").alias("y"))))
 
 
 def clusters(large: DataFrame) -> DataFrame:
     """``cls, n, marks, cluster`` for the classes of large nodes; nodes that share a class or their parent are one cluster."""
     hot = large.select(F.col("parent").alias("node"), "cls", "n", "marks").dropDuplicates(["node", "cls"])
     hot = materialise(hot, "hot")
-    first = materialise(hot.groupBy("node").agg(F.min("cls").alias("a")), "first-of-node")
-    labels = components(hot.join(first, "node").select("a", F.col("cls").alias("b")))
     own = hot.select("cls", "n", "marks").dropDuplicates(["cls"])
-    return materialise(own.join(labels.select(F.col("id").alias("cls"), F.col("label").alias("cluster")), "cls"), "members")
+    return materialise(own.join(_joined_by(hot), "cls"), "members")
+
+
+def _joined_by(nodes: DataFrame) -> DataFrame:
+    """``cls, cluster`` for the classes of ``node, cls``; nodes that share a class are one cluster."""
+    first = materialise(nodes.groupBy("node").agg(F.min("cls").alias("a")), "first-of-node")
+    labels = components(nodes.join(first, "node").select("a", F.col("cls").alias("b")))
+    return labels.select(F.col("id").alias("cls"), F.col("label").alias("cluster"))
 
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -259,7 +275,13 @@ def _grouped(rows: DataFrame, words: int) -> DataFrame:
     links = links.unionByName(confirmed(_across(pairs, labels), texts, words))
     labels = components(links)
     if not members.isEmpty():
-        links = links.unionByName(confirmed(_across_clusters(members, labels, texts, words), texts, words))
+        members = _labelled(members, labels)
+        if not members.where(F.col("size") > CHUNK).isEmpty():
+            pairs, members = _narrowed(members, texts, words)
+            links = links.unionByName(confirmed(_across(pairs, labels), texts, words))
+            labels = components(links)
+            members = _labelled(members, labels)
+        links = links.unionByName(confirmed(_across_clusters(members, texts, words), texts, words))
         labels = components(links)
     found = signatures.select("_row", "doc_id", "n", "k1", "k2")
     found = found.join(classes, ["n", "k1", "k2"], "left").withColumn("cls", F.when(F.col("doc_id").isNotNull(), F.col("cls")))
@@ -300,8 +322,109 @@ def distinct_documents(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame
     return rows.join(small(gone, 16 * gone.count()), name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``cluster, cls, n, marks, label, size`` for the members of clusters of several components."""
+    rows = members.select("cluster", "cls", "n", "marks").join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
+    rows = materialise(rows.withColumn("label", F.coalesce("label", "cls")), "labelled")
+    several = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return rows.join(several.where("low <> high").select("cluster", "size"), "cluster")
+
+
+def _times(words: int):
+    """The shingles of each batch of texts, and in how many of the texts each is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, _BATCH_BYTES):
+            values, times = np.unique(shingles(batch.column("text"), words)[0], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"token": pa.array(values.view(np.int64)), "times": pa.array(times.astype(np.int64))})
+
+    return run
+
+
+def _rarest(words: int, common):
+    """The tokens of each text of which a similar set shares one.
+
+    Tokens are ordered by how many texts have them, then by value. Of two similar sets, the
+    first token that they share is among the first ones of each, and nearer to the start
+    (``lead``) in the one that is not larger.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, times = common.value
+        for batch in slices(batches, _BATCH_BYTES):
+            values, counts = shingles(batch.column("text"), words)
+            at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+            often = np.where(tokens[at] == values, times[at], 0)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            values = values[np.lexsort((values, often, owner))]
+            n, place = counts[owner], ranges(counts)
+            # A set of n shares PERCENT of n at least with any similar one, and more with one that is not smaller.
+            first = place <= n - -(-PERCENT * n // 100)
+            lead = place <= n - -(-2 * PERCENT * n // (100 + PERCENT))
+            rows = batch.select(["cluster", "cls", "n", "label"]).take(pa.array(owner[first]))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(values[first].view(np.int64)), pa.array(lead[first])], [*rows.schema.names, "token", "lead"]
+            )
+
+    return run
+
+
+def _narrowed(members: DataFrame, texts: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``a, b`` of wide clusters, and the clusters that are left to compare chunk by chunk.
+
+    Members of a wide cluster that differ in their component are a pair if they share one of
+    their rarest tokens and no more than some ``SHARED`` members do; those that share one with
+    more members stay in a cluster, with a first round of its own.
+    """
+    spark = members.sparkSession
+    wide = members.where(F.col("size") > CHUNK)
+    rows = materialise(wide.join(texts, "cls").select("cluster", "cls", "n", "label", "text"), "wide")
+    seen = rows.select("text").mapInArrow(lean(_times(words)), "token long, times long")
+    seen = materialise(seen.groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") > LEAF), "times")
+    least = LEAF
+    while seen.where(F.col("times") > least).count() > COMMON:
+        least *= 2
+    known = seen.where(F.col("times") > least).select("token", "times").toArrow()
+    tokens, times = known["token"].to_numpy().view(np.uint64), known["times"].to_numpy()
+    order = np.argsort(tokens)
+    # One token that counts for nothing, for tables without any common one.
+    common = (tokens[order], times[order]) if len(order) else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
+    shared = spark.sparkContext.broadcast(common)
+    schema = "cluster long, cls long, n long, label long, token long, lead boolean"
+    rare = materialise(rows.mapInArrow(lean(_rarest(words, shared)), schema), "rarest")
+    lists = rare.groupBy("cluster", "token").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if("lead").alias("leads"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    lists = lists.where("leads > 0 and low <> high").select("cluster", "token", (F.col("all") * F.col("leads") > SHARED * SHARED).alias("dense"))
+    rare = materialise(rare.join(lists, ["cluster", "token"]), "lists")
+    listed = rare.where("not dense").groupBy("cluster", "token").agg(F.collect_list(F.struct("cls", "n", "label", "lead")).alias("m"))
+    each = listed.select("m", F.explode("m").alias("x")).where("x.lead")
+
+    def partner(y: Column) -> Column:
+        later = (y["n"] > F.col("x.n")) | ((y["n"] == F.col("x.n")) & y["lead"] & (y["cls"] > F.col("x.cls")))
+        return (y["label"] != F.col("x.label")) & later & (F.col("x.n") * 100 >= y["n"] * PERCENT)
+
+    pairs = each.select(F.col("x.cls").alias("a"), F.explode(F.filter("m", partner)).alias("y")).select("a", F.col("y.cls").alias("b"))
+    pairs = materialise(pairs.distinct(), "sharing")
+    for end, name in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(wide.select(F.col("cls").alias(end), F.struct("cls", "n", "marks").alias(name)), end)
+    pairs = _kept_pairs(pairs.select("x", "y"))
+    dense = materialise(rare.where("dense").select(F.xxhash64("cluster", "token").alias("node"), "cls").distinct(), "dense")
+    dense = materialise(wide.drop("cluster").join(_joined_by(dense), "cls").select("cluster", "cls", "n", "marks"), "left")
+    pairs = materialise(pairs.unionByName(_first_round(dense)).select("a", "b").distinct(), "narrowed")
+    return pairs, members.where(F.col("size") <= CHUNK).select("cluster", "cls", "n", "marks").unionByName(dense)
+
+
 def _similar(words: int):
-    """Links between two chunks of texts with different labels, from products of their shingle incidence."""
+    """Links between two chunks of texts with different labels, from products of their shingle incidence.
+
+    Of these, as many as it takes to connect what they connect.
+    """
+
+    def top(roots: dict, label: int) -> int:
+        while roots.setdefault(label, label) != label:
+            roots[label] = label = roots[roots[label]]
+        return label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +434,7 @@ def _similar(words: int):
                 order = np.argsort(values, kind="stable")
                 values, owner = values[order], np.repeat(np.arange(len(right)), sizes)[order]
                 labels = np.array([m["label"] for m in right])
-                found_a, found_b = [], []
+                found_a, found_b, roots = [], [], {}
                 for at in range(0, len(left), _LEFT_ROWS):
                     some = left[at : at + _LEFT_ROWS]
                     own, own_sizes = shingles(pa.array([m["text"] for m in some]), words)
@@ -321,19 +444,21 @@ def _similar(words: int):
                     both = np.bincount(mine * len(right) + hits, minlength=len(some) * len(right)).reshape(len(some), len(right))
                     union = own_sizes[:, None] + sizes[None, :] - both
                     other = np.array([m["label"] for m in some])[:, None] != labels[None, :]
-                    i, j = np.nonzero(other & (both > 0) & (100 * both >= PERCENT * union))
-                    found_a += [some[k]["cls"] for k in i]
-                    found_b += [right[k]["cls"] for k in j]
+                    for i, j in np.argwhere(other & (both > 0) & (100 * both >= PERCENT * union)).tolist():
+                        x, y = top(roots, some[i]["label"]), top(roots, right[j]["label"])
+                        if x != y:
+                            roots[y] = x
+                            found_a.append(some[i]["cls"])
+                            found_b.append(right[j]["cls"])
                 yield pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
     return run
 
 
-def _across_clusters(members: DataFrame, labels: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+def _across_clusters(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """In clusters of several components: the links between a member outside the largest one and any of another."""
     spark = members.sparkSession
-    rows = members.select("cluster", "cls").join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left")
-    rows = materialise(rows.select("cluster", "cls", F.coalesce("label", "cls").alias("label")), "labelled")
+    rows = members.select("cluster", "cls", "label")
     rows = rows.join(texts.select("cls", F.octet_length("text").alias("bytes")), "cls")
     parts = rows.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes"))
     main = parts.groupBy("cluster").agg(

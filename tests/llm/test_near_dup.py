@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from ampertide.llm import near_dup as nd
@@ -111,3 +112,63 @@ def test_chunks_of_a_cluster_are_cut_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(nd, "CHUNK_BYTES", 5_000)
     result = nd.near_dup(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
     assert {r.doc_id: tuple(r)[1:] for r in result} == brute(rows, 2)
+
+
+def test_unlike_texts_that_share_a_passage(spark, monkeypatch):
+    """Texts that share a passage and little else are not compared with one another; near copies among them are found."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(40))
+    words = lambda n: [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+    texts = [f"{passage} {' '.join(words(15))}" for _ in range(400)]
+    texts += [" ".join("x" if rng.random() < 0.03 else w for w in text.split()) for text in texts[:40] for _ in range(2)]
+    base = passage.split()[:20] + words(150)
+    texts += [" ".join(f"z{rng.randint(0, 300)}" if rng.random() < 0.055 else w for w in base) for _ in range(120)]
+    rng.shuffle(texts)
+    stored, written = {}, nd.materialise
+
+    def counted(df, label):
+        table = written(df, label)
+        stored[label] = stored.get(label, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(nd, "materialise", counted)
+    monkeypatch.setattr(nd, "CHUNK", 32)
+    monkeypatch.setattr(nd, "SHARED", 8)
+    rows = list(enumerate(texts))
+    result = nd.near_dup(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in result} == brute(rows, 2)
+    # In chunks, the texts with the passage alone were some 15 times 15 pairs; the near copies of one base remain.
+    assert 0 < stored["jobs"] < 30
+
+
+def test_commonest_tokens_only_are_told_apart(spark, monkeypatch):
+    """The order of tokens decides what is compared, never what is found."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [passage + [f"w{rng.randint(0, 60)}" for _ in range(12)] for _ in range(90)]
+    rows = list(enumerate(" ".join("y" if rng.random() < 0.04 else w for w in text) for text in texts + texts[:30]))
+    monkeypatch.setattr(nd, "CHUNK", 16)
+    for common, shared in ((1, 2), (1, 10_000), (1 << 20, 2)):
+        monkeypatch.setattr(nd, "COMMON", common)
+        monkeypatch.setattr(nd, "SHARED", shared)
+        result = nd.near_dup(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+        assert {r.doc_id: tuple(r)[1:] for r in result} == brute(rows, 2)
+
+
+def test_links_of_two_chunks_are_a_forest():
+    """Two chunks of one dense group give no more links than connect it."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    text = lambda: " ".join("x" if rng.random() < 0.01 else w for w in base)
+    member = lambda i: {"cls": i, "label": i, "text": text()}
+    row = {"left": [member(i) for i in range(40)], "right": [member(i) for i in range(100, 150)]}
+    (found,) = nd._similar(2)([pa.RecordBatch.from_pylist([row])])
+    labels = {i: i for i in [*range(40), *range(100, 150)]}
+    for a, b in zip(*(found.column(c).to_pylist() for c in ("a", "b"))):
+        low, high = sorted((labels[a], labels[b]))
+        labels = {i: low if label == high else label for i, label in labels.items()}
+    sets = {m["cls"]: shingle_set(m["text"], 2) for m in row["left"] + row["right"]}
+    for i in range(40):
+        for j in range(100, 150):
+            assert labels[i] == labels[j] or 100 * len(sets[i] & sets[j]) < 80 * len(sets[i] | sets[j])
+    assert len(found) < 90
