@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampertide.llm.common import WORD, Words, by_value, lean, ranges, slices, small
+from ampertide.llm.common import WORD, Words, by_value, joined, lean, ranges, slices, small
 from ampertide.llm.components import components
 from ampertide.session import free_name, materialise, with_row_id
 
@@ -206,10 +206,12 @@ def clusters(large: DataFrame) -> DataFrame:
 
 
 def _joined_by(nodes: DataFrame) -> DataFrame:
-    """``cls, cluster`` for the classes of ``node, cls``; nodes that share a class are one cluster."""
-    first = materialise(nodes.groupBy("node").agg(F.min("cls").alias("a")), "first-of-node")
-    labels = components(nodes.join(first, "node").select("a", F.col("cls").alias("b")))
-    return labels.select(F.col("id").alias("cls"), F.col("label").alias("cluster"))
+    """``cls, cluster`` for the classes of distinct ``node, cls``; nodes that share a class are one cluster."""
+    first = F.min("node").over(Window.partitionBy("cls")).alias("first")
+    labels = components(nodes.select(first, "node").distinct().select(F.col("first").alias("a"), F.col("node").alias("b")))
+    firsts = nodes.groupBy("cls").agg(F.min("node").alias("first"))
+    found = firsts.join(labels.select(F.col("id").alias("first"), "label"), "first", "left")
+    return found.select("cls", F.coalesce("label", "first").alias("cluster"))
 
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -278,8 +280,10 @@ def _grouped(rows: DataFrame, words: int) -> DataFrame:
         members = _labelled(members, labels)
         if not members.where(F.col("size") > CHUNK).isEmpty():
             pairs, members = _narrowed(members, texts, words)
-            links = links.unionByName(confirmed(_across(pairs, labels), texts, words))
-            labels = components(links)
+            more = confirmed(_across(pairs, labels), texts, words)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                labels = components(links)
             members = _labelled(members, labels)
         links = links.unionByName(confirmed(_across_clusters(members, texts, words), texts, words))
         labels = components(links)
@@ -330,13 +334,32 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(several.where("low <> high").select("cluster", "size"), "cluster")
 
 
-def _times(words: int):
-    """The shingles of each batch of texts, and in how many of the texts each is."""
+def _times(words: int, shards: int):
+    """The shingles of each batch of texts, and in how many of the texts each is; a shard of them is a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, _BATCH_BYTES):
+        for batch in joined(slices(batches, _BATCH_BYTES), _BATCH_BYTES):
             values, times = np.unique(shingles(batch.column("text"), words)[0], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"token": pa.array(values.view(np.int64)), "times": pa.array(times.astype(np.int64))})
+            shard = (values % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))]).astype(np.int32))
+            tokens = pa.ListArray.from_arrays(ends, pa.array(values[order].view(np.int64)))
+            times = pa.ListArray.from_arrays(ends, pa.array(times[order].astype(np.int64)))
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(np.arange(shards)), "tokens": tokens, "times": times})
+
+    return run
+
+
+def _summed(least: int):
+    """The tokens of whole shards that are in more than ``least`` texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.asarray(b.column("tokens").flatten()), np.asarray(b.column("times").flatten())) for b in batches]
+        if held:
+            tokens, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            times = np.bincount(place, np.concatenate([x for _, x in held]), len(tokens)).astype(np.int64)
+            often = times > least
+            yield pa.RecordBatch.from_pydict({"token": pa.array(tokens[often]), "times": pa.array(times[often])})
 
     return run
 
@@ -379,8 +402,10 @@ def _narrowed(members: DataFrame, texts: DataFrame, words: int) -> tuple[DataFra
     spark = members.sparkSession
     wide = members.where(F.col("size") > CHUNK)
     rows = materialise(wide.join(texts, "cls").select("cluster", "cls", "n", "label", "text"), "wide")
-    seen = rows.select("text").mapInArrow(lean(_times(words)), "token long, times long")
-    seen = materialise(seen.groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") > LEAF), "times")
+    # Each task takes as much text as a batch holds, and tokens are dealt out again in as many shards.
+    tasks = max(1, rows.agg(F.ceil(F.sum(F.octet_length("text")) / _BATCH_BYTES)).first()[0] or 1)
+    seen = rows.select("text").coalesce(tasks).mapInArrow(lean(_times(words, tasks)), "shard long, tokens array<long>, times array<long>")
+    seen = materialise(seen.repartition(tasks, "shard").mapInArrow(lean(_summed(LEAF)), "token long, times long"), "times")
     least = LEAF
     while seen.where(F.col("times") > least).count() > COMMON:
         least *= 2
